@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierline.session import scratch_dir
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
@@ -35,6 +37,13 @@ def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **used)
 
 
+def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A feed written to a table and read back, as a run finds its raw rows."""
+    path = scratch_dir(spark, name)
+    feed(spark, sf_dir, name).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def expand(sql: str) -> str:
     """Put the feeds into an SQL text as subqueries over the plain tables."""
     for name, text in FEEDS.items():

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.base import feed, query, table
+from registry.base import feed, landed, query, table
 from tierline.operators.dedupe import flag_duplicates, latest_per_key
-from tierline.operators.validate import REASON, rejected_records
+from tierline.operators.validate import REASON, counted, rejected_records
 from tierline.plans import silver
 from tierline.plans.listings import rejections_per_reason
 
@@ -48,7 +48,8 @@ FROM (
 
 
 def _classified(spark, sf_dir):
-    return silver.classify_items(feed(spark, sf_dir, "raw_items"), ["row_seq"], "row_seq")
+    raw = landed(spark, sf_dir, "raw_items")
+    return counted(silver.classify_items(raw, ["row_seq"], "row_seq"))[0]
 
 
 @query(
@@ -103,7 +104,7 @@ FROM ({_CLASSIFIED}) c WHERE reason IS NOT NULL""",
 def rejected_payload_json(spark, sf_dir):
     """Quarantined items with the raw row as JSON text."""
     classified = _classified(spark, sf_dir)
-    payload = silver.item_payload(feed(spark, sf_dir, "raw_items"))
+    payload = silver.item_payload([c for c in classified.columns if c in silver.RAW_COLUMNS])
     rejected = classified.where(F.col(REASON).isNotNull())
     return rejected_records(rejected, RUN_ID, "raw_videos", payload)
 

@@ -17,14 +17,26 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
-FEED_DATE = r"^(\d\d)\.(0[1-9]|[12]\d|3[01]| ?[1-9])\.(0?[1-9]|1[0-2])$"
-FIRST_YEAR_OF_1900S = "69"
-TRUE_WORDS = ("true", "t", "1", "yes")
-FALSE_WORDS = ("false", "f", "0", "no")
+NUMBER = r"([+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?)"
+YEAR_OF_1900S = r"(69|[7-9]\d)"
+YEAR_OF_2000S = r"([0-5]\d|6[0-8])"
+DAY_AND_MONTH = r"\.(?: (?=[1-9]\.))?(0[1-9]|[12]\d|3[01]|[1-9])\.(0[1-9]|1[0-2]|[1-9])"
+STARTS_WITH_YEAR = r"\d{4}"
+TRUE_WORDS = "true|t|1|yes"
+FALSE_WORDS = "false|f|0|no"
 NO_VALUE = "nan"
 INFERRED_PREFIX = "inferred_"
 
+_SPACE = f"[{WHITESPACE}]*"
+
+
+def _whole(pattern: str, flags: str = "") -> str:
+    """The pattern for the whole text up to surrounding white space.
+
+    One match on the raw text is cheaper than stripping it first for each use.
+    """
+    return rf"{flags}\A{_SPACE}{pattern}{_SPACE}\z"
+
 
 def strip(c: Column) -> Column:
     """Drop leading and trailing Unicode white space."""
@@ -33,36 +45,36 @@ def strip(c: Column) -> Column:
 
 def is_missing(c: Column) -> Column:
     """NULL, blank, or the text ``nan`` (V2)."""
-    return c.isNull() | strip(c).isin("", NO_VALUE)
+    return c.isNull() | c.rlike(_whole(f"(?:{NO_VALUE})?"))
 
 
 def parse_int(c: Column, to: str = "bigint") -> Column:
-    """Number text truncated toward zero (F1); the guard keeps out Java-only forms such as ``1d``."""
-    text = strip(c)
-    return F.when(text.rlike(NUMBER), text.try_cast("double").try_cast("bigint").try_cast(to))
+    """Number text truncated toward zero (F1); the pattern keeps out Java-only forms such as ``1d``."""
+    number = F.regexp_extract(c, _whole(NUMBER), 1)
+    parsed = number.try_cast("double").try_cast("bigint")
+    return parsed if to == "bigint" else parsed.try_cast(to)
 
 
 def parse_bool(c: Column) -> Column:
     """Truth words in any case (F2); anything else is NULL."""
-    word = F.lower(strip(c))
-    return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
+    return F.when(c.rlike(_whole(f"(?:{TRUE_WORDS})", "(?i)")), F.lit(True)).when(
+        c.rlike(_whole(f"(?:{FALSE_WORDS})", "(?i)")), F.lit(False)
+    )
 
 
 def parse_feed_date(c: Column) -> Column:
     """``yy.dd.mm`` (F3). Years 69-99 are 19xx; impossible days are NULL."""
-    text = strip(c)
-    year = F.substring(text, 1, 2)
-    century = F.when(year >= FIRST_YEAR_OF_1900S, "19").otherwise("20")
-    day = F.ltrim(F.regexp_extract(text, FEED_DATE, 2))
-    month = F.regexp_extract(text, FEED_DATE, 3)
-    iso = F.concat(century, year, F.lit("-"), month, F.lit("-"), day)
-    return F.when(text.rlike(FEED_DATE), iso.try_cast("date"))
+    late = _whole(YEAR_OF_2000S + DAY_AND_MONTH)
+    early = _whole(YEAR_OF_1900S + DAY_AND_MONTH)
+    return F.when(c.rlike(late), F.regexp_replace(c, late, "20$1-$3-$2").try_cast("date")).when(
+        c.rlike(early), F.regexp_replace(c, early, "19$1-$3-$2").try_cast("date")
+    )
 
 
 def parse_iso_timestamp(c: Column) -> Column:
     """ISO-8601 text as UTC wall time (F4, F11); needs a UTC session. Other spellings are NULL."""
-    text = strip(c)
-    return F.when(text.rlike(r"^\d{4}"), F.try_to_timestamp(text)).cast("timestamp_ntz")
+    dated = c.rlike(rf"\A{_SPACE}{STARTS_WITH_YEAR}")
+    return F.when(dated, F.try_to_timestamp(strip(c))).cast("timestamp_ntz")
 
 
 def contains_ignoring_case(c: Column, text: str, wildcards: bool = False) -> Column:

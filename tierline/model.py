@@ -103,7 +103,7 @@ TABLES = {
         "ingestion_date",
     ),
     "bronze.raw_categories": _table(
-        "full", f"category_id string, category_title string, {_LINEAGE}"
+        "full", f"category_id string, category_title string, {_LINEAGE}, row_seq bigint"
     ),
     "bronze.raw_channels": _table("full", f"{_strings(CHANNEL_FEED)}, {_LINEAGE}"),
     "bronze.raw_channels_extra": _table("append", f"{_strings(EXTRACT)}, {_LINEAGE}"),

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierline.operators.skew import SALT, salted
+
 FIRST = "_kept_row"
 
 
@@ -45,18 +47,21 @@ def flag_duplicates(
 
     ``row_id`` is unique. Only repeated keys are joined back. ``repeated`` may be a stored result
     of ``repeated_keys``: its file size then lets Spark broadcast it and leave the wide rows where
-    they are. When it is too large for that, the join shuffles on the keys and splits hot ones.
+    they are, or else split hot keys of the join. Without it the join is salted.
     """
+    drop = [FIRST, *[f"_key_{k}" for k in keys]]
+    left = df
+    same = F.lit(True)
     if repeated is None:
         repeated = repeated_keys(df, keys, order_by, row_id, keep)
-    same = None
+        left, repeated = salted(df, repeated, F.col(row_id))
+        same = left[SALT] == repeated[SALT]
+        drop += [left[SALT], repeated[SALT]]
     for k in keys:
-        match = df[k].eqNullSafe(repeated[f"_key_{k}"])
-        same = match if same is None else same & match
-    joined = df.join(repeated, same, "left")
-    return joined.withColumn(
-        flag, F.col(FIRST).isNotNull() & (F.col(FIRST) != F.col(row_id))
-    ).drop(FIRST, *[f"_key_{k}" for k in keys])
+        same = same & left[k].eqNullSafe(repeated[f"_key_{k}"])
+    joined = left.join(repeated, same, "left")
+    later = F.col(FIRST).isNotNull() & (F.col(FIRST) != F.col(row_id))
+    return joined.withColumn(flag, later).drop(*drop)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:

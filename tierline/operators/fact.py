@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions import timestamp
+from tierline.operators.skew import SALT, salted
 
 
 def reload_by_key(
@@ -18,8 +19,11 @@ def reload_by_key(
     keys = key_set.select(key).distinct()
     if isinstance(target.schema[key].dataType, T.DateType):
         # Distinct calendar days are few by nature, whatever the size of the tables.
-        keys = F.broadcast(keys)
-    return target.join(keys, key, "left_anti").unionByName(new_rows)
+        kept = target.join(F.broadcast(keys), key, "left_anti")
+    else:
+        spread, keys = salted(target, keys, F.struct(*target.columns))
+        kept = spread.join(keys, [key, SALT], "left_anti").drop(SALT)
+    return kept.unionByName(new_rows)
 
 
 def star_join(

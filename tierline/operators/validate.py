@@ -39,8 +39,12 @@ def rejected_records(rejected: DataFrame, run_id: str, table_name: str, payload:
     )
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count valid and rejected rows while some other action computes them."""
-    seen = Observation(name)
-    rejected = F.count_if(F.col(REASON).isNotNull())
-    return df.observe(seen, F.count_if(F.col(REASON).isNull()).alias("valid"), rejected.alias("rejected")), seen
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count valid and rejected rows while some other action computes them.
+
+    Filters on the result stay above the count, so a split does not evaluate the rules twice.
+    """
+    seen = Observation()
+    valid = F.count_if(F.col(REASON).isNull()).alias("valid")
+    rejected = F.count_if(F.col(REASON).isNotNull()).alias("rejected")
+    return df.observe(seen, valid, rejected), seen

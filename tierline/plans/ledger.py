@@ -79,7 +79,7 @@ class RunLedger:
 
     def _append(self, table: str, row: dict[str, object]) -> None:
         try:
-            self.warehouse.append_rows(table, [row])
+            self.warehouse.append_row(table, row)
         except Exception:  # noqa: BLE001
             log.warning("could not write to %s", table, exc_info=True)
 

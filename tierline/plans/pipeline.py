@@ -128,7 +128,10 @@ class Pipeline:
         return n, f"Ingested {n} rows from CSV"
 
     def land_categories(self, path: str) -> tuple[int, str]:
-        rows = with_lineage(read_json_items(self.spark, path), JSON_SOURCE, self.run_ts)
+        rows = read_json_items(self.spark, path).withColumn(
+            "row_seq", F.monotonically_increasing_id()
+        )
+        rows = with_lineage(rows, JSON_SOURCE, self.run_ts)
         n = self.wh.write_full("bronze.raw_categories", rows)
         return n, f"Ingested {n} rows from JSON"
 
@@ -173,11 +176,10 @@ class Pipeline:
             scratch_dir(self.spark, "repeated-items"),
         )
         classified = silver.classify_items(raw, order, row_id, repeated=repeated)
-        columns = [c for c in raw.columns if c != row_id]
         return self.store(
             RAW_ITEMS,
             classified,
-            silver.item_payload(raw.select(*columns)),
+            silver.item_payload(),
             lambda valid: self.wh.write_replace_partition(
                 "silver.videos", silver.typed_items(valid, self.run_ts), self.day
             ),
@@ -185,10 +187,8 @@ class Pipeline:
 
     def clean_categories(self) -> tuple[int, str]:
         raw = self.wh.read("bronze.raw_categories")
-        # Rows of one load differ in nothing else, so id text and title decide which is first.
-        named = raw.withColumn("_row", F.monotonically_increasing_id())
-        classified = silver.classify_categories(named, ["category_title"], "_row")
-        columns = [c for c in raw.columns if c != "load_timestamp"]
+        classified = silver.classify_categories(raw, [], "row_seq")
+        columns = [c for c in raw.columns if c not in ("load_timestamp", "row_seq")]
         return self.store(
             RAW_CATEGORIES,
             classified,
@@ -217,7 +217,7 @@ class Pipeline:
 
     def store(self, table: str, classified: DataFrame, payload, write_valid) -> tuple[int, str]:
         """Write valid rows and rejects of one classified frame, which is computed once."""
-        frame, seen = counted(classified, f"{table}-{self.run_id}")
+        frame, seen = counted(classified)
         frame = frame.persist(StorageLevel.DISK_ONLY)
         try:
             write_valid(frame)

@@ -18,6 +18,7 @@ from tierline.functions import (
     strip,
     timestamp,
 )
+from tierline.model import ITEM_FEED
 from tierline.operators.consolidate import consolidate
 from tierline.operators.dedupe import flag_duplicates, latest_per_key
 from tierline.operators.validate import REASON, validate
@@ -39,7 +40,7 @@ ITEM_KEYS = ("video_id", "trending_date")
 METRICS = ("views", "likes", "dislikes", "comment_count")
 FLAGS = ("comments_disabled", "ratings_disabled", "video_error_or_removed")
 TEXTS = ("title", "channel_title", "tags", "description")
-NOT_IN_PAYLOAD = ("load_timestamp", "ingestion_date")
+RAW_COLUMNS = (*ITEM_FEED, "source_system")
 
 
 def classify_items(
@@ -102,10 +103,9 @@ def typed_items(classified: DataFrame, run_ts: dt.datetime | str) -> DataFrame:
     )
 
 
-def item_payload(raw: DataFrame) -> Column:
+def item_payload(columns: Sequence[str] = RAW_COLUMNS) -> Column:
     """JSON of the raw item without load columns, NULL kept (V9)."""
-    technical = (*NOT_IN_PAYLOAD, "row_seq")
-    return raw_json([c for c in raw.columns if c not in technical])
+    return raw_json(columns)
 
 
 def classify_categories(raw: DataFrame, order_by: Sequence[str], row_id: str) -> DataFrame:

@@ -39,7 +39,7 @@ class Warehouse:
         """Make the directories of tables that have none yet, so that each can be read."""
         for name, table in self.tables.items():
             if table.layout not in ("full", "versions"):
-                empty = self._empty(table.schema).coalesce(1)
+                empty = self._empty(table.schema)
                 empty.write.mode("ignore").partitionBy(*table.partition).parquet(self.path(name))
 
     # Reading
@@ -92,7 +92,8 @@ class Warehouse:
             raise
 
     def _empty(self, schema: T.StructType) -> DataFrame:
-        return self.spark.createDataFrame([], schema)
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        return self.spark.range(1).select(*nothing).limit(0)
 
     # Writing; each method returns the number of rows written
 
@@ -102,13 +103,16 @@ class Warehouse:
         rows.write.mode("append").parquet(self.path(name))
         return count()
 
-    def append_rows(self, name: str, rows: Sequence[Mapping[str, object]]) -> None:
-        """Add a few rows made by the driver, such as one ledger event."""
-        schema = TABLES.get(name, self.tables.get(name)).schema
-        values = [tuple(r.get(c) for c in schema.names) for r in rows]
-        self.spark.createDataFrame(values, schema).coalesce(1).write.mode("append").parquet(
-            self.path(name)
-        )
+    def append_row(self, name: str, row: Mapping[str, object]) -> None:
+        """Add one row made by the driver, such as a ledger event."""
+        schema = TABLES[name].schema if name in TABLES else self.tables[name].schema
+        # Literals stay in the JVM; a frame from Python objects would take several times as long.
+        values = [
+            F.lit(None if row.get(f.name) is None else str(row[f.name])).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+        one = self.spark.range(0, 1, 1, 1).select(*values)
+        one.write.mode("append").parquet(self.path(name))
 
     def write_replace_partition(self, name: str, df: DataFrame, day: dt.date) -> int:
         """Replace the rows of one day (K1, K4); an empty frame clears the day."""
@@ -180,7 +184,7 @@ class Warehouse:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _publish(self, name: str, version: int) -> None:
-        self.append_rows(VERSIONS, [{"table_name": name, "version": version}])
+        self.append_row(VERSIONS, {"table_name": name, "version": version})
 
     def _counted(self, name: str, df: DataFrame, drop: Sequence[str] = ()):
         """The columns of the table in order, and a function for the count once they are written."""
