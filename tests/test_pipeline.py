@@ -158,7 +158,7 @@ def test_two_days(spark, tmp_path, feeds):
     assert (mart["Alpha"].total_trending_videos, mart["Alpha"].total_views) == (2, 380)
     invariants(wh)
 
-    runs = {r["run_id"]: r for r in as_dicts(ledger.current_runs(wh.read(ledger.EVENTS)))}
+    runs = {r["run_id"]: r for r in as_dicts(wh.read(ledger.RUNS))}
     assert runs["day2"]["status"] == "SUCCESS" and runs["day2"]["records_updated"] == counts["updated"] == 3
     steps = [r.step_name for r in wh.read(ledger.AUDIT).where("run_id = 'day2' AND status = 'COMPLETED'").orderBy("log_id").collect()]
     assert steps == ["ingest_csv", "ingest_json", "ingest_xml", "ingest_db", "validate_clean_videos", "validate_clean_categories",
@@ -168,7 +168,7 @@ def test_two_days(spark, tmp_path, feeds):
     wh.register()
     listed = query(spark, "SELECT video_id, version_number FROM dim_video WHERE is_current ORDER BY video_id").collect()
     assert [tuple(r) for r in listed] == [("v1", 2), ("v2", 1), ("v3", 1), ("v4", 1), ("v5", 1)]
-    assert query(spark, "SELECT count(*) AS n FROM silver_videos v JOIN categories c USING (category_id)").first().n == 6
+    assert query(spark, "SELECT count(*) AS n FROM silver.videos v JOIN categories c USING (category_id)").first().n == 6
 
     # All landed days validated together: a day's copy of an earlier row is a duplicate.
     full = Pipeline(spark, wh, "full", DAY2 + dt.timedelta(days=1), full=True)
@@ -185,7 +185,7 @@ def test_failed_run_is_recorded(spark, tmp_path, feeds):
     with pytest.raises(ValueError, match="share a title"):
         run_pipeline(spark, root, shared, "bad", DAY1)
     wh = Warehouse(spark, root)
-    (run,) = as_dicts(ledger.current_runs(wh.read(ledger.EVENTS)))
+    (run,) = as_dicts(wh.read(ledger.RUNS))
     assert run["status"] == "FAILED"
     (line,) = as_dicts(wh.read(ledger.AUDIT).where("status = 'FAILED'"))
     assert line["step_name"] == "load_fact_table" and "Alpha" in line["log_message"]

@@ -60,6 +60,12 @@ def test_xml_children_are_strings(spark, tmp_path):
          "last_updated": "2026-08-18T00:00:00"}]
 
 
+def test_xml_without_a_child_fails(spark, tmp_path):
+    (tmp_path / "c.xml").write_text("<channels><channel><channel_id>UC1</channel_id></channel></channels>")
+    with pytest.raises(Exception, match="has no <channel_title>"):
+        read_xml_bronze(spark, str(tmp_path / "c.xml"), "channel", CHANNEL_FEED).collect()
+
+
 def test_incremental_reads_above_the_watermark(frame, tmp_path, spark):
     t = dt.datetime
     source = frame("id int, ts timestamp_ntz", [(1, t(2026, 8, 18)), (2, t(2026, 8, 19)), (3, t(2026, 8, 20))])

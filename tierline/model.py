@@ -172,6 +172,12 @@ TABLES = {
         " event_time timestamp_ntz, start_time timestamp_ntz, end_time timestamp_ntz,"
         f" {_COUNTS}",
     ),
+    "metadata.pipeline_runs": _table(
+        "full",
+        "run_id string, pipeline_name string, execution_date timestamp_ntz, status string,"
+        " start_time timestamp_ntz, end_time timestamp_ntz, duration_seconds decimal,"
+        f" {_COUNTS}",
+    ),
     "metadata.audit_log": _table(
         "append",
         "log_id bigint, run_id string, task_name string, step_name string, status string,"

@@ -17,6 +17,7 @@ from tierline.sinks.warehouse import Warehouse
 log = logging.getLogger(__name__)
 
 EVENTS = "metadata.pipeline_run_events"
+RUNS = "metadata.pipeline_runs"
 AUDIT = "metadata.audit_log"
 
 
@@ -80,6 +81,8 @@ class RunLedger:
     def _append(self, table: str, row: dict[str, object]) -> None:
         try:
             self.warehouse.append_row(table, row)
+            if table == EVENTS:
+                self.warehouse.write_full(RUNS, current_runs(self.warehouse.read(EVENTS)))
         except Exception:  # noqa: BLE001
             log.warning("could not write to %s", table, exc_info=True)
 
@@ -140,9 +143,6 @@ class RunLedger:
 
         return wrap
 
-    def runs(self) -> DataFrame:
-        return current_runs(self.warehouse.read(EVENTS))
-
 
 def ordered_audit(audit: DataFrame) -> DataFrame:
     """The audit log in the order it was written."""

@@ -197,21 +197,43 @@ class Warehouse:
     # Catalog
 
     def register(self, schemas: Sequence[str] = ("gold", "silver", "metadata", "bronze")) -> None:
-        """Make the tables known to SQL as temporary views, qualified as ``gold_dim_video`` and
-        bare as ``dim_video``; a bare name goes to the first schema in order that has it."""
+        """Make the visible state of all tables known to SQL, as ``gold.dim_video`` and as
+        ``dim_video``; a bare name goes to the first schema in order that has it."""
         taken: set[str] = set()
         for schema in schemas:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{self.root}/{schema}'")
             for name in self.tables:
                 if name.split(".")[0] != schema:
                     continue
                 shown = self.aliases.get(name, name)
+                self.spark.sql(f"CREATE OR REPLACE VIEW {shown} AS {self._select(name)}")
                 bare = shown.split(".")[1]
-                frame = self.read(name)
-                frame.createOrReplaceTempView(shown.replace(".", "_"))
                 if bare not in taken:
-                    frame.createOrReplaceTempView(bare)
+                    self.read(name).createOrReplaceTempView(bare)
                     taken.add(bare)
 
+    def _select(self, name: str) -> str:
+        """The visible rows of a table as SQL text, which a view can keep."""
+        table = self.tables[name]
+        path, where = self.path(name), ""
+        if table.layout in ("full", "versions"):
+            version = self.version(name)
+            if version is None:
+                nothing = [
+                    f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in table.schema
+                ]
+                return f"SELECT {', '.join(nothing)} WHERE false"
+            if table.layout == "full":
+                path += f"/version={version}"
+            else:
+                where = (
+                    f" WHERE version = {version} OR (version < {version} AND is_current = 'false')"
+                )
+        columns = [
+            f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in table.schema
+        ]
+        return f"SELECT {', '.join(columns)} FROM parquet.`{path}`{where}"
+
 
 def _with_version(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("version", T.LongType())])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,7 +78,7 @@ def read_json_items(spark: SparkSession, path: str, multi_line: bool = True) ->
 def read_xml_bronze(
     spark: SparkSession, path: str, row_tag: str, columns: Sequence[str]
 ) -> DataFrame:
-    """Text children of each ``row_tag`` element (S3); an empty element is NULL."""
+    """Text children of each ``row_tag`` element (S3); an empty child is NULL, a missing one fails."""
     rows = (
         spark.read.format("xml")
         .schema(string_schema(columns))
@@ -87,4 +87,10 @@ def read_xml_bronze(
         .option("mode", "FAILFAST")
         .load(path)
     )
-    return rows.select([F.nullif(F.col(c), F.lit("")).alias(c) for c in columns])
+
+    def text(c: str) -> Column:
+        missing = F.raise_error(F.lit(f"an element <{row_tag}> has no <{c}>"))
+        child = F.when(F.col(c).isNull(), missing.cast("string")).otherwise(F.col(c))
+        return F.nullif(child, F.lit("")).alias(c)
+
+    return rows.select([text(c) for c in columns])
