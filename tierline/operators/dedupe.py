@@ -71,3 +71,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column
     """
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+
+
+def newest_rows(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
+    """All rows of each key that carry its highest value of ``by``, such as its last load day."""
+    rank = F.rank().over(Window.partitionBy(*keys).orderBy(F.desc(by)))
+    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")

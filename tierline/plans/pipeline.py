@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tierline import model
 from tierline.functions import timestamp
-from tierline.operators.dedupe import latest_per_key, repeated_keys
+from tierline.operators.dedupe import latest_per_key, newest_rows, repeated_keys
 from tierline.operators.fact import star_join
 from tierline.operators.members import (
     inferred_categories,
@@ -331,7 +331,7 @@ class Pipeline:
         return n, f"Fact load complete. {inferred}, Loaded: {n}"
 
     def items_to_reload(self) -> DataFrame:
-        """All silver rows of the dates this run brought, one per item and date, newest load first.
+        """All silver rows of the dates this run brought, each item and date from its newest load.
 
         A date is reloaded as a whole, so rows of earlier loads that this run did not repeat stay.
         """
@@ -343,11 +343,7 @@ class Pipeline:
         # Two scalars let the scan skip files; the join then picks the exact days, which are few.
         near = everything.where(F.col("trending_date").between(F.lit(lowest), F.lit(highest)))
         of_dates = near.join(F.broadcast(dates.distinct()), "trending_date", "left_semi")
-        return latest_per_key(
-            of_dates,
-            ["video_id", "trending_date"],
-            [F.desc("load_date"), F.desc("load_timestamp"), *total_order(everything)],
-        )
+        return newest_rows(of_dates, ["video_id", "trending_date"], "load_date")
 
     def add_inferred(self, items: DataFrame) -> str:
         """Add members that items refer to but no source has described."""
