@@ -11,7 +11,7 @@ from tierline.operators.members import (
     inferred_categories,
     inferred_channels,
     inferred_items,
-    retire_inferred,
+    replaced_inferred,
 )
 from tierline.operators.scd import (
     VERSION,
@@ -183,11 +183,11 @@ def yearly_states(spark, sf_dir):
     "version_history",
     f"""
 SELECT id, status, version_number, effective_start_date, effective_end_date, is_current
-FROM ({_YEARLY}) h WHERE id IN (7, 77, 777)""",
+FROM ({_YEARLY}) h""",
 )
 def listed_versions(spark, sf_dir):
-    """All versions of three named customers; naming them is the point of the report."""
-    return version_history(_yearly(spark, sf_dir), "id", [7, 77, 777], "status")
+    """All versions of all customers, in order."""
+    return version_history(_yearly(spark, sf_dir), "id", None, "status")
 
 
 # Late-arriving members and facts
@@ -283,7 +283,8 @@ def inferred_retired(spark, sf_dir):
     """Every supplier inferred first; those described later replace their inferred member."""
     known = _channels(spark, sf_dir)
     inferred = inferred_channels(feed(spark, sf_dir, "groups"), known.limit(0), FIRST_RUN)
-    return retire_inferred(known.unionByName(inferred), NOW).select(
+    dim = known.unionByName(inferred)
+    return scd2_close(dim, replaced_inferred(dim), "channel_id", NOW).select(
         "channel_id", "channel_title", "effective_end_date", "is_current"
     )
 

@@ -24,7 +24,7 @@ def connect(sf_dir: str):
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.12g}")
+        return "nan" if math.isnan(value) else value
     if isinstance(value, decimal.Decimal):
         return float(value)
     if isinstance(value, dt.datetime):

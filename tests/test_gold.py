@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import as_dicts
 from tierline.operators.fact import reload_by_key, star_join
-from tierline.operators.members import inferred_categories, inferred_channels, inferred_items, retire_inferred
+from tierline.operators.members import inferred_categories, inferred_channels, inferred_items, replaced_inferred
 from tierline.operators.scd import (
     VERSION,
     first_versions,
@@ -141,7 +141,8 @@ def test_inferred_channels_and_their_end(frame):
                and r["version_number"] == 1 and r["is_current"] for r in new)
     grown = dim.unionByName(frame(CHANNEL_DIM, [tuple(r.values()) for r in new]))
     real = frame(CHANNEL_DIM, [("k3", "UC3", "New", 1, "DE", 1, 1, 1, day(3), None, True)])
-    after = retire_inferred(grown.unionByName(real), day(3))
+    grown = grown.unionByName(real)
+    after = scd2_close(grown, replaced_inferred(grown), "channel_id", day(3))
     current = {r.channel_id: r.channel_title for r in after.where("is_current").collect()}
     assert sorted(current.values()) == ["Former", "Known", "New"] and current["UC3"] == "New"
     # Inferred again after the real one is gone, the member gets its next version.
@@ -177,6 +178,45 @@ def test_star_join_matches_titles_and_drops_what_has_no_member(frame):
     assert (row["dim_video_key"], row["dim_channel_key"], row["dim_category_id"]) == ("va2", "c1", 1)
 
 
+def test_hot_title_in_the_star_join_is_split(spark, tmp_path):
+    """A title of a third of all rows, and stored dimensions too large to broadcast."""
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    n = F.col("id")
+    title = F.when(n % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), n % 500))
+    spark.range(0, 20000, 1, 8).select(
+        n.cast("string").alias("video_id"), F.lit("2024-01-01").cast("date").alias("trending_date"),
+        title.alias("channel_title"), (n % 7).cast("int").alias("category_id"), n.alias("views"),
+        *[F.lit(0).cast("bigint").alias(c) for c in ("likes", "dislikes", "comment_count")],
+    ).write.parquet(str(tmp_path / "items"))
+    items = spark.read.parquet(str(tmp_path / "items"))
+
+    def stored(name, df):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    current = F.lit(True).alias("is_current")
+    videos = stored("v", items.select("video_id", F.md5("video_id").alias("dim_video_key"), current))
+    titles = items.select("channel_title").distinct()
+    channels = stored("c", titles.select("channel_title", F.md5("channel_title").alias("dim_channel_key"), current))
+    categories = stored("k", items.select("category_id").distinct())
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        facts = star_join(items, videos, categories, channels, day(0))
+        assert facts.agg(F.sum("views")).first()[0] == sum(range(20000))
+        facts.collect()
+        assert "skew=true" in facts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("kind", ["date", "int"])
 def test_reload_clears_keys_without_new_rows(frame, kind):
     k = (lambda i: day(i).date()) if kind == "date" else (lambda i: i)

@@ -74,26 +74,13 @@ def inferred_categories(
     )
 
 
-def retire_inferred(dim: DataFrame, run_ts: dt.datetime | str) -> DataFrame:
-    """Close inferred members whose title a real current member now carries.
+def replaced_inferred(dim: DataFrame) -> DataFrame:
+    """Ids of current inferred members whose title a real current member now carries.
 
-    Without this both would match the same facts and count them twice.
+    Without closing them both would match the same facts and count them twice. Each inferred
+    title occurs once on the left and, after ``distinct``, each real one once on the right.
     """
+    current = dim.where("is_current")
     inferred = F.col("channel_id").startswith(INFERRED_PREFIX)
-    real = (
-        dim.where(F.col("is_current") & ~inferred)
-        .select(F.col("channel_title").alias("_title"))
-        .distinct()
-    )
-    marked = dim.join(
-        real, F.col("is_current") & inferred & (F.col("channel_title") == F.col("_title")), "left"
-    )
-    closing = F.col("_title").isNotNull()
-    return marked.withColumns(
-        {
-            "effective_end_date": F.when(closing, timestamp(run_ts)).otherwise(
-                F.col("effective_end_date")
-            ),
-            "is_current": F.col("is_current") & ~closing,
-        }
-    ).select(*dim.columns)
+    real = current.where(~inferred).select("channel_title").distinct()
+    return current.where(inferred).join(real, "channel_title", "left_semi").select("channel_id")

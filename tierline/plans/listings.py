@@ -16,11 +16,13 @@ def rejections_per_reason(rejected: DataFrame) -> DataFrame:
     return rejected.groupBy("table_name", "rejection_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-def version_history(dim: DataFrame, key: str, ids: Sequence[str], attribute: str) -> DataFrame:
-    """All versions of the named members in order."""
+def version_history(
+    dim: DataFrame, key: str, ids: Sequence[str] | None, attribute: str
+) -> DataFrame:
+    """All versions of the named members, or of all members, in order."""
+    named = dim if ids is None else dim.where(F.col(key).isin(*ids))
     return (
-        dim.where(F.col(key).isin(*ids))
-        .select(
+        named.select(
             key,
             attribute,
             "version_number",

@@ -17,9 +17,9 @@ from tierline.operators.members import (
     inferred_categories,
     inferred_channels,
     inferred_items,
-    retire_inferred,
+    replaced_inferred,
 )
-from tierline.operators.scd import scd1, scd2
+from tierline.operators.scd import scd1, scd2, scd2_close
 from tierline.operators.validate import REASON, counted, rejected_records
 from tierline.plans import marts, silver
 from tierline.plans.ledger import RunLedger
@@ -263,7 +263,7 @@ class Pipeline:
 
     def scd2_channels(self) -> tuple[int, str]:
         source = self.wh.read("silver.channels")
-        return self.version_step(
+        inserted, message = self.version_step(
             "gold.dim_channel",
             source,
             key="channel_id",
@@ -271,20 +271,29 @@ class Pipeline:
             tracked=model.CHANNEL_TRACKED,
             attributes=model.CHANNEL_ATTRIBUTES,
             order_by=[F.desc("load_timestamp"), *total_order(source)],
-            finish=lambda dim: retire_inferred(dim, self.run_ts),
         )
+        return inserted, f"{message}, Replaced inferred: {self.retire_inferred()}"
+
+    def retire_inferred(self) -> int:
+        """Close inferred channels that a source has now described."""
+        table = "gold.dim_channel"
+        current = self.wh.current(table)
+        replaced = self.wh.stage(replaced_inferred(current), scratch_dir(self.spark, "replaced"))
+        n = replaced.count()
+        if n:
+            self.wh.write_versions(
+                table, scd2_close(current, replaced, "channel_id", self.run_ts)
+            )
+            self.counts["updated"] += n
+        return n
 
-    def version_step(
-        self, table: str, source: DataFrame, *, key: str, finish=None, **how
-    ) -> tuple[int, str]:
+    def version_step(self, table: str, source: DataFrame, *, key: str, **how) -> tuple[int, str]:
         """SCD2 over the current rows and, of the closed ones, only those the source reopens."""
         current = self.wh.current(table)
         absent = source.select(key).distinct().join(current.select(key), key, "left_anti")
         reopened = self.wh.history(table).join(absent, key, "left_semi")
         target = current.unionByName(reopened)
         result = scd2(target, source, key=key, run_ts=self.run_ts, **how)
-        if finish:
-            result = finish(result)
         now = timestamp(self.run_ts)
         # Rows closed by earlier runs are already stored.
         changed = result.where(F.col("is_current") | (F.col("effective_end_date") == now))
@@ -318,8 +327,9 @@ class Pipeline:
         items = self.items_to_reload()
         inferred = self.add_inferred(items)
         channels = self.wh.current("gold.dim_channel")
+        seen = Observation()
         facts = star_join(
-            items,
+            items.observe(seen, F.count(F.lit(1)).alias("n")),
             self.wh.current("gold.dim_video"),
             self.wh.read("gold.dim_category"),
             self.one_per_title(channels),
@@ -328,7 +338,8 @@ class Pipeline:
         n = self.wh.write_dates(
             "gold.fact_video_metrics", facts, self.loaded_items().select("trending_date")
         )
-        return n, f"Fact load complete. {inferred}, Loaded: {n}"
+        dropped = int(seen.get["n"]) - n
+        return n, f"Fact load complete. {inferred}, Loaded: {n}, Without member: {dropped}"
 
     def items_to_reload(self) -> DataFrame:
         """All silver rows of the dates this run brought, each item and date from its newest load.
