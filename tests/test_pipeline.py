@@ -199,6 +199,22 @@ def test_missing_file_fails_the_step(spark, tmp_path):
         run_pipeline(spark, str(tmp_path / "wh"), Feeds(items_csv=str(tmp_path / "none.csv")), "r", DAY1)
 
 
+def test_sql_names_of_versions_and_of_empty_tables(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.create()
+    schema = model.TABLES["gold.dim_channel"].schema
+    rows = [("k1", 1, True)], [("k1", 1, False), ("k2", 2, True)]
+    for step in rows:
+        values = [(k, "c", "T", 1, "DE", 1, 1, v, DAY1, None, now) for k, v, now in step]
+        wh.write_versions("gold.dim_channel", spark.createDataFrame(values, schema))
+    wh.register()
+    text = "SELECT dim_channel_key, is_current FROM {} ORDER BY version_number"
+    for name in ("gold.dim_channel", "dim_channel"):
+        assert [tuple(r) for r in query(spark, text.format(name)).collect()] == [("k1", False), ("k2", True)]
+    for name in ("silver.videos", "gold.dim_category", "metadata.audit_log", "fact_video_metrics"):
+        assert query(spark, f"SELECT count(*) AS n FROM {name}").first().n == 0
+
+
 def test_warehouse_writes(spark, frame, tmp_path):
     wh = Warehouse(spark, str(tmp_path / "wh"), aliases={"gold.dim_category": "gold.categories_by_id"})
     wh.create()

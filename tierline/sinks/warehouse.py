@@ -215,24 +215,26 @@ class Warehouse:
     def _select(self, name: str) -> str:
         """The visible rows of a table as SQL text, which a view can keep."""
         table = self.tables[name]
+        types = {f.name: f.dataType.simpleString() for f in table.schema}
+        nothing = ", ".join(f"CAST(NULL AS {t}) AS {c}" for c, t in types.items())
         path, where = self.path(name), ""
         if table.layout in ("full", "versions"):
             version = self.version(name)
             if version is None:
-                nothing = [
-                    f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in table.schema
-                ]
-                return f"SELECT {', '.join(nothing)} WHERE false"
+                return f"SELECT {nothing} WHERE false"
             if table.layout == "full":
                 path += f"/version={version}"
             else:
                 where = (
                     f" WHERE version = {version} OR (version < {version} AND is_current = 'false')"
                 )
-        columns = [
-            f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in table.schema
-        ]
-        return f"SELECT {', '.join(columns)} FROM parquet.`{path}`{where}"
+        try:
+            self.spark.read.parquet(path)
+        except AnalysisException:
+            # A table without files yet has no schema a view could read.
+            return f"SELECT {nothing} WHERE false"
+        columns = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in types.items())
+        return f"SELECT {columns} FROM parquet.`{path}`{where}"
 
 
 def _with_version(schema: T.StructType) -> T.StructType:
