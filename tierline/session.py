@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,11 +32,11 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new path for intermediate tables, below the shared folder the session names.
+    """A new path for intermediate tables, in a folder that driver and executors share.
 
-    Only a session without that setting (a local test) gets a temporary folder.
+    That is ``spark.checkpoint.dir``, or a folder below the warehouse if the session does not set it.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if not base:
-        base = tempfile.mkdtemp(prefix="tierline-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
