@@ -32,7 +32,7 @@ TOLERANCE = 1e-9
 STEPS = 100
 # Documents of one (source, size) that are ranked together, about.
 RANKED = 4096
-UNIT = 10**9
+UNIT = 10**6
 # Places tried for the cut between documents with and without one copy more.
 CUTS = 16
 
@@ -149,10 +149,10 @@ def multipliers(groups: DataFrame, targets: DataFrame) -> DataFrame:
     return state.select("source", "mean", "full", "b")
 
 
-def _passed(offset: Column | int) -> Column:
+def _passed(offset: Column) -> Column:
     """How many whole units the running sum passes within a group, if it starts at the offset."""
-    start = F.col("end") - F.col("mass") + offset
-    return (F.floor((F.col("end") + offset) / UNIT) - F.floor(start / UNIT)).cast("long")
+    end = F.col("end") + offset
+    return F.call_function("div", end, F.lit(UNIT)) - F.call_function("div", end - F.col("mass"), F.lit(UNIT))
 
 
 def mix(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
@@ -174,8 +174,8 @@ def mix(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
         .join(t, F.col("g.source").eqNullSafe(F.col("t.source")))
         .select("g.source", "size", "n", "source_size", "target", rate.alias("rate"))
         .withColumn("least", F.floor("rate"))
-        # Fractions as whole billionths, so that running sums are exact.
-        .withColumn("part", F.round((F.col("rate") - F.col("least")) * UNIT).cast("decimal(12,0)"))
+        # Fractions as whole millionths, so that running sums are exact.
+        .withColumn("part", F.round((F.col("rate") - F.col("least")) * UNIT).cast("long"))
         .withColumn("subs", F.ceil(F.col("n") / RANKED))
     )
     rated = staged(rated, "rated")
@@ -191,13 +191,13 @@ def mix(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     )
     parts = dealt.groupBy("source", "size", "sub", "part").agg(F.count("*").alias("n"))
     line = Window.partitionBy("source").orderBy("size", "sub")
-    mass = F.col("n").cast("decimal(18,0)") * F.col("part")
+    mass = F.col("n") * F.col("part")
     lined = staged(parts.withColumn("mass", mass).withColumn("end", F.sum("mass").over(line)), "lined")
     # Of a few places where the line may be cut, each source takes the one nearest to its target.
-    wanted = F.sum(F.col("mass") * F.col("size"))
+    wanted = F.sum(F.col("mass").cast("decimal(19,0)") * F.col("size")) / UNIT
     cuts = [
         F.struct(
-            F.abs(F.sum(_passed(o) * F.col("size")).cast("decimal(38,0)") * UNIT - wanted).alias("miss"),
+            F.abs(F.sum(_passed(F.lit(o)) * F.col("size")) - wanted).alias("miss"),
             F.lit(o).alias("cut"),
         )
         for o in range(UNIT // (2 * CUTS), UNIT, UNIT // CUTS)
