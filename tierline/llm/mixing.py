@@ -31,7 +31,7 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 TOLERANCE = 1e-9
 STEPS = 100
 # Documents of one (source, size) that are ranked together, about.
-RANKED = 4096
+RANKED = 256
 UNIT = 10**6
 # Places tried for the cut between documents with and without one copy more.
 CUTS = 16

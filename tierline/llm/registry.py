@@ -1,12 +1,14 @@
 """The operators' queries by name, and the SQL that states their results where SQL can."""
 
-from tierline.llm import mixing, sharding, warc
+from tierline.llm import minhash, mixing, secrets, sharding, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
         sharding.op3_shard_hypergeometric,
         warc.op5_warc_boundary_chain,
+        secrets.op8_secret_trigrams,
+        minhash.op9_near_dup_tensored,
         mixing.op10_mix_entropy,
     )
 }
