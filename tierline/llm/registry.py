@@ -1,12 +1,14 @@
 """The operators' queries by name, and the SQL that states their results where SQL can."""
 
-from tierline.llm import minhash, mixing, secrets, sharding, warc
+from tierline.llm import decontaminate, minhash, mixing, secrets, sharding, tokens, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
         sharding.op3_shard_hypergeometric,
+        tokens.op4_token_counts,
         warc.op5_warc_boundary_chain,
+        decontaminate.op7_decontaminate_spaced_seeds,
         secrets.op8_secret_trigrams,
         minhash.op9_near_dup_tensored,
         mixing.op10_mix_entropy,
