@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tierline.session import scratch_dir
 
@@ -26,6 +31,22 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+Columns = dict[str, list]
+
+
+def map_columns(df: DataFrame, run: Callable[[Iterator[Columns]], Iterator[Columns]], ddl: str) -> DataFrame:
+    """Run a function in Python workers over batches of columns as lists, so that integers keep their nulls."""
+    schema = T.StructType.fromDDL(ddl)
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = to_arrow_schema(schema)
+        columns = ({f: c.to_pylist() for f, c in zip(b.schema.names, b.columns, strict=True)} for b in source)
+        for out in run(columns):
+            yield pa.RecordBatch.from_arrays([pa.array(out[k.name], k.type) for k in kinds], schema=kinds)
+
+    return df.mapInArrow(batches, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -15,12 +15,11 @@ import string
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import small_batches, staged, table
+from tierline.llm.common import Columns, map_columns, small_batches, staged, table
 from tierline.llm.shingles import WordHashes, mixed
 
 # Masks of weight 6 over at most 11 words; the first is solid.
@@ -31,6 +30,7 @@ PERCENT = 80
 # Shorter items than this are too common to tell anything and are not searched.
 LEAST_WORDS = 5
 BLOCK_ITEMS = 20_000
+COLUMNS = ("doc_id", "item_id", "doc_word", "item_word", "words", "same")
 
 _DROP = string.punctuation.encode()
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -38,9 +38,9 @@ _BITS = 22
 
 
 def words(text: str | None, cache: WordHashes) -> np.ndarray:
-    """Hashes of the words: ASCII punctuation is dropped, A-Z lowered, white space separates."""
-    raw = text.encode("utf-8", "surrogatepass") if text else b""
-    return cache.of(raw.lower().translate(None, _DROP).split())
+    """Hashes of the words without case; ASCII punctuation is dropped, white space separates."""
+    raw = text.casefold().encode("utf-8", "surrogatepass") if text else b""
+    return cache.of(raw.translate(None, _DROP).split())
 
 
 def _seed(hashes: np.ndarray, mask: str) -> np.ndarray:
@@ -143,17 +143,17 @@ def find_overlaps(docs: DataFrame, items: DataFrame, block: int = BLOCK_ITEMS) -
     for rows in _blocks(items, block):
         shared = spark.sparkContext.broadcast(Index(rows))
 
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[Columns], shared=shared) -> Iterator[Columns]:
             cache, index = WordHashes(), shared.value
             for batch in batches:
-                out = [
+                rows = [
                     (key, *hit)
                     for key, text in zip(batch["id"], batch["text"], strict=True)
                     for hit in index.overlaps(words(text, cache))
                 ]
-                yield pd.DataFrame(out, columns=["doc_id", "item_id", "doc_word", "item_word", "words", "same"])
+                yield {c: [r[i] for r in rows] for i, c in enumerate(COLUMNS)}
 
-        found = found.union(docs.select("id", "text").mapInPandas(run, schema))
+        found = found.union(map_columns(docs.select("id", "text"), run, schema))
     return found
 
 

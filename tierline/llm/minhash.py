@@ -17,12 +17,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import components, small_batches, staged, table
+from tierline.llm.common import Columns, components, map_columns, small_batches, staged, table
 from tierline.llm.shingles import WordHashes, mixed, shingle_set
 
 GROUPS = 16
@@ -55,28 +54,31 @@ def sketches(docs: DataFrame, words: int, groups: int = GROUPS, width: int = GRO
     """
     xor, odd = _permutations(groups, width, SEED)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         cache = WordHashes()
         step = np.uint64(0x9E3779B97F4A7C15)
         for batch in batches:
-            out = []
-            for key, text in zip(batch["id"], batch["text"], strict=True):
+            out = {"id": batch["id"], "n_shingles": [], "digest": [], "a": [], "b": []}
+            for text in batch["text"]:
                 found = shingle_set(text, words, cache)
+                out["n_shingles"].append(len(found))
                 if not len(found):
-                    out.append((key, 0, None, None, None))
+                    for c in ("digest", "a", "b"):
+                        out[c].append(None)
                     continue
                 low = minhashes(found, xor, odd).reshape(2 * groups, width)
                 h = np.zeros(2 * groups, np.uint64)
                 for i in range(width):
                     h = mixed(h * step + low[:, i])
                 h = h.view(np.int64)
-                digest = xxhash.xxh3_128_digest(found.tobytes())
-                out.append((key, len(found), digest, h[:groups], h[groups:]))
-            yield pd.DataFrame(out, columns=["id", "n_shingles", "digest", "a", "b"])
+                out["digest"].append(xxhash.xxh3_128_digest(found.tobytes()))
+                out["a"].append(h[:groups])
+                out["b"].append(h[groups:])
+            yield out
 
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_shingles bigint, digest binary, a array<bigint>, b array<bigint>"
-    return docs.select("id", "text").mapInPandas(run, schema)
+    return map_columns(docs.select("id", "text"), run, schema)
 
 
 def buckets(classes: DataFrame) -> DataFrame:
@@ -104,22 +106,25 @@ STARS = 6
 
 def _sets(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     """digest, n, hashes: the shingle set of each class, made again from the text of its first document."""
-    ids = classes.select("id", "digest")
+    ids = classes.select(F.col("id").alias("of"), "digest")
     if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
-    texts = docs.join(ids, "id").select("digest", "text")
+    # Null ids are one id here.
+    texts = docs.join(ids, F.col("id").eqNullSafe(F.col("of"))).select("digest", "text")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         cache = WordHashes()
         for batch in batches:
-            found = [shingle_set(t, words, cache).view(np.int64) for t in batch["text"]]
-            digests = [xxhash.xxh3_128_digest(f.tobytes()) for f in found]
-            # Another text with the same id is another class: it is told apart by its digest.
-            same = [d == bytes(w) for d, w in zip(digests, batch["digest"], strict=True)]
-            out = pd.DataFrame({"digest": digests, "hashes": found})
-            yield out[same]
-
-    return texts.mapInPandas(run, "digest binary, hashes array<bigint>").dropDuplicates(["digest"])
+            out = {"digest": [], "hashes": []}
+            for text, digest in zip(batch["text"], batch["digest"], strict=True):
+                found = shingle_set(text, words, cache)
+                # Another text with the same id is another class: it is told apart by its digest.
+                if xxhash.xxh3_128_digest(found.tobytes()) == digest:
+                    out["digest"].append(digest)
+                    out["hashes"].append(found.view(np.int64))
+            yield out
+
+    return map_columns(texts, run, "digest binary, hashes array<bigint>").dropDuplicates(["digest"])
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -11,10 +11,9 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame
 
-from tierline.llm.common import small_batches, table
+from tierline.llm.common import Columns, map_columns, small_batches, table
 
 # Entries of a worker's word cache before it starts anew.
 CACHE = 1 << 18
@@ -110,20 +109,18 @@ def count_tokens(docs: DataFrame, entries: list[bytes]) -> DataFrame:
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(LongestMatch(entries))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         counts = WordCounts(shared.value)
         for batch in batches:
             words = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "id": batch["id"],
-                    "n_words": [len(w) for w in words],
-                    "n_tokens": [sum(map(counts.__getitem__, w)) for w in words],
-                }
-            )
+            yield {
+                "id": batch["id"],
+                "n_words": [len(w) for w in words],
+                "n_tokens": [sum(map(counts.__getitem__, w)) for w in words],
+            }
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInPandas(run, f"id {kind}, n_words bigint, n_tokens bigint")
+    return map_columns(docs.select("id", "text"), run, f"id {kind}, n_words bigint, n_tokens bigint")
 
 
 def op4_token_counts(spark, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
