@@ -1,11 +1,12 @@
 """The operators' queries by name, and the SQL that states their results where SQL can."""
 
-from tierline.llm import decontaminate, html_text, minhash, mixing, secrets, sharding, tokens, warc
+from tierline.llm import decontaminate, html_text, minhash, mixing, secrets, sharding, tokens, toxicity, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
         html_text.op1_main_text,
+        toxicity.op2_toxicity_knn,
         sharding.op3_shard_hypergeometric,
         tokens.op4_token_counts,
         warc.op5_warc_boundary_chain,
