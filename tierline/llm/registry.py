@@ -1,6 +1,6 @@
 """The operators' queries by name, and the SQL that states their results where SQL can."""
 
-from tierline.llm import decontaminate, html_text, minhash, mixing, secrets, sharding, tokens, toxicity, warc
+from tierline.llm import decontaminate, embeddings, html_text, minhash, mixing, secrets, sharding, tokens, toxicity, warc
 
 QUERIES = {
     f.__name__: f
@@ -10,6 +10,7 @@ QUERIES = {
         sharding.op3_shard_hypergeometric,
         tokens.op4_token_counts,
         warc.op5_warc_boundary_chain,
+        embeddings.op6_near_vectors_nn_descent,
         decontaminate.op7_decontaminate_spaced_seeds,
         secrets.op8_secret_trigrams,
         minhash.op9_near_dup_tensored,
