@@ -6,10 +6,10 @@ from 2mk hashes. Two texts of similarity s meet in a table if they agree in a gr
 which has the probability ``(1 - (1 - s**k)**m)**2``: above 0.9999 for s = 0.8, k = 3, m = 16.
 
 Group hashes that only one text has are dropped before tables are formed, so only texts with a
-near-duplicate candidate pay for tables. Texts with equal shingle sets are one class from the start. In a
-table, all classes are compared with one of them first; confirmed links give components, and only classes
-of one table that are still in different components are compared with each other. A group of many copies
-is thus linked with about one comparison per copy, and no link between components is lost.
+near-duplicate candidate pay for tables. Texts with equal shingle sets are one class from the start. Classes
+that meet in tables form families. Within a family every two classes that are not yet connected are
+compared exactly, block by block: two blocks of sets make a sparse matrix whose product counts common
+shingles. Tasks return only links that connect, so a group of many copies costs no list of all its pairs.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.common import Columns, components, map_columns, small_batches, staged, table
@@ -84,24 +84,42 @@ def sketches(docs: DataFrame, words: int, groups: int = GROUPS, width: int = GRO
 def buckets(classes: DataFrame) -> DataFrame:
     """Rows (key, digest): the tables' buckets that hold at least two classes. ``classes``: digest, a, b."""
     half = lambda c: classes.select("digest", F.lit(c).alias("side"), F.posexplode(c).alias("i", "h"))
-    members = staged(half("a").union(half("b")), "groups")
+    members = half("a").union(half("b"))
     shared = members.groupBy("side", "i", "h").agg(F.count("*").alias("n")).where("n > 1")
     kept = members.join(staged(shared.drop("n"), "shared"), ["side", "i", "h"])
     of = lambda c: F.collect_list(F.when(F.col("side") == c, F.xxhash64("i", "h")))
-    both = kept.groupBy("digest").agg(of("a").alias("a"), of("b").alias("b"))
-    keys = both.withColumn("x", F.explode("a")).select(
+    both = staged(kept.groupBy("digest").agg(of("a").alias("a"), of("b").alias("b")), "both")
+    return both.withColumn("x", F.explode("a")).select(
         "digest", F.explode(F.transform("b", lambda y: F.xxhash64("x", y))).alias("key")
     )
-    keys = staged(keys, "keys")
-    shared = staged(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "shared")
-    return staged(keys.join(shared, "key"), "buckets")
+
+
+def families(classes: DataFrame) -> DataFrame:
+    """node, root: classes that meet in tables, directly or over others, and look alike.
+
+    In each bucket all classes are paired with two of them, the smallest and the largest digest; these are
+    the same classes in most buckets of a group of copies, so there are a few pairs per class. A pair
+    stays if it shares at least ALIKE of all group hashes; a pair of similarity 0.8 shares half of them.
+    """
+    keys = staged(buckets(classes), "keys")
+    ends = keys.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
+    met = keys.join(staged(ends, "ends"), "key")
+    pair = lambda c: met.where(F.col("digest") != F.col(c)).select("digest", F.col(c).alias("end"))
+    pairs = staged(pair("low").union(pair("high")).distinct(), "pairs")
+    of = lambda c, s: classes.select(F.col("digest").alias(c), F.concat("a", "b").alias(s))
+    both = pairs.join(of("digest", "p"), "digest").join(of("end", "q"), "end")
+    equal = F.aggregate(F.zip_with("p", "q", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, e: s + e)
+    return components(both.where(equal >= ALIKE).select(F.col("digest").alias("a"), F.col("end").alias("b")))
 
 
 # Sets of up to so many classes are fetched with a broadcast of their ids (some 40 bytes each).
 BROADCAST_ROWS = 200_000
-# Comparisons with one class per bucket go on while comparing all would cost so many pairs per member.
-PAIRS_PER_MEMBER = 4
-STARS = 6
+# Group hashes of all (2 * GROUPS) that two classes of a family share at least.
+ALIKE = 3
+# Sets and shingles of a block, about, and columns of the matrix that counts common shingles.
+BLOCK_SETS = 128
+BLOCK_SHINGLES = 200_000
+COLUMNS = 8192
 
 
 def _sets(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
@@ -127,63 +145,101 @@ def _sets(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     return map_columns(texts, run, "digest binary, hashes array<bigint>").dropDuplicates(["digest"])
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs x, y whose sets have 100 * intersection >= percent * union."""
-    of = lambda c: sets.select(F.col("digest").alias(c), F.col("hashes").alias(f"s{c}"))
-    both = pairs.join(of("x"), "x").join(of("y"), "y")
-    common = F.size(F.array_intersect("sx", "sy"))
-    union = F.size("sx") + F.size("sy") - common
-    return both.where(100 * common >= percent * union).select(F.col("x").alias("a"), F.col("y").alias("b"))
+def _confirmed(sets: list[np.ndarray], sides: list[int], percent: int) -> list[tuple[int, int]]:
+    """Links between sets of side 0 and side 1 (sets of side 2 are on both), as many as connect the same sets."""
+    sizes = np.array([len(s) for s in sets])
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    common = np.zeros((len(sets), len(sets)), np.float64)
+    for start in range(0, len(values), COLUMNS):
+        a, b = np.searchsorted(at, [start, start + COLUMNS])
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[row[a:b], at[a:b] - start] = 1
+        common += part @ part.T
+    linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    side = np.array(sides)
+    linked &= (side[:, None] != side[None, :]) | (side[:, None] == 2)
+    root = list(range(len(sets)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    links = []
+    for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
+        p, q = find(i), find(j)
+        if p != q:
+            root[q] = p
+            links.append((i, j))
+    return links
+
+
+def _compare(blocks: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links a, b of the blocks' pairs. ``blocks``: family, block, digest; ``pairs``: family, p, q.
+
+    A task's group holds the sets of two blocks.
+    """
+    one = pairs.where("p = q").select("family", "p", "q", F.col("p").alias("block"), F.lit(2).alias("side"))
+    two = pairs.where("p <> q")
+    sides = one.union(two.select("family", "p", "q", "p", F.lit(0))).union(two.select("family", "p", "q", "q", F.lit(1)))
+    rows = blocks.join(sides, ["family", "block"]).join(sets, "digest")
+    groups = rows.groupBy("family", "p", "q").agg(F.collect_list(F.struct("side", "digest", "hashes")).alias("members"))
 
+    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
+        for batch in batches:
+            out: Columns = {"a": [], "b": []}
+            for members in batch["members"]:
+                found = [np.array(m["hashes"], np.int64) for m in members]
+                for i, j in _confirmed(found, [m["side"] for m in members], percent):
+                    out["a"].append(members[i]["digest"])
+                    out["b"].append(members[j]["digest"])
+            yield out
+
+    return map_columns(groups.where(F.size("members") > 1).select("members"), run, "a binary, b binary")
 
-def _pair(x: Column, y: Column) -> list[Column]:
-    return [F.least(x, y).alias("x"), F.greatest(x, y).alias("y")]
 
+def _blocks(members: DataFrame, keys: list[str]) -> DataFrame:
+    """The members with ``cut``: a number below the blocks that their group needs, by sets and by shingles."""
+    need = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sizes = members.groupBy(*keys).agg(need.alias("cuts"))
+    return members.join(sizes, keys).withColumn("cut", F.pmod(F.xxhash64("digest"), F.col("cuts")).cast("int"))
 
-def link_classes(members: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Components (node, root) of the classes in ``members`` (key, digest), by confirmed links.
 
-    ``sizes``: digest, n. Pairs whose sizes alone rule out a link are not compared.
+def link_families(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Components (node, root) of the classes in ``members`` (family, digest, n), by confirmed links.
+
+    A family is cut into blocks. First all blocks meet one block, which settles small families and links most
+    of a large group of copies. Classes of large families that are still in different components then
+    meet in all pairs of blocks; blocks within one large component do not meet each other.
     """
-    fits = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
-    spark = members.sparkSession
-    links = spark.createDataFrame([], "a binary, b binary")
-    tested = spark.createDataFrame([], "x binary, y binary")
-    members = members.join(sizes, "digest").withColumn("root", F.col("digest"))
-    for turn in range(STARS + 1):
-        rooted = staged(members, "members")
-        parts = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
-        cost = parts.groupBy("key").agg(
-            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"), F.sum("n").alias("n")
-        )
-        open_ = staged(cost.where("pairs > 0"), "open")
-        pairs, n = open_.agg(F.sum("pairs"), F.sum("n")).first()
-        if not pairs:
-            break
-        rooted = rooted.join(open_.select("key"), "key")
-        last = turn == STARS or (turn > 0 and pairs <= PAIRS_PER_MEMBER * n)
-        if last:
-            x = rooted.select("key", F.col("digest").alias("p"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-            y = rooted.select("key", F.col("digest").alias("q"), F.col("n").alias("ny"), F.col("root").alias("ry"))
-            met = x.join(y, "key").where("rx < ry")
-        else:
-            centre = F.min_by(F.struct("digest", "n", "root"), F.xxhash64("digest", F.lit(turn))).alias("c")
-            stars = staged(rooted.groupBy("key").agg(centre), "stars")
-            met = rooted.join(stars, "key").where("root <> c.root").select(
-                F.col("digest").alias("p"), F.col("n").alias("nx"), F.col("c.digest").alias("q"), F.col("c.n").alias("ny")
-            )
-        new = met.where(fits).select(*_pair(F.col("p"), F.col("q"))).distinct()
-        new = staged(new.join(tested, ["x", "y"], "left_anti") if turn else new, "pairs")
-        links = links.union(staged(_links(new, sets, percent), "links"))
-        if last:
-            break
-        tested = tested.union(new)
-        roots = components(links)
-        members = (
-            rooted.drop("root").join(roots, F.col("digest") == F.col("node"), "left")
-            .select("key", "digest", "n", F.coalesce("root", "digest").alias("root"))
-        )
-    return components(links)
+    first = staged(_blocks(members, ["family"]), "blocks")
+    cuts = first.select("family", "cuts").distinct()
+    every = F.sequence(F.lit(0), F.col("cuts") - 1).cast("array<string>")
+    pairs = cuts.select("family", F.lit("0").alias("p"), F.explode(every).alias("q"))
+    blocks = first.select("family", F.col("cut").cast("string").alias("block"), "digest")
+    links = staged(_compare(blocks, pairs, sets, percent), "links")
+    large = first.where("cuts > 1").select("family", "digest", "n")
+    if large.isEmpty():
+        return components(links)
+    roots = components(links)
+    rooted = large.join(roots, F.col("digest") == F.col("node"), "left").select(
+        "family", "digest", "n", F.coalesce("root", "digest").alias("root")
+    )
+    # Large components have blocks of their own; the others share blocks.
+    sizes = rooted.groupBy("family", "root").agg(F.count("*").alias("size"))
+    rooted = rooted.join(staged(sizes, "sizes"), ["family", "root"])
+    own = F.when(F.col("size") >= BLOCK_SETS, F.hex("root")).otherwise("")
+    second = staged(_blocks(rooted.withColumn("own", own), ["family", "own"]), "blocks")
+    blocks = second.select("family", F.concat_ws("/", "own", "cut").alias("block"), "digest")
+    names = staged(second.select("family", "own", F.concat_ws("/", "own", "cut").alias("p")).distinct(), "names")
+    other = names.select("family", F.col("own").alias("other"), F.col("p").alias("q"))
+    pairs = names.join(other, "family").where("p <= q AND (own <> other OR own = '')").select("family", "p", "q")
+    more = staged(_compare(blocks, pairs, sets, percent), "links")
+    return components(links.union(more))
 
 
 def near_duplicates(
@@ -205,10 +261,10 @@ def near_duplicates(
         ),
         "classes",
     )
-    members = buckets(classes)
-    near = staged(members.select("digest").distinct().join(classes.select("digest", "id", "n"), "digest"), "near")
+    near = families(classes).select(F.col("root").alias("family"), F.col("node").alias("digest"))
+    near = staged(near.join(classes.select("digest", "id", "n"), "digest"), "near")
     sets = staged(_sets(docs, near, words), "sets")
-    roots = link_classes(members, near.select("digest", "n"), sets, percent)
+    roots = link_families(near.select("family", "digest", "n"), sets, percent)
     ids = staged(
         classes.select("digest", "id").join(roots, F.col("digest") == F.col("node"), "left")
         .select("digest", "id", F.coalesce("root", "digest").alias("root")),
