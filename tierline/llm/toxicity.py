@@ -171,7 +171,8 @@ class Index:
         made = cls(idf, ids, toxic, [], np.empty(0), (toxic.sum() + 0.5) / (len(toxic) + 1.0) if len(toxic) else 0.5)
         vectors = made.vectors(rows)
         # Neighbouring examples share their heaviest term, which makes bounds tight.
-        order = np.lexsort((np.arange(len(rows)), vectors.argmax(axis=1))) if len(rows) else np.empty(0, int)
+        heaviest = vectors.argmax(axis=1) if vectors.size else np.zeros(len(rows), int)
+        order = np.lexsort((np.arange(len(rows)), heaviest))
         tops = []
         for i in range(0, len(order), BLOCK):
             own = order[i : i + BLOCK]
