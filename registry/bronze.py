@@ -178,6 +178,75 @@ def replace_day_partition(spark, sf_dir):
     return wh.read("bronze.events")
 
 
+def _landed_days(spark, sf_dir):
+    """All events in a table by day, the events and their last day."""
+    days = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "value", F.col("ts").cast("date").alias("ingestion_date")
+    )
+    wh = Warehouse(
+        spark, scratch_dir(spark, "days"), {"bronze.events": Table("daily", days.schema, ("ingestion_date",))}
+    )
+    every = days.select("ingestion_date")
+    wh.write_dates("bronze.events", days, every)
+    return wh, days, days.agg(F.max("ingestion_date")).first()[0]
+
+
+@query(
+    "failed_day_keeps_rows",
+    "SELECT event_id, event_type, value, CAST(ts AS DATE) AS ingestion_date FROM events",
+)
+def failed_day_keeps_rows(spark, sf_dir):
+    """All days landed; landing the last one again fails in its last row and changes nothing."""
+    wh, days, last = _landed_days(spark, sf_dir)
+    bad = F.when(F.col("event_id") >= 0, F.raise_error(F.lit("bad row")).cast("double"))
+    again = days.where(F.col("ingestion_date") == F.lit(last)).withColumn("value", bad)
+    try:
+        wh.write_replace_partition("bronze.events", again, last)
+    except Exception as e:  # noqa: BLE001
+        if "bad row" not in str(e):
+            raise
+        return wh.read("bronze.events")
+    raise AssertionError("the write was expected to fail")
+
+
+@query(
+    "fact_dates_replaced",
+    """
+SELECT event_id, event_type, CASE WHEN day >= middle THEN value + 1 ELSE value END AS value, day AS ingestion_date
+FROM (SELECT *, CAST(ts AS DATE) AS day FROM events) e,
+     (SELECT max(CAST(ts AS DATE)) AS last, min(CAST(ts AS DATE)) + 3 AS middle FROM events) b
+WHERE day < last""",
+)
+def fact_dates_replaced(spark, sf_dir):
+    """All days loaded, then those from the fourth on again with new values; the last has no rows any more."""
+    wh, days, last = _landed_days(spark, sf_dir)
+    middle = days.agg(F.min("ingestion_date") + F.expr("INTERVAL 3 DAYS")).first()[0]
+    later = days.where(F.col("ingestion_date") >= F.lit(middle))
+    new = later.where(F.col("ingestion_date") < F.lit(last)).withColumn("value", F.col("value") + 1)
+    wh.write_dates("bronze.events", new, later.select("ingestion_date"))
+    return wh.read("bronze.events")
+
+
+@query(
+    "repeated_run_rejects",
+    """
+SELECT event_type AS rejection_reason, 'run:2' AS run_id, count(*) AS n FROM events GROUP BY event_type""",
+)
+def repeated_run_rejects(spark, sf_dir):
+    """Two runs reject all events; the first is repeated without rejects, and its old ones go."""
+    wh = Warehouse(spark, scratch_dir(spark, "rejects"))
+    wh.create()
+    rejects = table(spark, sf_dir, "events").select(
+        F.col("props").alias("raw_record_json"),
+        F.col("event_type").alias("rejection_reason"),
+        F.col("ts").cast("timestamp_ntz").alias("rejected_at"),
+    )
+    for run_id, rows in (("run:1", rejects), ("run:2", rejects), ("run:1", rejects.limit(0))):
+        wh.write_run("silver.rejected_records", rows, run_id=run_id, table_name="events")
+    seen = wh.read("silver.rejected_records")
+    return seen.groupBy("rejection_reason", "run_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 _K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
 _NUMBER_TEXT = f"""
 CASE WHEN {_K} < 5 THEN NULL WHEN {_K} < 10 THEN '' WHEN {_K} < 15 THEN 'nan'

@@ -35,21 +35,20 @@ HOW = {"key": "id", "attributes": ATTRIBUTES, "run_ts": SECOND_RUN, "key_column"
     "scd1_upsert",
     """
 SELECT c_custkey AS id, c_mktsegment AS label FROM customer
-WHERE NOT EXISTS (SELECT 1 FROM {states} s WHERE s.id = c_custkey AND s.priority = '1-URGENT')
+WHERE NOT EXISTS (SELECT 1 FROM {states} s WHERE s.id = c_custkey)
 UNION ALL
 SELECT id, label FROM (
   SELECT id, coalesce(status, 'open') AS label,
          row_number() OVER (PARTITION BY id ORDER BY seen DESC, seq DESC) AS place
-  FROM {states} s WHERE priority = '1-URGENT') u
+  FROM {states} s) u
 WHERE place = 1""",
 )
 def scd1_upsert(spark, sf_dir):
-    """Market segments overwritten by the state of each customer's last urgent order."""
+    """Market segments overwritten by the state of each customer's last order."""
     target = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
         F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("label")
     )
-    urgent = feed(spark, sf_dir, "states").where(F.col("priority") == "1-URGENT")
-    source = latest_per_key(urgent, ["id"], newest()).select(
+    source = latest_per_key(feed(spark, sf_dir, "states"), ["id"], newest()).select(
         "id", F.coalesce("status", F.lit("open")).alias("label")
     )
     return scd1(target, source, "id")

@@ -211,3 +211,10 @@ def safe_sql(spark, sf_dir):
     """A read-only text over a registered view."""
     table(spark, sf_dir, "orders").createOrReplaceTempView("tierline_orders")
     return run_sql(spark, _ADHOC.format(source="tierline_orders"))
+
+
+@query("safe_sql_many_rows", "SELECT o_orderkey, o_orderstatus FROM orders")
+def safe_sql_many_rows(spark, sf_dir):
+    """A read-only text returns all of its rows."""
+    table(spark, sf_dir, "orders").createOrReplaceTempView("tierline_orders")
+    return run_sql(spark, "SELECT o_orderkey, o_orderstatus FROM tierline_orders")

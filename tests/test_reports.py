@@ -141,19 +141,41 @@ def test_run_alerts(frame):
     ],
 )
 def test_read_only_gate(sql, accepted):
-    text = sql.strip().strip("`").replace("sql\n", "", 1)
-    assert adhoc.is_read_only(text) is accepted
+    assert adhoc.is_read_only(adhoc.clean(sql)) is accepted
 
 
-def test_adhoc_caps_rows(spark):
+def test_adhoc_rows(spark):
     spark.range(2000).createOrReplaceTempView("many")
-    assert adhoc.query(spark, "```sql\nSELECT * FROM many;\n```").count() == 500
-    assert adhoc.query(spark, "SELECT * FROM many LIMIT 1000").count() == 500
-    assert adhoc.query(spark, "SELECT * FROM many LIMIT 3").count() == 3
+    assert adhoc.query(spark, "```sql\nSELECT * FROM many;\n```").count() == 2000
+    assert adhoc.query(spark, "SELECT * FROM many LIMIT 1000").count() == 1000
+    assert adhoc.query(spark, "SELECT * FROM many", max_rows=500).count() == 500
+    assert adhoc.truncated(spark, "SELECT * FROM many", 500) and not adhoc.truncated(spark, "SELECT * FROM many", 2000)
+    text = "WITH x AS (SELECT id FROM many), y (k) AS (SELECT id FROM x) SELECT k FROM y WHERE k IN (SELECT id FROM many)"
+    assert adhoc.query(spark, text).count() == 2000
     with pytest.raises(ValueError, match="read-only"):
         adhoc.query(spark, "TRUNCATE TABLE many")
 
 
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.home')", "SELECT java_method('a', 'b')",
+        "SELECT try_reflect('a', 'b') FROM many", "SELECT * FROM text.`/etc/hostname`", "SELECT * FROM parquet.`/tmp/x` t",
+        "SELECT * FROM nothing_known", "WITH x AS (SELECT * FROM text.`/etc/hostname`) SELECT * FROM x",
+        "SELECT (SELECT max(value) FROM text.`/etc/hostname`) AS v", "SELECT 1 WHERE EXISTS (SELECT * FROM csv.`/etc/hosts`)",
+    ],
+)
+def test_adhoc_refuses(spark, sql):
+    spark.range(5).createOrReplaceTempView("many")
+    with pytest.raises(ValueError):
+        adhoc.query(spark, sql)
+
+
+def test_forecast_of_nothing(frame):
+    (row,) = analytics.forecast(frame("trending_date date, val long", [])).collect()
+    assert row["status"] == analytics.INSUFFICIENT and row["predicted"] is None
+
+
 def test_ledger(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path / "wh"))
     wh.create()

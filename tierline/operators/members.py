@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions import inferred_id, timestamp
-from tierline.functions.text import INFERRED_PREFIX
 from tierline.operators.dedupe import latest_per_key
 from tierline.operators.scd import first_versions
 
@@ -21,6 +20,11 @@ def missing_values(facts: DataFrame, known: DataFrame, column: str) -> DataFrame
     return facts.select(column).distinct().join(known.select(column), column, "left_anti")
 
 
+def is_inferred() -> Column:
+    """Whether a channel's id was made from its title; a real id may start with the same text."""
+    return F.coalesce(F.col("channel_id") == inferred_id(F.col("channel_title")), F.lit(False))
+
+
 def inferred_channels(
     items: DataFrame, dim: DataFrame, run_ts: dt.datetime | str
 ) -> DataFrame:
@@ -39,7 +43,7 @@ def inferred_channels(
         }
     )
     earlier = (
-        dim.where(F.col("channel_id").startswith(INFERRED_PREFIX))
+        dim.where(is_inferred())
         .groupBy("channel_id")
         .agg(F.max("version_number").alias("_last"))
     )
@@ -53,11 +57,17 @@ def inferred_channels(
 def inferred_items(
     items: DataFrame, dim: DataFrame, order_by: list, run_ts: dt.datetime | str
 ) -> DataFrame:
-    """Items without a current member, with the attributes of their latest fact row."""
+    """Items without a current member, with the attributes of their latest fact row.
+
+    Version 1, or one more than the last version of an item that has only closed ones in ``dim``.
+    """
     new = latest_per_key(items, ["video_id"], order_by).join(
         dim.where("is_current").select("video_id"), "video_id", "left_anti"
     )
-    return first_versions(new, "video_id", "dim_video_key", run_ts).select(*dim.columns)
+    earlier = dim.groupBy("video_id").agg(F.max("version_number").alias("_last"))
+    version = F.coalesce(F.col("_last"), F.lit(0)) + 1
+    numbered = new.join(earlier, "video_id", "left")
+    return first_versions(numbered, "video_id", "dim_video_key", run_ts, version).select(*dim.columns)
 
 
 def inferred_categories(
@@ -81,6 +91,6 @@ def replaced_inferred(dim: DataFrame) -> DataFrame:
     title occurs once on the left and, after ``distinct``, each real one once on the right.
     """
     current = dim.where("is_current")
-    inferred = F.col("channel_id").startswith(INFERRED_PREFIX)
+    inferred = is_inferred()
     real = current.where(~inferred).select("channel_title").distinct()
     return current.where(inferred).join(real, "channel_title", "left_semi").select("channel_id")

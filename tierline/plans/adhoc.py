@@ -6,8 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Row cap, accepted first words, and words no accepted text may contain.
-MAX_ROWS = 500
+# Accepted first words, and words no accepted text may contain.
 FIRST_WORDS = ("SELECT", "WITH")
 FORBIDDEN_WORDS = (
     "INSERT",
@@ -21,18 +20,70 @@ FORBIDDEN_WORDS = (
     "REVOKE",
     "COPY",
 )
+# Functions that call methods of the JVM.
+CALLS = ("REFLECT", "TRY_REFLECT", "JAVA_METHOD")
 
 
 def is_read_only(sql: str) -> bool:
     """Whether the text starts like a query and has none of the forbidden words, also in literals."""
     words = re.findall(r"\w+", sql.upper())
     starts = sql.strip().upper().startswith(FIRST_WORDS)
-    return starts and not set(words) & set(FORBIDDEN_WORDS)
+    return starts and not set(words) & {*FORBIDDEN_WORDS, *CALLS}
 
 
-def query(spark: SparkSession, sql: str, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Run a read-only query; the result never has more than ``max_rows`` rows."""
-    text = re.sub(r"^`*(sql\n)?|[`;\s]+$", "", sql.strip()).strip()
+def _relations(plan) -> list[list[str]]:
+    """Name parts of all relations of a parsed text, also in subqueries and in WITH."""
+    found, ahead = [], [plan]
+    while ahead:
+        node = ahead.pop()
+        if node.nodeName() == "UnresolvedRelation":
+            found.append(_sequence(node.multipartIdentifier()))
+        ahead += _sequence(node.children()) + _sequence(node.innerChildren()) + _sequence(node.subqueries())
+    return found
+
+
+def _sequence(items) -> list:
+    return [items.apply(i) for i in range(items.size())]
+
+
+def unknown_relations(spark: SparkSession, sql: str) -> list[str]:
+    """Relations of the text that are no registered table or view and no name of its own WITH.
+
+    A path such as ``parquet.`/tmp``` is a relation without an entry in the catalog.
+    """
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    own = {n.lower() for n in re.findall(r"([A-Za-z_]\w*)\s*(?:\([^()]*\)\s*)?AS\s*\(", sql, re.IGNORECASE)}
+    unknown = []
+    for parts in _relations(plan):
+        name = ".".join(f"`{p.replace('`', '``')}`" for p in parts)
+        local = len(parts) == 1 and parts[0].lower() in own
+        if not local and not (len(parts) <= 3 and "/" not in name and spark.catalog.tableExists(name)):
+            unknown.append(name)
+    return unknown
+
+
+def query(spark: SparkSession, sql: str, max_rows: int | None = None) -> DataFrame:
+    """Run a read-only query over registered tables and views; all rows, or the first ``max_rows``.
+
+    ``truncated`` tells whether a bound would cut the result.
+    """
+    text = clean(sql)
     if not is_read_only(text):
         raise ValueError("only read-only SELECT statements are allowed")
-    return spark.sql(text).limit(max_rows)
+    if unknown := unknown_relations(spark, text):
+        raise ValueError(f"not a registered table or view: {', '.join(unknown)}")
+    rows = spark.sql(text)
+    return rows if max_rows is None else rows.limit(max_rows)
+
+
+def truncated(spark: SparkSession, sql: str, max_rows: int) -> bool:
+    """Whether the query has more rows than the bound."""
+    return len(query(spark, sql, max_rows + 1).take(max_rows + 1)) > max_rows
+
+
+def clean(sql: str) -> str:
+    """The text without a code fence and closing semicolons around it."""
+    text = sql.strip()
+    if text.startswith("```"):
+        text = text.removeprefix("```").removesuffix("```").strip().removeprefix("sql\n")
+    return text.rstrip("; \t\r\n").lstrip()

@@ -100,6 +100,7 @@ def forecast(
             F.stddev_pop("residual").alias("spread"),
             F.max("trending_date").alias("last_date"),
         )
+        .withColumn("status", F.coalesce("status", F.lit(INSUFFICIENT)))
     )
     enough = F.col("status") == "ok"
     days = F.when(enough, F.sequence(F.lit(1), F.lit(horizon))).otherwise(F.array(F.lit(0)))

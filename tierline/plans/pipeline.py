@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierline import model
 from tierline.functions import timestamp
+from tierline.functions.times import naive_utc
 from tierline.operators.dedupe import latest_per_key, newest_rows, repeated_keys
 from tierline.operators.fact import star_join
 from tierline.operators.members import (
@@ -81,11 +81,11 @@ class Pipeline:
         self.spark = spark
         self.wh = warehouse
         self.run_id = run_id
-        self.run_ts = run_ts
-        self.day = run_ts.date()
+        self.run_ts = naive_utc(run_ts)
+        self.day = self.run_ts.date()
         self.full = full
         self.on_shared_title = on_shared_title
-        self.ledger = RunLedger(warehouse, run_id, "medallion_etl_pipeline", run_ts)
+        self.ledger = RunLedger(warehouse, run_id, "medallion_etl_pipeline", self.run_ts)
         self.counts = {"inserted": 0, "updated": 0, "rejected": 0}
 
     def run(self, feeds: Feeds) -> dict[str, int]:
@@ -218,15 +218,12 @@ class Pipeline:
     def store(self, table: str, classified: DataFrame, payload, write_valid) -> tuple[int, str]:
         """Write valid rows and rejects of one classified frame, which is computed once."""
         frame, seen = counted(classified)
-        frame = frame.persist(StorageLevel.DISK_ONLY)
-        try:
-            write_valid(frame)
-            rejects = rejected_records(
-                frame.where(F.col(REASON).isNotNull()), self.run_id, table, payload
-            ).withColumn("rejected_at", timestamp(self.run_ts))
-            self.wh.write_run("silver.rejected_records", rejects)
-        finally:
-            frame.unpersist()
+        frame = self.wh.stage(frame, scratch_dir(self.spark, "classified"))
+        write_valid(frame)
+        rejects = rejected_records(
+            frame.where(F.col(REASON).isNotNull()), self.run_id, table, payload
+        ).withColumn("rejected_at", timestamp(self.run_ts))
+        self.wh.write_run("silver.rejected_records", rejects, run_id=self.run_id, table_name=table)
         valid, rejected = int(seen.get["valid"]), int(seen.get["rejected"])
         self.counts["inserted"] += valid
         self.counts["rejected"] += rejected
@@ -365,7 +362,7 @@ class Pipeline:
         new = inferred_channels(items, self.wh.read("gold.dim_channel"), self.run_ts)
         found["Ch"] = self.add_rows("gold.dim_channel", new, self.wh.write_versions)
         new = inferred_items(
-            items, self.wh.current("gold.dim_video"), latest_item_order(), self.run_ts
+            items, self.wh.read("gold.dim_video"), latest_item_order(), self.run_ts
         )
         found["Vid"] = self.add_rows("gold.dim_video", new, self.wh.write_versions)
         return "Inferred " + ", ".join(f"{k}: {v}" for k, v in found.items())

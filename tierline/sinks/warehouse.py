@@ -1,14 +1,16 @@
 """Parquet tables below one root path.
 
-Tables that are replaced as a whole get a new directory per write; a row in
-``metadata.table_versions`` then makes it the visible one. A failed write leaves the old version
-in place, and a plan may read the table it is about to replace. All other tables are plain
-directories of Parquet files, replaced one partition at a time.
+Tables that are replaced as a whole get a new directory per write; the table's one row in
+``metadata.table_versions`` then makes it the visible one. A plan may read the table it is about to
+replace; of old versions the last few are kept. All other tables are plain directories of Parquet files,
+replaced one partition at a time: the new files are written elsewhere and take the place of the old ones
+when the write has succeeded. A failed write leaves the old rows in place.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -19,6 +21,8 @@ from pyspark.sql import types as T
 from tierline.model import TABLES, Table
 
 VERSIONS = "metadata.table_versions"
+# Visible and older versions of a replaced table that stay on disk: frames of a run may read them.
+KEEP_VERSIONS = 5
 
 
 class Warehouse:
@@ -73,9 +77,13 @@ class Warehouse:
 
     def version(self, name: str) -> int | None:
         """Number of the visible version of a replaced table."""
-        seen = self._parquet(self.path(VERSIONS), TABLES[VERSIONS].schema)
-        mine = seen.where(F.col("table_name") == name)
-        return mine.agg(F.max("version").alias("v")).first()["v"]
+        one = T.StructType([T.StructField("version", T.LongType())])
+        row = self._parquet(self._pointer(name), one).agg(F.max("version").alias("v")).first()
+        return row["v"]
+
+    def _pointer(self, name: str) -> str:
+        """One directory with one row for each replaced table."""
+        return f"{self.path(VERSIONS)}/{self._folder('table_name', name)}"
 
     @staticmethod
     def _visible(rows: DataFrame, version: int) -> DataFrame:
@@ -118,23 +126,26 @@ class Warehouse:
         """Replace the rows of one day (K1, K4); an empty frame clears the day."""
         (key,) = self.tables[name].partition
         rows, count = self._counted(name, df, drop=(key,))
-        rows.write.mode("overwrite").parquet(f"{self.path(name)}/{key}={day.isoformat()}")
+        new = self._aside()
+        rows.write.parquet(new)
+        self._swap(new, f"{self.path(name)}/{key}={day.isoformat()}")
         return count()
 
-    def write_run(self, name: str, df: DataFrame) -> int:
-        """Add the rows of a run (K3, V11); a repeated run replaces what it wrote before."""
-        rows, count = self._counted(name, df)
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*self.tables[name].partition)
-            .parquet(self.path(name))
-        )
+    def write_run(self, name: str, df: DataFrame, **run: str) -> int:
+        """Replace the rows of one run (K3, V11), named by its value for each partition column.
+
+        A run that is repeated replaces all it wrote before, also if it has no rows now.
+        """
+        keys = self.tables[name].partition
+        rows, count = self._counted(name, df, drop=keys)
+        new = self._aside()
+        rows.write.parquet(new)
+        self._swap(new, "/".join([self.path(name), *[self._folder(k, run[k]) for k in keys]]))
         return count()
 
     def write_full(self, name: str, df: DataFrame) -> int:
         """Replace a table (K2)."""
-        version = (self.version(name) or 0) + 1
+        version = self._claim(name)
         rows, count = self._counted(name, df)
         rows.write.mode("overwrite").parquet(f"{self.path(name)}/version={version}")
         self._publish(name, version)
@@ -145,7 +156,7 @@ class Warehouse:
 
         Rows closed by earlier steps stay in their own directories and are not rewritten.
         """
-        version = (self.version(name) or 0) + 1
+        version = self._claim(name)
         rows, count = self._counted(name, df)
         rows.write.mode("overwrite").partitionBy("is_current").parquet(
             f"{self.path(name)}/version={version}"
@@ -164,18 +175,14 @@ class Warehouse:
         rows = rows.observe(
             seen, F.count(F.lit(1)).alias("n"), F.collect_set(key).alias("written")
         )
-        (
-            rows.hint("rebalance", key)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(key)
-            .parquet(self.path(name))
-        )
-        # A date without new rows has no partition to overwrite. Both lists hold days, not rows.
-        wanted = {r[0] for r in dates.select(key).distinct().collect()}
-        nothing = self._empty(self.tables[name].schema)
-        for day in sorted(wanted - set(seen.get["written"])):
-            self.write_replace_partition(name, nothing, day)
+        new = self._aside()
+        rows.hint("rebalance", key).write.partitionBy(key).parquet(new)
+        # Both lists hold days, not rows. A date without new rows has no directory to move: it is cleared.
+        written = {day.isoformat() for day in seen.get["written"]}
+        wanted = {r[0].isoformat() for r in dates.select(key).distinct().collect()}
+        for day in sorted(wanted | written):
+            self._swap(f"{new}/{key}={day}" if day in written else None, f"{self.path(name)}/{key}={day}")
+        self._files(new).delete(self._hadoop(new), True)
         return int(seen.get["n"])
 
     def stage(self, df: DataFrame, path: str) -> DataFrame:
@@ -183,8 +190,61 @@ class Warehouse:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    # Files
+
+    def _hadoop(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self, path: str):
+        return self._hadoop(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _folder(self, key: str, value: str) -> str:
+        """Name of a partition's directory, with the escapes that Spark's writer uses."""
+        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        return f"{key}={escape(value)}"
+
+    def _aside(self) -> str:
+        """A new place below the root, which no table reads."""
+        return f"{self.root}/_aside/{uuid.uuid4().hex}"
+
+    def _swap(self, new: str | None, place: str) -> None:
+        """Put a written directory where another one may be; None clears the place.
+
+        Only names change, after all files are written; the old directory goes last.
+        """
+        files, old = self._files(self.root), self._aside()
+        files.mkdirs(self._hadoop(old).getParent())
+        files.mkdirs(self._hadoop(place).getParent())
+        had = files.exists(self._hadoop(place)) and files.rename(self._hadoop(place), self._hadoop(old))
+        if new is not None and not files.rename(self._hadoop(new), self._hadoop(place)):
+            if had:
+                files.rename(self._hadoop(old), self._hadoop(place))
+            raise OSError(f"could not move {new} to {place}")
+        if had:
+            files.delete(self._hadoop(old), True)
+        # Spark remembers the files of directories it has read.
+        self.spark.catalog.refreshByPath(place)
+
+    def _claim(self, name: str) -> int:
+        """The next version number; of two writers only one can make the marker of a number."""
+        files, version = self._files(self.root), (self.version(name) or 0) + 1
+        files.mkdirs(self._hadoop(f"{self.path(name)}/_claims"))
+        while not files.createNewFile(self._hadoop(f"{self.path(name)}/_claims/{version}")):
+            version += 1
+        return version
+
     def _publish(self, name: str, version: int) -> None:
-        self.append_row(VERSIONS, {"table_name": name, "version": version})
+        """Make a version the visible one, and drop what no reader needs any more."""
+        new = self._aside()
+        self.spark.range(0, 1, 1, 1).select(F.lit(version).cast("bigint").alias("version")).write.parquet(new)
+        self._swap(new, self._pointer(name))
+        files, gone = self._files(self.root), version - KEEP_VERSIONS
+        if gone < 1:
+            return
+        # Rows of a dimension that a version closed stay; its current rows are in later versions.
+        part = "/is_current=true" if self.tables[name].layout == "versions" else ""
+        files.delete(self._hadoop(f"{self.path(name)}/version={gone}{part}"), True)
+        files.delete(self._hadoop(f"{self.path(name)}/_claims/{gone}"), True)
 
     def _counted(self, name: str, df: DataFrame, drop: Sequence[str] = ()):
         """The columns of the table in order, and a function for the count once they are written."""
