@@ -121,3 +121,15 @@ def test_times(frame):
         timestamp(dt.datetime(2024, 1, 1, 0, 0, 0)).alias("a"), timestamp("2024-01-01 00:05:00.255").alias("b")
     )
     assert df.select(duration_seconds(F.col("a"), F.col("b"))).first()[0] == decimal.Decimal("300.26")
+
+
+def test_other_times(frame):
+    from tierline.functions.text import parse_time
+
+    cases = {
+        "2024-01-02T03:04:05.000Z": "2024-01-02 03:04:05", "1/2/2024 3:04": "2024-01-02 03:04:00", "2 Jan 2024": "2024-01-02 00:00:00",
+        "Tue, 02 Jan 2024 03:04:05 GMT": "2024-01-02 03:04:05", "January 2, 2024": "2024-01-02 00:00:00", "20240102": "2024-01-02 00:00:00",
+        "2024/1/2": "2024-01-02 00:00:00", "12:30": None, "bad": None, "13/45/2024": None, "": None, None: None,
+    }
+    rows = frame("t string", [(t,) for t in cases]).select("t", parse_time(F.col("t")).cast("string").alias("v")).collect()
+    assert {r["t"]: r["v"] for r in rows} == cases

@@ -85,3 +85,21 @@ def test_lineage_and_string_cast(frame):
     assert as_dicts(df) == [{"a": "1", "b": None, "source_system": "src", "load_timestamp": RUN_TS,
                              "ingestion_date": RUN_TS.date()}]
     assert dict(all_strings(df, except_=["load_timestamp"]).dtypes)["load_timestamp"] == "timestamp_ntz"
+
+
+def test_rows_are_numbered_by_file_and_line(spark, tmp_path):
+    """The larger file is read first by its task, but its rows come second."""
+    from tierline.sources import in_scan_order, read_csv_bronze
+
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    (folder / "a.csv").write_text("k,v\n1,a\n2,b\n")
+    (folder / "b.csv").write_text("k,v\n" + "".join(f"{i},{'x' * 50}\n" for i in range(3, 203)))
+    for multi_line in (True, False):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000" if not multi_line else "128m")
+        path = str(tmp_path / f"stored-{multi_line}")
+        read_csv_bronze(spark, str(folder), ["k", "v"], multi_line, place=True).write.parquet(path)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        rows = in_scan_order(spark.read.parquet(path), "row_seq").orderBy("row_seq").collect()
+        assert [int(r["k"]) for r in rows] == list(range(1, 203))
+        assert rows[0].asDict().keys() == {"k", "v", "row_seq"}

@@ -7,6 +7,7 @@ from tierline.functions.text import (
     parse_feed_date,
     parse_int,
     parse_iso_timestamp,
+    parse_time,
     raw_json,
     strip,
     surrogate_key,
@@ -23,6 +24,7 @@ __all__ = [
     "parse_feed_date",
     "parse_int",
     "parse_iso_timestamp",
+    "parse_time",
     "pct_change",
     "raw_json",
     "strip",

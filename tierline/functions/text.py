@@ -22,6 +22,13 @@ YEAR_OF_1900S = r"(69|[7-9]\d)"
 YEAR_OF_2000S = r"([0-5]\d|6[0-8])"
 DAY_AND_MONTH = r"\.(?: (?=[1-9]\.))?(0[1-9]|[12]\d|3[01]|[1-9])\.(0[1-9]|1[0-2]|[1-9])"
 STARTS_WITH_YEAR = r"\d{4}"
+OTHER_TIMES = (
+    "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "d MMM yyyy H:mm:ss", "d MMM yyyy H:mm", "d MMM yyyy",
+    "MMM d, yyyy H:mm:ss", "MMM d, yyyy H:mm", "MMM d, yyyy", "MMMM d, yyyy H:mm:ss", "MMMM d, yyyy",
+    "d MMMM yyyy", "yyyy/M/d H:mm:ss", "yyyy/M/d", "yyyyMMdd'T'HHmmss", "yyyyMMdd",
+)
+WEEKDAY = r"\A(?i:mon|tue|wed|thu|fri|sat|sun)[a-z]*,? +"
+ZONE = r"(?i: *(?:z|utc|gmt))\z"
 TRUE_WORDS = "true|t|1|yes"
 FALSE_WORDS = "false|f|0|no"
 NO_VALUE = "nan"
@@ -77,6 +84,16 @@ def parse_iso_timestamp(c: Column) -> Column:
     return F.when(dated, F.try_to_timestamp(strip(c))).cast("timestamp_ntz")
 
 
+def parse_time(c: Column) -> Column:
+    """ISO-8601 or another common spelling as UTC wall time (F4); month comes before day in ``1/2/2024``.
+
+    The other spellings are tried only where ISO fails; a weekday before and a UTC mark behind are dropped.
+    """
+    plain = F.regexp_replace(F.regexp_replace(strip(c), WEEKDAY, ""), ZONE, "")
+    others = [F.try_to_timestamp(plain, F.lit(f)).cast("timestamp_ntz") for f in OTHER_TIMES]
+    return F.coalesce(parse_iso_timestamp(c), *others)
+
+
 def contains_ignoring_case(c: Column, text: str, wildcards: bool = False) -> Column:
     """Substring match in any case (P7, F16); ``%`` and ``_`` match themselves unless asked."""
     if not wildcards:

@@ -27,6 +27,7 @@ from tierline.session import require_utc, scratch_dir
 from tierline.sinks.warehouse import Warehouse
 from tierline.sources import (
     all_strings,
+    in_scan_order,
     read_csv_bronze,
     read_incremental,
     read_json_items,
@@ -119,10 +120,10 @@ class Pipeline:
 
     def land_items(self, feeds: Feeds) -> tuple[int, str]:
         rows = read_csv_bronze(
-            self.spark, feeds.items_csv, model.ITEM_FEED, multi_line=feeds.csv_multi_line
+            self.spark, feeds.items_csv, model.ITEM_FEED, multi_line=feeds.csv_multi_line, place=True
         )
-        # Stored with the row: its place in the scan, which decides what a duplicate is.
-        rows = rows.withColumn("row_seq", F.monotonically_increasing_id())
+        # Stored with the row: its place in the feed, which decides what a duplicate is.
+        rows = in_scan_order(self.wh.stage(rows, scratch_dir(self.spark, "items")), "row_seq")
         landed = with_lineage(rows, CSV_SOURCE, self.run_ts)
         n = self.wh.write_replace_partition("bronze.raw_videos", landed, self.day)
         return n, f"Ingested {n} rows from CSV"
@@ -288,8 +289,11 @@ class Pipeline:
         """SCD2 over the current rows and, of the closed ones, only those the source reopens."""
         current = self.wh.current(table)
         absent = source.select(key).distinct().join(current.select(key), key, "left_anti")
-        reopened = self.wh.history(table).join(absent, key, "left_semi")
-        target = current.unionByName(reopened)
+        absent = self.wh.stage(absent, scratch_dir(self.spark, "absent"))
+        target = current
+        # Closed rows are read only for keys without a current one.
+        if not absent.isEmpty():
+            target = current.unionByName(self.wh.history(table).join(absent, key, "left_semi"))
         result = scd2(target, source, key=key, run_ts=self.run_ts, **how)
         now = timestamp(self.run_ts)
         # Rows closed by earlier runs are already stored.
@@ -321,7 +325,8 @@ class Pipeline:
         self.step(GOLD, "trending_trends_mart", self.trends_mart)
 
     def load_fact(self) -> tuple[int, str]:
-        items = self.items_to_reload()
+        # Read by three searches for missing members and the star join, so it is stored once.
+        items = self.wh.stage(self.items_to_reload(), scratch_dir(self.spark, "items"))
         inferred = self.add_inferred(items)
         channels = self.wh.current("gold.dim_channel")
         seen = Observation()

@@ -14,6 +14,7 @@ from tierline.functions import (
     parse_feed_date,
     parse_int,
     parse_iso_timestamp,
+    parse_time,
     raw_json,
     strip,
     timestamp,
@@ -61,7 +62,7 @@ def classify_items(
         {f"p_{c}": parse_int(F.col(c)) for c in METRICS}
         | {
             "p_category_id": parse_int(F.col("category_id"), "int"),
-            "p_publish_time": parse_iso_timestamp(F.col("publish_time")),
+            "p_publish_time": parse_time(F.col("publish_time")),
             "p_trending_date": parse_feed_date(F.col("trending_date")),
         }
     )

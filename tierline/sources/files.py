@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,14 +32,19 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def read_csv_bronze(
-    spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True
+    spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True, place: bool = False
 ) -> DataFrame:
     """CSV with a header, every field a string, empty fields kept as ``''``.
 
     Quoted fields may hold line breaks, so a file is one split by default and the feed scales
     with its number of files. A feed known to have no line breaks in fields can pass
-    ``multi_line=False`` to let Spark split large files.
+    ``multi_line=False`` to let Spark split large files. ``place`` adds columns for ``in_scan_order``.
     """
+    extra = [
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),
+    ]
     return (
         spark.read.schema(string_schema(columns))
         .option("header", True)
@@ -51,7 +56,22 @@ def read_csv_bronze(
         # The default limit would reject long text fields.
         .option("maxCharsPerColumn", -1)
         .csv(path)
-        .na.fill("")
+        .select(*columns, *(extra if place else []))
+        .na.fill("", list(columns))
+    )
+
+
+def in_scan_order(rows: DataFrame, name: str) -> DataFrame:
+    """Number rows by file path, block and line instead of by task; files of a task may be in any order.
+
+    ``rows`` must be stored, so that a row keeps its ``_file``, ``_block`` and ``_at``. One row per block is ranked.
+    """
+    blocks = rows.groupBy("_file", "_block").agg(F.min("_at").alias("_first"))
+    rank = F.row_number().over(Window.orderBy("_file", "_block"))
+    ranked = blocks.withColumn("_rank", rank)
+    number = F.shiftleft(F.col("_rank").cast("bigint"), 33) + F.col("_at") - F.col("_first")
+    return rows.join(ranked, ["_file", "_block"]).withColumn(name, number).drop(
+        "_file", "_block", "_at", "_first", "_rank"
     )
 
 
