@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from registry.base import feed, query
 from registry.reports import _kpi
 from registry.silver import _CLASSIFIED
+from tierline.plans.ledger import RUNS
 from tierline.plans.pipeline import Pipeline
 from tierline.session import scratch_dir
 from tierline.sinks import Warehouse
@@ -24,17 +25,38 @@ SELECT p_date AS trending_date, trim(video_id) AS video_id, p_views AS views, p_
 FROM ({_CLASSIFIED}) c WHERE reason IS NULL AND trim(channel_title) <> '')"""
 
 
-@query("run_from_bronze", _kpi(_FACTS, "category"))
-def run_from_bronze(spark, sf_dir):
-    """The daily KPI mart of a whole run over the raw items."""
+def _landed_run(spark, sf_dir):
+    """A warehouse with the raw items landed, and a run over it."""
     raw = feed(spark, sf_dir, "raw_items").drop("source_system")
     wh = Warehouse(spark, scratch_dir(spark, "run"))
     wh.create()
     raw = raw.withColumn("thumbnail_link", F.lit(None).cast("string"))
     landed = with_lineage(raw, "events", RUN_TS)
     wh.write_replace_partition("bronze.raw_videos", landed, RUN_TS.date())
-    run = Pipeline(spark, wh, "run-1", RUN_TS)
+    return wh, Pipeline(spark, wh, "run-1", RUN_TS)
+
+
+@query("run_from_bronze", _kpi(_FACTS, "category"))
+def run_from_bronze(spark, sf_dir):
+    """The daily KPI mart of a whole run over the raw items."""
+    wh, run = _landed_run(spark, sf_dir)
     run.clean()
     run.historize()
     run.build()
     return wh.read("gold.trending_kpi_summary_mart").drop("load_timestamp")
+
+
+@query(
+    "run_counts",
+    f"""
+SELECT 'run-1' AS run_id, 'SUCCESS' AS status, CAST(count(*) - count(reason) AS BIGINT) AS records_inserted,
+       CAST(count(reason) AS BIGINT) AS records_rejected
+FROM ({_CLASSIFIED}) c""",
+)
+def run_counts(spark, sf_dir):
+    """What the ledger says about a run that validated the raw items."""
+    wh, run = _landed_run(spark, sf_dir)
+    run.ledger.start()
+    run.clean()
+    run.ledger.finish("SUCCESS", **run.counts)
+    return wh.read(RUNS).select("run_id", "status", "records_inserted", "records_rejected")

@@ -77,9 +77,10 @@ class Warehouse:
 
     def version(self, name: str) -> int | None:
         """Number of the visible version of a replaced table."""
-        one = T.StructType([T.StructField("version", T.LongType())])
-        row = self._parquet(self._pointer(name), one).agg(F.max("version").alias("v")).first()
-        return row["v"]
+        path = self._pointer(name)
+        if not self._files(path).exists(self._hadoop(path)):
+            return None
+        return self.spark.read.schema("version bigint").parquet(path).first()["version"]
 
     def _pointer(self, name: str) -> str:
         """One directory with one row for each replaced table."""
