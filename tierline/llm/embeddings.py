@@ -126,8 +126,11 @@ def _lists(edges: DataFrame, limits: DataFrame) -> DataFrame:
     )
 
 
-def _round(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """x, y, cosine: pairs of neighbours of one node that one of them would take into its list, or links."""
+def _round(lists: DataFrame, nodes: DataFrame) -> DataFrame:
+    """x, y, cosine: pairs of neighbours of one node that one of them would take into its list.
+
+    Full lists of links take nearer links only, so a dense group does not list all its pairs.
+    """
     worst = lists.groupBy("node").agg(
         F.when(F.count("*") >= F.max("limit"), F.min("cosine")).otherwise(-2.0).alias("worst"),
     )
@@ -147,7 +150,7 @@ def _round(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
                 cosines = near @ near.T
                 worst = np.array([m["worst"] for m in members])
                 fresh = np.array([m["fresh"] for m in members])
-                wanted = (cosines > worst[:, None]) | (cosines > worst[None, :]) | (cosines >= threshold)
+                wanted = (cosines > worst[:, None]) | (cosines > worst[None, :])
                 wanted &= fresh[:, None] | fresh[None, :]
                 for i, j in zip(*np.nonzero(np.triu(wanted, 1)), strict=True):
                     out["x"].append(members[i]["other"])
@@ -203,7 +206,7 @@ def nn_descent(nodes: DataFrame, dims: int, threshold: float = THRESHOLD) -> tup
         saturated = (F.col("n") >= F.col("limit")) & (F.col("low") >= threshold)
         wider = F.least(F.col("limit") * 2, F.lit(LARGEST)).cast("int")
         limits = staged(own.select("node", F.when(saturated, wider).otherwise(F.col("limit")).alias("limit")), "limits")
-        found = _round(lists, nodes, threshold)
+        found = _round(lists, nodes)
         old = edges.select("x", "y", F.lit(True).alias("known"))
         new = found.join(old, ["x", "y"], "left_anti").withColumn("fresh", F.lit(True))
         # Entries of lists and links stay; the rest has been compared and is let go.
