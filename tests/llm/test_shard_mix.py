@@ -2,9 +2,9 @@
 
 import collections
 import math
+import zlib
 
 import pytest
-from pyspark.sql import functions as F
 
 from tierline.llm.mixing import MOST, SHARE, WEIGHTS, mix_documents, op10_mix_entropy
 from tierline.llm.sharding import op3_shard_hypergeometric, shuffle_into_shards
@@ -49,8 +49,6 @@ def test_query_shards(spark, sf_dir):
     docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = op3_shard_hypergeometric(spark, sf_dir).collect()
     check_shards(got, len(docs), 8)
-    import zlib
-
     for r in got:
         raw = docs[r["doc_id"]].encode()
         assert (r["size"], r["text_crc32"]) == (len(raw) + 1, zlib.crc32(raw))
@@ -122,4 +120,3 @@ def test_no_python_in_plans(spark, sf_dir):
     for query in (op3_shard_hypergeometric, op10_mix_entropy):
         plan = query(spark, sf_dir)._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan
-    assert F is not None

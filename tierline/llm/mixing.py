@@ -11,7 +11,7 @@ one copy more wherever the running sum of the fractions passes a whole number. T
 source therefore miss its target by less than one document; of some starting values for the sum, each source takes
 the one that misses least.
 
-All sums are sums of decimals, which do not depend on the order of tasks, so reruns agree.
+Sums are of decimals or whole numbers, which do not depend on the order of tasks, so reruns agree.
 """
 
 from __future__ import annotations

@@ -77,7 +77,7 @@ def _strings(item: tuple) -> set[str] | None:
         if part is None:
             return None
         return _few({"".join(p) for n in range(arg[0], arg[1] + 1) for p in product(sorted(part), repeat=n)})
-    return set() | {""} if op == "AT" else None
+    return {""} if op == "AT" else None
 
 
 def _few(strings: set[str]) -> set[str] | None:
@@ -192,39 +192,29 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     index = staged(
         keyed.select(
             "doc_id", "id1", "id2", _postings(keyed, grams).alias("grams"),
-            F.array(*[F.struct(F.lit(k).alias("kind"), _pieces(rules[k]).alias("pieces")) for k in scanned])
-            .alias("scanned") if scanned else F.lit(None).alias("scanned"),
+            F.array(
+                *[F.struct(F.lit(k).alias("kind"), _pieces(rules[k]).alias("pieces")) for k in scanned]
+            ).alias("scanned"),
         ),
         "trigrams",
     )
-    candidates = staged(_candidates(index, queries), "candidates")
-    if candidates.count() <= BROADCAST_ROWS:
-        chosen = F.broadcast(candidates)
-    else:
-        chosen = candidates
-    verified = keyed.join(chosen, ["id1", "id2"]).select(
-        "id1",
-        "id2",
-        F.explode(
-            F.filter(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(k).alias("kind"),
-                            F.when(F.array_contains("kinds", k), _pieces(rules[k])).alias("pieces"),
-                        )
-                        for k, q in queries.items()
-                        if q
-                    ]
-                ),
-                lambda s: F.size("kinds") > 0,
-            )
-        ).alias("s"),
-    ) if any(queries.values()) else None
-    pieces = index.select("id1", "id2", F.explode("scanned").alias("s")) if scanned else None
-    both = [p for p in (verified, pieces) if p is not None]
-    found = reduce(DataFrame.union, both).select("id1", "id2", "s.kind", "s.pieces").where(F.size("pieces") > 0)
-    found = staged(found.dropDuplicates(["id1", "id2", "kind"]), "pieces")
+    found = []
+    if scanned:
+        found.append(index.select("id1", "id2", F.explode("scanned").alias("s")))
+    if grams:
+        candidates = staged(_candidates(index, queries), "candidates")
+        if candidates.count() <= BROADCAST_ROWS:
+            candidates = F.broadcast(candidates)
+        tried = [
+            F.struct(F.lit(k).alias("kind"), F.when(F.array_contains("kinds", k), _pieces(rules[k])).alias("pieces"))
+            for k, q in queries.items()
+            if q
+        ]
+        chosen = keyed.join(candidates, ["id1", "id2"])
+        found.append(chosen.select("id1", "id2", F.explode(F.array(*tried)).alias("s")))
+    pieces = reduce(DataFrame.union, found).select("id1", "id2", "s.kind", "s.pieces")
+    pieces = pieces.where(F.size("pieces") > 0).dropDuplicates(["id1", "id2", "kind"])
+    found = staged(pieces, "pieces")
     spans = (
         _spans(found, rules)
         .groupBy("id1", "id2")
