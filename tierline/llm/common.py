@@ -12,13 +12,15 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tierline.session import scratch_dir
 
-# Rows of one Arrow batch: texts may be long, and a Python worker holds a few batches at once.
+# Rows and bytes of one Arrow batch: texts may be long, and a Python worker holds a few batches at once.
 BATCH_ROWS = 500
+BATCH_BYTES = "16m"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the rows that a Python worker gets at once."""
+    """Bound the rows and bytes that a Python worker gets at once; a setting of the session."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
