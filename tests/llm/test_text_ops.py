@@ -101,7 +101,7 @@ def test_overlaps(spark, words):  # noqa: F811
         1: filler + item + filler,
         2: filler + changed,
         3: item[:25],
-        4: item[:12] + filler,
+        4: item[:9] + filler,
         5: [w.upper() + "!" for w in other],
         6: filler + short,
         7: filler,

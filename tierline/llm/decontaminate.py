@@ -25,7 +25,7 @@ from tierline.llm.shingles import WordHashes, mixed
 # Masks of weight 6 over at most 11 words; the first is solid.
 MASKS = ("111111", "1101100101", "11001010011", "1010011011")
 # An overlap has so many words (or the whole item, if shorter) and this percentage of them equal.
-OVERLAP = 20
+OVERLAP = 13
 PERCENT = 80
 # Shorter items than this are too common to tell anything and are not searched.
 LEAST_WORDS = 5
@@ -129,7 +129,7 @@ def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[object, str | No
 def find_overlaps(docs: DataFrame, items: DataFrame, block: int = BLOCK_ITEMS) -> DataFrame:
     """Rows (doc_id, item_id, doc_word, item_word, words, same): the longest overlap of each pair.
 
-    ``docs`` and ``items``: id, text. A pair overlaps if some 20 aligned words of them, or the whole item
+    ``docs`` and ``items``: id, text. A pair overlaps if some 13 aligned words of them, or the whole item
     if it is shorter, are equal in at least 80 % of the places, and a seed meets there (a solid run of
     six equal words always does). Items of fewer than five words, null and empty texts overlap with
     nothing. Equal rows are each returned. Word places count from 0.
