@@ -2,8 +2,11 @@
 
 import collections
 
+import pytest
+
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
+from tests.compare import connect, difference
 from tierline.llm.common import staged, table
 from tierline.llm.registry import ORACLES, QUERIES
 from tierline.llm.toxicity import op2_toxicity_knn
@@ -15,6 +18,11 @@ def test_registered():
     assert set(ORACLES) <= set(oracle_sql())
 
 
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - {"op5_warc_boundary_chain"}))
+def test_query_equals_sql(spark, sf_dir, name):
+    assert difference(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLES[name]) == ""
+
+
 def test_stages(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     columns = docs.columns

@@ -18,6 +18,13 @@ QUERIES = {
     )
 }
 
+ASSIGN = secrets.RULES[0].pattern.replace("'", "''")
+
+# Smallest id reachable over ``links`` (a, b, both ways) for all ``nodes`` (id).
+_REACH = """
+reach(id, root) AS (SELECT id, id FROM nodes UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id),
+roots AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id)"""
+
 ORACLES = {
     "op5_warc_boundary_chain": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
@@ -31,4 +38,50 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM f""",
+    "op6_near_vectors_nn_descent": f"""
+WITH RECURSIVE v AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS e FROM embeddings
+                     WHERE label IS NOT NULL AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+links AS (SELECT x.id AS a, y.id AS b FROM v x JOIN v y ON x.label = y.label AND x.id <> y.id
+          WHERE list_cosine_similarity(x.e, y.e) >= 0.98),
+nodes AS (SELECT vec_id AS id FROM embeddings), {_REACH}
+SELECT id AS vec_id, (SELECT count(*) FROM links WHERE a = r.id) AS n_links, component_id, id = component_id AS kept
+FROM roots r""",
+    "op8_secret_trigrams": f"""
+WITH kinds AS (
+  SELECT * FROM (VALUES (0, 'assign', '{ASSIGN}', 2, 8), (1, 'access', 'AKIA[A-Z0-9]+', 0, 16),
+                        (2, 'hex', '[0-9a-f]+', 0, 32)) k(kind, name, pattern, part, least)),
+pieces AS (
+  SELECT doc_id, 0 AS kind, string_split_regex(text, '{ASSIGN}') AS gaps, regexp_extract_all(text, '{ASSIGN}') AS hits,
+         regexp_extract_all(text, '{ASSIGN}', 2) AS parts FROM documents UNION ALL
+  SELECT doc_id, 1, string_split_regex(text, 'AKIA[A-Z0-9]+'), regexp_extract_all(text, 'AKIA[A-Z0-9]+'),
+         regexp_extract_all(text, 'AKIA[A-Z0-9]+') FROM documents UNION ALL
+  SELECT doc_id, 2, string_split_regex(text, '[0-9a-f]+'), regexp_extract_all(text, '[0-9a-f]+'),
+         regexp_extract_all(text, '[0-9a-f]+') FROM documents),
+flat AS (SELECT doc_id, kind, unnest(range(len(hits))) AS i, unnest(gaps[:len(hits)]) AS gap, unnest(hits) AS hit,
+                unnest(parts) AS part FROM pieces),
+ends AS (SELECT *, CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT) AS stop
+         FROM flat),
+spans AS (SELECT doc_id, e.kind, stop - length(hit) AS start,
+                 concat_ws(':', name, stop - length(hit), stop) AS span
+          FROM ends e JOIN kinds k ON e.kind = k.kind WHERE length(e.part) >= least),
+found AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+                 count(*) FILTER (kind = 2) AS n_hex, string_agg(span, ',' ORDER BY start, kind) AS spans
+          FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN found USING (doc_id)""",
+    "op9_near_dup_tensored": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [words]
+        ELSE list_transform(range(1, len(words) - 2), lambda i: words[i:i + 3]) END) AS shingle FROM w),
+n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+met AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM s x JOIN s y ON x.shingle = y.shingle AND x.id < y.id
+         GROUP BY ALL),
+one AS (SELECT a, b FROM met JOIN n p ON p.id = a JOIN n q ON q.id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+links AS (SELECT a, b FROM one UNION ALL SELECT b, a FROM one),
+nodes AS (SELECT doc_id AS id FROM documents), {_REACH}
+SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, id = component_id AS kept
+FROM roots LEFT JOIN n USING (id)""",
 }
