@@ -189,6 +189,20 @@ def listed_versions(spark, sf_dir):
     return version_history(_yearly(spark, sf_dir), "id", None, "status")
 
 
+LISTED = (1, 4, 7, 10, 100)
+
+
+@query(
+    "version_history_of_ids",
+    f"""
+SELECT id, status, version_number, effective_start_date, effective_end_date, is_current
+FROM ({_YEARLY}) h WHERE id IN {LISTED}""",
+)
+def versions_of_ids(spark, sf_dir):
+    """All versions of the customers in a list."""
+    return version_history(_yearly(spark, sf_dir), "id", list(LISTED), "status")
+
+
 # Late-arriving members and facts
 
 NOW = SECOND_RUN

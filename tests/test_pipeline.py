@@ -3,6 +3,7 @@
 import csv
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -241,3 +242,35 @@ def test_warehouse_writes(spark, frame, tmp_path):
     empty = wh.read(day)
     assert wh.write_replace_partition(day, empty, d[0]) == 0
     assert wh.read(day).count() == 0
+
+
+def test_many_writes_keep_few_files(spark, tmp_path):
+    """One pointer row per table and a few versions, however often a table was replaced."""
+    from tierline.sinks.warehouse import KEEP_VERSIONS
+
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.create()
+    table = "gold.dim_category"
+    for n in range(KEEP_VERSIONS + 4):
+        rows = spark.range(n + 1).selectExpr("CAST(id AS INT) AS category_id", "'t' AS category_title", "CAST(NULL AS TIMESTAMP_NTZ) AS load_timestamp")
+        assert wh.write_full(table, rows) == n + 1
+        assert wh.read(table).count() == n + 1
+    kept = [p for p in os.listdir(wh.path(table)) if p.startswith("version=")]
+    pointer = [p for p in os.listdir(wh._pointer(table)) if p.startswith("part-")]
+    assert (len(kept), len(pointer)) == (KEEP_VERSIONS, 1)
+    # Two writers that start from the same state get different numbers.
+    assert len({wh._claim(table), Warehouse(spark, wh.root)._claim(table)}) == 2
+
+
+def test_failed_write_keeps_rows(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.create()
+    name = "silver.rejected_records"
+    rows = spark.createDataFrame([("{}", "R", None)] * 3, "raw_record_json string, rejection_reason string, rejected_at timestamp_ntz")
+    assert wh.write_run(name, rows, run_id="a:1", table_name="t") == 3
+    with pytest.raises(Exception, match="broken"):
+        wh.write_run(name, rows.withColumn("rejection_reason", F.raise_error(F.lit("broken"))), run_id="a:1", table_name="t")
+    assert [tuple(r) for r in wh.read(name).select("run_id", "table_name").distinct().collect()] == [("a:1", "t")]
+    assert wh.read(name).count() == 3
+    assert wh.write_run(name, rows.limit(0), run_id="a:1", table_name="t") == 0
+    assert wh.read(name).count() == 0

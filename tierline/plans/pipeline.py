@@ -74,10 +74,11 @@ class Pipeline:
         *,
         full: bool = False,
         on_shared_title: str = "error",
+        register: bool = False,
     ):
         """``full`` validates all landed days instead of this run's day. ``on_shared_title`` says
         what happens when two current channels carry one title: ``error``, or ``first`` to give
-        the facts to the channel with the lowest id."""
+        the facts to the channel with the lowest id. ``register`` shows the new state to SQL at the end."""
         require_utc(spark)
         self.spark = spark
         self.wh = warehouse
@@ -86,6 +87,7 @@ class Pipeline:
         self.day = self.run_ts.date()
         self.full = full
         self.on_shared_title = on_shared_title
+        self.register = register
         self.ledger = RunLedger(warehouse, run_id, "medallion_etl_pipeline", self.run_ts)
         self.counts = {"inserted": 0, "updated": 0, "rejected": 0}
 
@@ -101,6 +103,8 @@ class Pipeline:
             self.ledger.finish("FAILED", **self.counts)
             raise
         self.ledger.finish("SUCCESS", **self.counts)
+        if self.register:
+            self.wh.register()
         return dict(self.counts)
 
     def step(self, task: str, name: str, fn) -> None:
