@@ -49,6 +49,18 @@ def test_article_and_edges(spark):
     assert extract_text(df.where("false")).count() == 0
 
 
+def test_parts_of_an_article():
+    text = main_text(
+        '<body><div class="cookie-notice">We use cookies</div><main><article class="post comment-open"><div class="entry-header">'
+        '<h1 class="page-header">Title</h1></div><p>One<b> two</b>\n three</p><ul><li>a<li>b</ul><table><tr><td>c<td>d</table>'
+        '<div id="ad-7">Buy</div><section class="notice">Old</section><form><input value=x>mail</form><figure><img><figcaption>cap'
+        '</figcaption></figure><pre>x  y</pre><aside>more</aside><section id="comments"><p>Nice!</p></section></article></main>'
+        '<aside><article><h2>Other</h2></article></aside><footer>f</footer>',
+        None,
+    )
+    assert text.split("\n") == ["Title", "One two three", "a", "b", "c", "d", "cap", "x y"]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet='<>/"\'=!-pdivabscriptarticle &;#x \n', max_size=80))
 def test_any_markup(text):

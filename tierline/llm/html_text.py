@@ -66,6 +66,9 @@ BOILERPLATE_WORDS = frozenset(
 )
 COMMENT_WORDS = frozenset("comment comments reply replies ad ads advert advertisement sponsored promo".split())
 MAIN_TAGS = frozenset(("article", "main"))
+# Names that headings, and parts of an article, may have and still be text of the article.
+HEADING_WORDS = frozenset(("header", "masthead", "banner"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^'">]|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
@@ -103,6 +106,12 @@ class Block:
 ROOT = Element("", "", False, False)
 
 
+def _inside(element: Element | None, name: str) -> bool:
+    while element is not None and element.name != name:
+        element = element.parent
+    return element is not None
+
+
 def _element(parent: Element, name: str, attributes: str) -> Element:
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)}
     label = name + "".join(
@@ -113,11 +122,15 @@ def _element(parent: Element, name: str, attributes: str) -> Element:
         path = f"~{xxhash.xxh64_hexdigest(path.encode('utf-8', 'surrogatepass'))}"
     role = found.get("role", "").lower()
     names = {w.lower() for k in ("class", "id") for w in _WORD.findall(found.get(k, ""))}
+    if parent.main or name in HEADINGS:
+        names -= HEADING_WORDS
     is_main = name in MAIN_TAGS or role == "main" or found.get("itemprop", "").lower() == "articlebody"
     if name in ("html", "body", "main"):
         plain = True
     elif name == "article":
-        plain = not names & COMMENT_WORDS
+        # A whole class name on the article of a page, any part of one on an article inside it.
+        own = names if _inside(parent, "article") else set(found.get("class", "").lower().split())
+        plain = not own & COMMENT_WORDS
     else:
         own_header = name == "header" and not parent.main
         plain = not (name in BOILERPLATE_TAGS or role in BOILERPLATE_ROLES or own_header or names & BOILERPLATE_WORDS)
