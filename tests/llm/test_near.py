@@ -196,3 +196,16 @@ def test_toxic_edges(spark, words):
     )
     assert score_toxicity(docs.select(F.col("doc_id").alias("id"), "text"), marks.where("false"), F.lit(True)).count() == len(rows)
     assert score_toxicity(docs.where("false").select(F.col("doc_id").alias("id"), "text"), marks, F.lit(True)).count() == 0
+
+
+def test_every_term_of_the_examples_counts(spark, words):
+    """A text without any telling term has its nearest examples by the other terms it shares with them."""
+    rows = [(i, " ".join(words[3 * i : 3 * i + 12]) + (" vileword" if i % 3 == 0 else "")) for i in range(90)]
+    docs = spark.createDataFrame([*rows, (500, " ".join(words[30:36])), (501, "zzzz yyyy")], "id long, text string")
+    marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    got = {r["id"]: r["evidence"] for r in score_toxicity(docs, marks, F.lit(True)).collect()}
+    for i, text in rows:
+        assert got[i][0]["doc_id"] == i and abs(got[i][0]["cosine"] - 1) < 1e-9
+        assert all(set(text.split()) & set(rows[e["doc_id"]][1].split()) for e in got[i])
+    assert {e["doc_id"] for e in got[500]} <= {i for i, t in rows if set(t.split()) & set(words[30:36])} and got[500]
+    assert got[501] == []

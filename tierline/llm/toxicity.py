@@ -1,10 +1,12 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Terms are words and their beginnings and endings, so that inflected and compound words share terms. The
-vector space keeps the terms that tell toxic examples from others (by a test on the examples, strict
-enough for the number of terms tried); inverse document frequencies count all documents. Examples
-are indexed in blocks, with the largest weight of each term in each block. A query visits blocks by falling upper
-bound and stops when no block can hold a nearer example, so the nearest examples are exact.
+vector space has every term of the examples; inverse document frequencies count all documents. Terms that tell
+toxic examples from others weigh more: by what their counts say beyond chance, given the number of terms.
+
+Rare terms are postings, which are read in full. The commonest terms are dense columns of blocks of examples, with
+the largest weight of each column in each block. A query visits the blocks that bound best, and then only those
+whose bound (with its exact score on the rare terms) is above the nearest found, so the nearest examples are exact.
 
 A score is the vote of the nearest examples, weighted by cosine over distance, against a fixed prior weight of
 the base rate, and calibrated by isotonic regression on votes that leave the voter itself out.
@@ -20,20 +22,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import Columns, map_columns, small_batches, staged, table
+from tierline.llm.common import BATCH_ROWS, Columns, map_columns, small_batches, staged, table
 
-# Bounds: examples that the classifier is fitted on, and terms of its space. Both go to every task.
+# Bound: examples that the classifier is fitted on. They go to every task, with all their terms.
 EXAMPLES = 4096
-TERMS = 1024
+# The commonest terms of the examples, which are dense columns.
+COMMON = 1024
 # Beginnings and endings of words that are terms.
 AFFIXES = range(3, 8)
-# Share of toxic examples among those with a term.
-PURITY = 0.8
 NEIGHBOURS = 15
 BLOCK = 64
+# Blocks that give a query its first nearest examples.
+FIRST = 2
 PRIOR = 2.0
 EVIDENCE = 3
 CACHE = 1 << 17
@@ -56,23 +60,26 @@ def words_of(text: str | None) -> list[str]:
 
 
 class TermsOfWords(dict):
-    """Numbers of a word's terms in the chosen space, kept while the cache is small."""
+    """Places of the space's terms by word, kept while the cache is small."""
 
-    def __init__(self, place: dict[str, int]):
+    def __init__(self, terms: list[str]):
         super().__init__()
-        self.place = place
+        self.place = {t: i for i, t in enumerate(terms)}
 
-    def __missing__(self, word: str) -> list[int]:
+    def __missing__(self, word: str) -> np.ndarray:
         if len(self) >= CACHE:
             self.clear()
-        value = self[word] = [self.place[t] for t in terms_of(word) if t in self.place]
+        value = self[word] = np.array([self.place[t] for t in terms_of(word) if t in self.place], np.int32)
         return value
 
-    def of(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Places of the chosen terms in a text, and how often each occurs."""
-        found = Counter(i for w in words_of(text) for i in self[w])
-        at = sorted(found)
-        return at, [found[i] for i in at]
+    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the terms in a text, and how often each occurs."""
+        found = Counter(words_of(text))
+        if not found:
+            return np.empty(0, np.int32), np.empty(0, np.int64)
+        each = [self[w] for w in found]
+        places = np.repeat(np.concatenate(each), np.repeat(list(found.values()), list(map(len, each))))
+        return np.unique(places, return_counts=True)
 
 
 def pick_examples(docs: DataFrame, labels: DataFrame, train: Column, most: int = EXAMPLES) -> DataFrame:
@@ -113,113 +120,201 @@ def term_counts(examples: DataFrame) -> DataFrame:
     return parts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def pick_terms(counts: DataFrame, toxic: int, clean: int, most: int = TERMS) -> list[str]:
-    """The terms that tell toxic examples most clearly; at most ``most``.
+def telling(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """Factors, 1 at least, by which terms weigh more: what their counts tell of toxic examples beyond chance.
 
-    Of a term's examples most must be toxic, and more than chance explains: the logarithm of the bound
-    (Chernoff's) on drawing so many toxic examples at their overall rate must be below that of one over
-    the number of terms, so that about one term at most is there by chance.
+    It is the logarithm of the bound (Chernoff's) on drawing so many toxic examples at their overall rate, less
+    that of one over the number of terms, so that about one term at most gains by chance.
     """
-    rate = toxic / (toxic + clean)
-    counts = staged(counts.where("toxic > 0"), "terms")
-    least = math.log(max(2, counts.count()))
-    n, q = F.col("toxic") + F.col("clean"), F.col("toxic") / (F.col("toxic") + F.col("clean"))
-    rest = F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - rate))).otherwise(0.0)
-    rows = (
-        counts.where(q >= PURITY)
-        .select("term", (n * (q * F.log(q / rate) + rest)).alias("bound"))
-        .where(F.col("bound") >= least)
-        .orderBy(F.desc("bound"), "term")
-        .limit(most)
-        .collect()
-    )
-    return [r["term"] for r in rows]
-
-
-def sparse_terms(docs: DataFrame, terms: list[str], keep: str) -> DataFrame:
-    """``docs`` (text and the columns of ``keep``) with places and counts of the chosen terms; text is dropped."""
-    place = {t: i for i, t in enumerate(terms)}
-    names = [c.split()[0] for c in keep.split(", ")]
+    if not n_toxic or not n_clean:
+        return np.ones(len(toxic))
+    n, rate = toxic + clean, n_toxic / (n_toxic + n_clean)
+    q = toxic / n
+    some, rest = q > 0, q < 1
+    bound = np.zeros(len(n))
+    bound[some] += q[some] * np.log(q[some] / rate)
+    bound[rest] += (1 - q[rest]) * np.log((1 - q[rest]) / (1 - rate))
+    return 1 + np.where(q > rate, np.maximum(n * bound - math.log(max(2, len(n))), 0), 0)
+
+
+def count_documents(docs: DataFrame, terms: Broadcast) -> tuple[int, np.ndarray]:
+    """Rows of ``docs`` (text), and in how many of them each term occurs; tasks send sums."""
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
-        cache = TermsOfWords(place)
+        cache = TermsOfWords(terms.value)
+        seen, n = np.zeros(len(terms.value), np.int64), 0
         for batch in batches:
-            out = {c: batch[c] for c in names} | {"at": [], "times": []}
             for text in batch["text"]:
-                at, times = cache.of(text)
-                out["at"].append(at)
-                out["times"].append(times)
-            yield out
+                each = [cache[w] for w in set(words_of(text))]
+                if each:
+                    seen[np.unique(np.concatenate(each))] += 1
+            n += len(batch["text"])
+        at = np.flatnonzero(seen)
+        yield {"at": [-1, *at.tolist()], "n": [n, *seen[at].tolist()]}
+
+    parts = map_columns(docs.select("text"), run, "at int, n bigint")
+    sums = parts.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    at, n = sums["at"].to_numpy(), sums["n"].to_numpy()
+    seen = np.zeros(len(terms.value), np.int64)
+    seen[at[at >= 0]] = n[at >= 0]
+    return int(n[at < 0].sum()), seen
+
+
+def sparse_examples(examples: DataFrame, terms: Broadcast) -> tuple[list, np.ndarray, list[tuple]]:
+    """Ids, labels, and places and counts of the terms of ``examples`` (id, text, toxic), by id."""
+    kind = examples.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
+        cache = TermsOfWords(terms.value)
+        for batch in batches:
+            found = [cache.of(t) for t in batch["text"]]
+            yield {
+                "id": batch["id"],
+                "toxic": batch["toxic"],
+                "at": [at.astype(np.int32).tobytes() for at, _ in found],
+                "times": [times.astype(np.int32).tobytes() for _, times in found],
+            }
 
-    return map_columns(docs.select(*names, "text"), run, f"{keep}, at array<int>, times array<int>")
+    sparse = map_columns(examples.select("id", "text", "toxic"), run, f"id {kind}, toxic int, at binary, times binary")
+    rows = sorted((tuple(r.values()) for r in sparse.toArrow().to_pylist()), key=lambda r: r[0])
+    vectors = [(np.frombuffer(r[2], np.int32), np.frombuffer(r[3], np.int32)) for r in rows]
+    return [r[0] for r in rows], np.array([r[1] for r in rows], float), vectors
+
+
+@dataclass
+class Vectors:
+    """Sparse unit vectors in rows: entries of row i are those from ``start[i]`` to ``start[i + 1]``."""
+
+    start: np.ndarray
+    at: np.ndarray
+    value: np.ndarray
+    width: int
+
+    def __len__(self) -> int:
+        return len(self.start) - 1
+
+    def __getitem__(self, rows: slice) -> Vectors:
+        a, b, _ = rows.indices(len(self))
+        start = self.start[a : max(a, b) + 1]
+        return Vectors(start - start[0], self.at[start[0] : start[-1]], self.value[start[0] : start[-1]], self.width)
+
+    @property
+    def T(self) -> Vectors:
+        """Columns as rows: the postings of each term."""
+        row = np.repeat(np.arange(len(self), dtype=np.int32), np.diff(self.start))
+        order = np.argsort(self.at, kind="stable")
+        start = np.concatenate([[0], np.cumsum(np.bincount(self.at, minlength=self.width))])
+        return Vectors(start, row[order], self.value[order], len(self))
+
+    def __matmul__(self, other: Vectors) -> np.ndarray:
+        out = np.zeros((len(self), other.width))
+        for i in range(len(self)):
+            at, value = self.row(i)
+            first, n = other.start[at], other.start[at + 1] - other.start[at]
+            total = int(n.sum())
+            if total:
+                place = np.repeat(first - np.cumsum(n) + n, n) + np.arange(total)
+                out[i] = np.bincount(other.at[place], np.repeat(value, n) * other.value[place], other.width)
+        return out
+
+    def row(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.at[self.start[i] : self.start[i + 1]], self.value[self.start[i] : self.start[i + 1]]
+
+    def columns(self, slot: np.ndarray, n: int) -> np.ndarray:
+        """Dense columns: term t is column ``slot[t]``, or none if that is negative."""
+        out = np.zeros((len(self), n))
+        row, to = np.repeat(np.arange(len(self)), np.diff(self.start)), slot[self.at]
+        out[row[to >= 0], to[to >= 0]] = self.value[to >= 0]
+        return out
+
+    def where(self, keep: np.ndarray) -> Vectors:
+        """The entries of terms that ``keep`` marks."""
+        kept = keep[self.at]
+        start = np.concatenate([[0], np.cumsum(kept)])[self.start]
+        return Vectors(start, self.at[kept], self.value[kept], self.width)
 
 
 @dataclass
 class Index:
-    """Examples as unit vectors in blocks, with the largest weight of each term in each block."""
+    """Examples as unit vectors: postings of rare terms, and common terms dense in blocks with their largest weights."""
 
-    idf: np.ndarray
+    weight: np.ndarray
     ids: list
     toxic: np.ndarray
-    blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
-    tops: np.ndarray
     base: float
+    order: np.ndarray
+    slot: np.ndarray
+    dense: np.ndarray
+    tops: np.ndarray
+    rare: Vectors
     steps: tuple[np.ndarray, np.ndarray] = (np.array([0.0]), np.array([0.0]))
 
     @classmethod
-    def build(cls, idf: np.ndarray, ids: list, toxic: np.ndarray, rows: list[tuple]) -> Index:
-        made = cls(idf, ids, toxic, [], np.empty(0), (toxic.sum() + 0.5) / (len(toxic) + 1.0) if len(toxic) else 0.5)
+    def build(cls, weight: np.ndarray, ids: list, toxic: np.ndarray, rows: list[tuple]) -> Index:
+        base = (toxic.sum() + 0.5) / (len(toxic) + 1.0) if len(toxic) else 0.5
+        none = np.empty(0)
+        made = cls(weight, ids, toxic, base, none, none, none, none, Vectors(np.zeros(1, int), none, none, 0))
         vectors = made.vectors(rows)
-        # Neighbouring examples share their heaviest term, which makes bounds tight.
-        heaviest = vectors.argmax(axis=1) if vectors.size else np.zeros(len(rows), int)
-        order = np.lexsort((np.arange(len(rows)), heaviest))
-        tops = []
-        for i in range(0, len(order), BLOCK):
-            own = order[i : i + BLOCK]
-            part = vectors[own]
-            # Postings of the block: only terms that occur in it.
-            used = np.flatnonzero(part.any(axis=0))
-            made.blocks.append((own, used, part[:, used]))
-            tops.append(part.max(axis=0))
-        made.tops = np.array(tops).reshape(len(tops), len(idf))
+        seen = np.bincount(vectors.at, minlength=len(weight))
+        common = np.argsort(-seen, kind="stable")[:COMMON]
+        made.slot = np.full(len(weight), -1, np.int32)
+        made.slot[common] = np.arange(len(common))
+        dense = vectors.columns(made.slot, len(common))
+        # Neighbouring examples share their heaviest common term, which makes bounds tight.
+        heaviest = dense.argmax(axis=1) if dense.size else np.zeros(len(rows), int)
+        made.order = np.lexsort((np.arange(len(rows)), heaviest))
+        made.dense = dense[made.order]
+        tops = [made.dense[i : i + BLOCK].max(axis=0) for i in range(0, len(rows), BLOCK)]
+        made.tops = np.array(tops).reshape(len(tops), len(common))
+        made.rare = vectors.where(made.slot < 0).T
         return made
 
-    def vectors(self, rows: list[tuple]) -> np.ndarray:
-        out = np.zeros((len(rows), len(self.idf)))
-        for i, (at, times) in enumerate(rows):
-            if len(at):
-                out[i, at] = (1 + np.log(np.asarray(times, float))) * self.idf[at]
-        norm = np.linalg.norm(out, axis=1, keepdims=True)
-        return np.divide(out, norm, out=out, where=norm > 0)
+    def vectors(self, rows: list[tuple]) -> Vectors:
+        start = np.concatenate([[0], np.cumsum([len(at) for at, _ in rows], dtype=np.int64)]).astype(np.int64)
+        at = np.concatenate([np.empty(0, np.int32), *(np.asarray(at, np.int32) for at, _ in rows)]).astype(np.int32)
+        times = np.concatenate([np.empty(0), *(np.asarray(times, float) for _, times in rows)])
+        value = (1 + np.log(times)) * self.weight[at]
+        row = np.repeat(np.arange(len(rows)), np.diff(start))
+        norm = np.sqrt(np.bincount(row, value * value, len(rows)))
+        return Vectors(start, at, value / norm[row], len(self.weight))
 
-    def nearest(self, queries: np.ndarray, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, queries: Vectors, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Cosines and examples (-1: none) of the nearest, by query; ``skip``: an example that may not vote."""
-        k, n = NEIGHBOURS, len(queries)
-        best = np.zeros((n, k))
-        who = np.full((n, k), -1)
-        bounds = queries @ self.tops.T
-        order = np.argsort(-bounds, axis=1, kind="stable")
-        active = np.arange(n)
-        for turn in range(order.shape[1]):
-            block = order[active, turn]
-            # The k-th best so far; a block whose bound is not above it changes nothing.
-            active = active[bounds[active, block] > best[active, -1] + 1e-12]
-            if not len(active):
-                break
-            block = order[active, turn]
-            for b in np.unique(block):
-                rows = active[block == b]
-                own, used, part = self.blocks[b]
-                near = queries[np.ix_(rows, used)] @ part.T
-                if skip is not None:
-                    near[skip[rows][:, None] == own[None, :]] = 0
-                both = np.concatenate([best[rows], near], axis=1)
-                names = np.concatenate([who[rows], np.broadcast_to(own, near.shape)], axis=1)
-                # Ties go to the example that comes first.
-                place = np.lexsort((names, -both), axis=1)[:, :k]
-                best[rows] = np.take_along_axis(both, place, axis=1)
-                who[rows] = np.take_along_axis(names, place, axis=1)
-        who[best <= 0] = -1
+        k, n, examples = NEIGHBOURS, len(queries), len(self.toxic)
+        best, who = np.zeros((n, k)), np.full((n, k), -1)
+        if not examples or not n:
+            return best, who
+        near = (queries.where(self.slot < 0) @ self.rare)[:, self.order]
+        common = queries.columns(self.slot, self.dense.shape[1])
+        ends = np.arange(0, examples, BLOCK)
+        bounds = np.maximum.reduceat(near, ends, axis=1) + common @ self.tops.T
+        done = np.zeros(bounds.shape, bool)
+        back = np.argsort(self.order)
+
+        def visit(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(axis=0)):
+                rows, own = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+                near[rows, own] += common[rows] @ self.dense[own].T
+            done[wanted] = True
+            if skip is not None:
+                near[np.arange(n), back[skip]] = 0
+
+        def kth() -> np.ndarray:
+            known = np.where(np.repeat(done, BLOCK, axis=1)[:, :examples], near, 0)
+            return np.partition(known, -k, axis=1)[:, -k] if examples >= k else np.zeros(n)
+
+        first = np.zeros(bounds.shape, bool)
+        np.put_along_axis(first, np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST], True, axis=1)
+        visit(first)
+        # A block whose bound is not above the k-th best so far changes nothing.
+        visit(~done & (bounds > kth()[:, None] + 1e-12))
+        near[~np.repeat(done, BLOCK, axis=1)[:, :examples]] = 0
+        least = kth()
+        for i in range(n):
+            some = np.flatnonzero((near[i] >= least[i]) & (near[i] > 0))
+            # Ties go to the example that comes first.
+            some = some[np.lexsort((self.order[some], -near[i, some]))][:k]
+            best[i, : len(some)], who[i, : len(some)] = near[i, some], self.order[some]
         return best, who
 
     def votes(self, cosines: np.ndarray, who: np.ndarray) -> np.ndarray:
@@ -232,7 +327,11 @@ class Index:
         if not len(self.toxic):
             self.steps = (np.array([0.0, 1.0]), np.array([self.base, self.base]))
             return
-        cosines, who = self.nearest(self.vectors(rows), np.arange(len(rows)))
+        found = [
+            self.nearest(self.vectors(rows[i : i + BATCH_ROWS]), np.arange(i, min(i + BATCH_ROWS, len(rows))))
+            for i in range(0, len(rows), BATCH_ROWS)
+        ]
+        cosines, who = (np.concatenate(part) for part in zip(*found, strict=True))
         votes = self.votes(cosines, who)
         values, back = np.unique(votes, return_inverse=True)
         ones = np.bincount(back, self.toxic)
@@ -248,58 +347,42 @@ class Index:
         y = [q for pool in pools for q in [(pool[2] + self.base) / (pool[3] + 1)] * 2]
         self.steps = (np.array(x), np.maximum.accumulate(np.array(y)))
 
-    def score(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def score(self, queries: Vectors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         cosines, who = self.nearest(queries)
         return np.clip(np.interp(self.votes(cosines, who), *self.steps), 0, 1), cosines, who
 
 
-@dataclass
-class Model:
-    """The index, its terms, and the terms of all documents that it was fitted on (id, at, times)."""
-
-    index: Index
-    terms: list[str]
-    sparse: DataFrame
-
-
-def fit(docs: DataFrame, labels: DataFrame, train: Column) -> Model:
-    """A model from ``labels`` (doc_id, toxic) where ``train`` (over id) holds; ``docs``: id, text."""
+def fit(docs: DataFrame, labels: DataFrame, train: Column) -> tuple[Index, Broadcast]:
+    """Index and terms from ``labels`` (doc_id, toxic) where ``train`` (over id) holds; ``docs``: id, text."""
     small_batches(docs.sparkSession)
     examples = pick_examples(docs, labels, train)
-    sizes = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
-    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-    terms = pick_terms(term_counts(examples.select("text", "toxic")), toxic, clean) if toxic and clean else []
-    found = sparse_terms(examples, terms, f"id {examples.schema['id'].dataType.simpleString()}, toxic int")
-    rows = sorted((r["id"], r["toxic"], r["at"], r["times"]) for r in found.collect())
-
-    kind = docs.schema["id"].dataType.simpleString()
-    sparse = staged(sparse_terms(docs, terms, f"id {kind}"), "sparse")
-    seen = np.zeros(len(terms))
-    for r in sparse.select(F.explode("at").alias("at")).groupBy("at").count().collect():
-        seen[r["at"]] = r["count"]
-    idf = np.log((1 + sparse.count()) / (1 + seen)) + 1
-    vectors = [(r[2], r[3]) for r in rows]
-    index = Index.build(idf, [r[0] for r in rows], np.array([r[1] for r in rows], float), vectors)
+    counts = term_counts(examples.select("text", "toxic")).toArrow().sort_by("term")
+    terms = docs.sparkSession.sparkContext.broadcast(counts["term"].to_pylist())
+    ids, toxic, vectors = sparse_examples(examples, terms)
+    n, seen = count_documents(docs, terms)
+    idf = np.log((1 + n) / (1 + seen)) + 1
+    n_toxic = int(toxic.sum())
+    more = telling(counts["toxic"].to_numpy(), counts["clean"].to_numpy(), n_toxic, len(toxic) - n_toxic)
+    index = Index.build(idf * more, ids, toxic, vectors)
     index.calibrate(vectors)
-    return Model(index, terms, sparse)
+    return index, terms
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column) -> DataFrame:
     """One row per row of ``docs`` (id, text): id, score and ``evidence``, the nearest examples.
 
     Examples come from ``labels`` (doc_id, toxic) where ``train`` (over id) holds. Only texts decide on scores.
-    Null and empty texts, and texts without a chosen term, have no near example and get the calibrated
-    base rate, as do all texts if there are no examples or no telling terms. Equal texts get equal scores;
-    equal rows are each returned.
+    Null and empty texts, and texts without a term of any example, have no near example and get the calibrated
+    base rate, as do all texts if there are no examples. Equal texts get equal scores; equal rows are each
+    returned. Texts are read twice: for document frequencies, and to be scored.
     """
-    model = fit(docs, labels, train)
-    shared = docs.sparkSession.sparkContext.broadcast(model.index)
+    index, terms = fit(docs, labels, train)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
-        own = shared.value
+        own, cache = shared.value, TermsOfWords(terms.value)
         for batch in batches:
-            queries = own.vectors(list(zip(batch["at"], batch["times"], strict=True)))
-            score, cosines, who = own.score(queries)
+            score, cosines, who = own.score(own.vectors([cache.of(t) for t in batch["text"]]))
             evidence = [
                 [(own.ids[i], int(own.toxic[i]), float(c)) for c, i in zip(cs, ws, strict=True) if i >= 0]
                 for cs, ws in zip(cosines[:, :EVIDENCE], who[:, :EVIDENCE], strict=True)
@@ -313,7 +396,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column) -> DataFra
 
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"id {kind}, score double, evidence array<struct<doc_id: {kind}, toxic: int, cosine: double>>"
-    return map_columns(model.sparse, run, schema)
+    return map_columns(docs.select("id", "text"), run, schema)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -323,12 +406,11 @@ def held_out(doc_id: Column) -> Column:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any other columns) with a score below one half; no shuffle."""
-    model = fit(docs.select(F.col("doc_id").alias("id"), "text"), labels, ~held_out(F.col("id")))
-    shared = docs.sparkSession.sparkContext.broadcast((model.index, model.terms))
+    index, terms = fit(docs.select(F.col("doc_id").alias("id"), "text"), labels, ~held_out(F.col("id")))
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, terms = shared.value
-        cache = TermsOfWords({t: i for i, t in enumerate(terms)})
+        index, cache = shared.value, TermsOfWords(terms.value)
         for batch in batches:
             score, _, _ = index.score(index.vectors([cache.of(t.as_py()) for t in batch.column("text")]))
             yield batch.filter(pa.array(score < 0.5))
