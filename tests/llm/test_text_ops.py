@@ -61,6 +61,20 @@ def test_parts_of_an_article():
     assert text.split("\n") == ["Title", "One two three", "a", "b", "c", "d", "cap", "x y"]
 
 
+def test_names_of_wrappers():
+    """Names of elements around the article, or around its whole text, do not drop it."""
+    text = "<p>" + "Long text of the article. " * 20 + "</p>"
+    aside = '<div class="sidebar"><p>side</p></div><div id="comments"><p>Nice! Nice!</p></div><div class="share-bar"><p>share</p></div>'
+    for name in ("site has-sidebar", "elementor-widget elementor-widget-text-editor", "ad-free", "widget"):
+        page = f'<body><div class="{name}"><article><h1>Title</h1>{text}</article>{aside}</div><footer>f</footer>'
+        assert main_text(page, None).split("\n")[1:] == [("Long text of the article. " * 20).strip()], name
+    for name in ("elementor-widget-text-editor", "ad-free"):
+        page = f'<body><main><h1>Title</h1><div class="{name}">{text}<div class="ad">Buy</div></div>{aside}</main>'
+        assert main_text(page, None).split("\n") == ["Title", ("Long text of the article. " * 20).strip()], name
+    page = f'<body><main><p>Short.</p><div class="comments-area">{text}</div></main>'
+    assert main_text(page, None) == "Short."
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet='<>/"\'=!-pdivabscriptarticle &;#x \n', max_size=80))
 def test_any_markup(text):

@@ -9,7 +9,7 @@ whose tokens lie below tokens of valid classes nest into the template, a tree. C
 
 A slot belongs to the article if the template says so: below an article or main element if it has one, else
 below the element with most text outside links. Slots of menus, notices, forms and the like are left out by the
-names of their elements, and so are texts that the template repeats, if it has no article element.
+names of their elements, but for wrappers that hold most of the article, and so are texts that the template repeats, if it has no article element.
 """
 
 from __future__ import annotations
@@ -65,6 +65,7 @@ BOILERPLATE_WORDS = frozenset(
     " copyright disclaimer".split()
 )
 COMMENT_WORDS = frozenset("comment comments reply replies ad ads advert advertisement sponsored promo".split())
+DISCUSSION_WORDS = frozenset("comment comments disqus reply replies respond".split())
 MAIN_TAGS = frozenset(("article", "main"))
 # Names that headings, and parts of an article, may have and still be text of the article.
 HEADING_WORDS = frozenset(("header", "masthead", "banner"))
@@ -81,12 +82,19 @@ _WORD = re.compile(r"[a-z]+", re.IGNORECASE)
 
 @dataclass(frozen=True)
 class Element:
-    """An element with its path; ``main`` and ``boilerplate`` also hold for what lies inside."""
+    """An element with its path; ``main``, ``boilerplate`` and ``hard`` also hold for what lies inside.
+
+    ``hard`` is boilerplate by a tag, a role or by being hidden. ``named`` is what marks the element itself
+    by its names: a part of a name, a whole name, or a name of discussions.
+    """
 
     name: str
     path: str
     main: bool
     boilerplate: bool
+    hard: bool = False
+    named: str = ""
+    starts_main: bool = False
     parent: Element | None = field(default=None, repr=False, compare=False)
 
     @property
@@ -112,7 +120,7 @@ def _inside(element: Element | None, name: str) -> bool:
     return element is not None
 
 
-def _element(parent: Element, name: str, attributes: str) -> Element:
+def _element(parent: Element, name: str, attributes: str, wrappers: set[str] | frozenset[str] = frozenset()) -> Element:
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)}
     label = name + "".join(
         f"{sign}{' '.join(sorted(found[k].split()))}" for k, sign in (("class", "."), ("id", "#")) if found.get(k)
@@ -125,23 +133,39 @@ def _element(parent: Element, name: str, attributes: str) -> Element:
     if parent.main or name in HEADINGS:
         names -= HEADING_WORDS
     is_main = name in MAIN_TAGS or role == "main" or found.get("itemprop", "").lower() == "articlebody"
-    if name in ("html", "body", "main"):
-        plain = True
-    elif name == "article":
+    hit: set[str] = set()
+    barred = False
+    if name == "article":
         # A whole class name on the article of a page, any part of one on an article inside it.
         own = names if _inside(parent, "article") else set(found.get("class", "").lower().split())
-        plain = not own & COMMENT_WORDS
-    else:
-        own_header = name == "header" and not parent.main
-        plain = not (name in BOILERPLATE_TAGS or role in BOILERPLATE_ROLES or own_header or names & BOILERPLATE_WORDS)
+        hit = own & COMMENT_WORDS
+    elif name not in ("html", "body", "main"):
+        barred = name in BOILERPLATE_TAGS or role in BOILERPLATE_ROLES or (name == "header" and not parent.main)
+        hit = names & BOILERPLATE_WORDS
     hidden = name not in ("html", "body") and bool(attributes) and bool(_HIDDEN.search(attributes))
-    return Element(name, path, parent.main or is_main, parent.boilerplate or hidden or not plain, parent)
+    named = ""
+    if hit and path not in wrappers:
+        whole = {w for k in ("class", "id") for w in found.get(k, "").lower().split()}
+        named = "discussion" if hit & DISCUSSION_WORDS or name == "article" else "whole" if hit & whole else "part"
+    hard = parent.hard or hidden or barred
+    boilerplate = parent.boilerplate or hard or bool(named)
+    return Element(name, path, parent.main or is_main, boilerplate, hard, named, is_main, parent)
 
 
 class Parser:
-    """Elements and blocks of a page, in page order; broken markup is read as far as it goes."""
+    """Elements and blocks of a page, in page order; broken markup is read as far as it goes.
+
+    Names do not mark wrappers (see ``_wrappers``), so a page with any is read again.
+    """
 
     def __init__(self, page: str):
+        self.wrappers: frozenset[str] = frozenset()
+        self._start(page)
+        self.wrappers = self._wrappers()
+        if self.wrappers:
+            self._start(page)
+
+    def _start(self, page: str) -> None:
         self.stack = [ROOT]
         self.blocks: list[Block] = []
         self.opened: list[Element] = []
@@ -169,6 +193,31 @@ class Parser:
         self._text(page[at:])
         self._end_block()
 
+    def _wrappers(self) -> frozenset[str]:
+        """Elements that names mark although they hold more than half of the article's text, outside links.
+
+        Parts of names (has-sidebar, ad-free) mark no such element, and whole names none that has the article or
+        main element inside; names of discussions always mark. The article's text is that in article and
+        main elements, or all text if there is none.
+        """
+        seen = [b for b in self.blocks if not b.element.hard]
+        if not any(b.element.boilerplate for b in seen):
+            return frozenset()
+        main = any(b.element.main for b in seen)
+        total, held = 0, defaultdict(int)
+        for b in seen:
+            size, around, inner, up = max(0, len(b.text) - b.links), set(), False, b.element
+            while up is not None and up.named != "discussion":
+                if up.named == "part" or (up.named == "whole" and inner):
+                    around.add(up.path)
+                inner = inner or (up.starts_main and not up.named)
+                up = up.parent
+            if up is None and b.element.main == main:
+                total += size
+                for path in around:
+                    held[path] += size
+        return frozenset(path for path, size in held.items() if 2 * size > total)
+
     def _text(self, text: str) -> None:
         if not text:
             return
@@ -208,7 +257,7 @@ class Parser:
         key = (self.stack[-1].path, self.stack[-1].boilerplate, self.stack[-1].main, name, attributes)
         element = self._known.get(key)
         if element is None:
-            element = self._known[key] = _element(self.stack[-1], name, attributes)
+            element = self._known[key] = _element(self.stack[-1], name, attributes, self.wrappers)
         if name in INLINE and element.boilerplate and not self.stack[-1].boilerplate:
             self._end_block()
         if name not in INLINE or name == "a":
@@ -293,8 +342,9 @@ def host_templates(tokens: DataFrame) -> DataFrame:
     print_ = F.xxhash64("tag", "n")
     low = F.sum(print_.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low")
     high = F.sum(F.shiftrightunsigned(print_, 32)).alias("high")
-    # What a token is follows from its name, but for elements of one path that some pages hide.
-    facts = [F.max(c).alias(c) for c in ("parent", "is_text", "main", "boilerplate", "leaf")]
+    # What a token is follows from its name, but for elements that some pages hide, or where they are no wrappers;
+    # such pages leave them out by themselves.
+    facts = [F.max(c).alias(c) for c in ("parent", "is_text", "main", "leaf")] + [F.min("boilerplate").alias("boilerplate")]
     text = [F.sum(c).alias(c) for c in ("chars", "links")]
     sums = staged(
         tokens.groupBy("host", "token").agg(F.count("*").alias("seen"), low, high, *facts, *text), "tokens"
@@ -371,16 +421,18 @@ def main_text(page: str | None, template: Template | None) -> str:
 
     They are what fills the template's content slots, but for elements of the page's own that are no part
     of an article (a form, say). Pages without a template, or with an article or main element that their
-    template has not, or with empty slots, are read by their own elements.
+    template has not, or with empty slots, are read by their own elements. If only names mark a page's whole
+    article as no part of it, the names do not count.
     """
-    plain = [b for b in Parser(page or "").blocks if not b.element.boilerplate]
+    blocks = Parser(page or "").blocks
+    plain = [b for b in blocks if not b.element.boilerplate]
     own = [b for b in plain if b.element.main]
     chosen: list[Block] = []
     if template and (template.has_main or not own):
         chosen = [b for b in plain if template.slot(b.element) in template.content]
         if not template.has_main:
             chosen = [b for b in chosen if _text_token(b) not in template.texts]
-    return "\n".join(b.text for b in chosen or own or plain)
+    return "\n".join(b.text for b in chosen or own or plain or [b for b in blocks if b.element.main and not b.element.hard])
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
