@@ -75,6 +75,23 @@ def test_names_of_wrappers():
     assert main_text(page, None) == "Short."
 
 
+def test_template_inside_articles(spark):
+    """Texts that a host repeats inside its articles are template; copies of one page are not."""
+    bare = "<body><article><h1>T {0}</h1><p>Text {0} here.</p><p>Read more on our site</p><div>By the staff</div></article>"
+    plain = "<body><div><div><p>Menu</p></div><div><p>First {0} of many words.</p><p>Second {0} of many words.</p></div></div>"
+    rows = [(i, f"http://a.org/{i}", bare.format(i)) for i in range(5)]
+    rows += [(i, f"http://b.org/{i}", plain.format(max(i, 16))) for i in range(10, 20)]
+    rows += [(i, f"http://c.org/{i}", bare.format(0)) for i in range(20, 26)]
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(5):
+        assert got[i] == f"T {i}\nText {i} here."
+    for i in range(10, 20):
+        n = max(i, 16)
+        assert got[i] == f"First {n} of many words.\nSecond {n} of many words."
+    for i in range(20, 26):
+        assert got[i] == "T 0\nText 0 here.\nRead more on our site\nBy the staff"
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet='<>/"\'=!-pdivabscriptarticle &;#x \n', max_size=80))
 def test_any_markup(text):

@@ -9,7 +9,8 @@ whose tokens lie below tokens of valid classes nest into the template, a tree. C
 
 A slot belongs to the article if the template says so: below an article or main element if it has one, else
 below the element with most text outside links. Slots of menus, notices, forms and the like are left out by the
-names of their elements, but for wrappers that hold most of the article, and so are texts that the template repeats, if it has no article element.
+names of their elements, but for wrappers that hold most of the article, and so are texts that the template repeats, inside articles too.
+Copies of one page count as one page of the host, so that a text does not become template by being copied.
 """
 
 from __future__ import annotations
@@ -295,9 +296,8 @@ def host_of(url):
 def page_tokens(pages: DataFrame) -> DataFrame:
     """One row per page and token: how often the token occurs, what it is, and the text in it.
 
-    ``pages``: host, tag (of the row), html. ``parent`` is the element that holds the token (null for a page,
-    whose token is empty); ``is_text`` tells whole texts from elements. Texts inside article or main
-    elements are content and no tokens.
+    ``pages``: host, tag (of the page), html. ``parent`` is the element that holds the token (null for a page,
+    whose token is empty); ``is_text`` tells whole texts from elements.
     """
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
@@ -315,9 +315,8 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                     if e.path in rows:
                         rows[e.path][7] += len(b.text)
                         rows[e.path][8] += min(b.links, len(b.text))
-                    if not e.main:
-                        token = _text_token(b)
-                        rows.setdefault(token, [token, e.path, True, False, e.boilerplate, True, 0, 0, 0])[6] += 1
+                    token = _text_token(b)
+                    rows.setdefault(token, [token, e.path, True, e.main, e.boilerplate, True, 0, 0, 0])[6] += 1
                 for row in rows.values():
                     for c, v in zip(out, (host, tag, *row), strict=True):
                         out[c].append(v)
@@ -346,9 +345,8 @@ def host_templates(tokens: DataFrame) -> DataFrame:
     # such pages leave them out by themselves.
     facts = [F.max(c).alias(c) for c in ("parent", "is_text", "main", "leaf")] + [F.min("boilerplate").alias("boilerplate")]
     text = [F.sum(c).alias(c) for c in ("chars", "links")]
-    sums = staged(
-        tokens.groupBy("host", "token").agg(F.count("*").alias("seen"), low, high, *facts, *text), "tokens"
-    )
+    counted = tokens.groupBy("host", "token").agg(F.count("*").alias("seen"), low, high, *facts, *text)
+    sums = staged(counted.where(F.expr("token = ''") | (F.col("seen") >= LEAST_PAGES)), "tokens")
     pages = sums.where("token = ''").select("host", F.col("seen").alias("pages"))
     enough = (F.col("seen") >= LEAST_PAGES) & (F.col("seen") >= SUPPORT * F.col("pages"))
     # At most 1 / SUPPORT times the tokens of a mean page pass.
@@ -430,8 +428,7 @@ def main_text(page: str | None, template: Template | None) -> str:
     chosen: list[Block] = []
     if template and (template.has_main or not own):
         chosen = [b for b in plain if template.slot(b.element) in template.content]
-        if not template.has_main:
-            chosen = [b for b in chosen if _text_token(b) not in template.texts]
+        chosen = [b for b in chosen if _text_token(b) not in template.texts]
     return "\n".join(b.text for b in chosen or own or plain or [b for b in blocks if b.element.main and not b.element.hard])
 
 
@@ -440,14 +437,14 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     Null and empty pages have an empty text; hosts are those of the URLs, pages without one share a host.
     Pages of hosts with fewer than three pages, and pages that do not follow their host's template, are
-    read by their own elements. Equal rows are each returned. Pages are read twice and never grouped: the
-    templates, some kilobytes per host, are joined to them.
+    read by their own elements. Equal rows are each returned. Pages are read twice: templates are counted over
+    the distinct pages of a host, and then, some kilobytes per host, joined to all pages.
     """
     small_batches(pages.sparkSession)
-    rows = pages.select(
-        "page_id", "url", "html", host_of(F.col("url")).alias("host"), F.monotonically_increasing_id().alias("tag")
-    )
-    templates = staged(host_templates(page_tokens(rows)), "templates")
+    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
+    digest = F.sha2(F.coalesce("html", F.lit("")).cast("binary"), 256)
+    distinct = rows.select("host", "html", F.xxhash64("html").alias("tag"), digest.alias("digest")).dropDuplicates(["host", "digest"])
+    templates = staged(host_templates(page_tokens(distinct)), "templates")
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         known: dict[str, Template] = {}
