@@ -1,12 +1,14 @@
 """Main text, token counts, decontamination and secrets on small texts, against brute force."""
 
 import hashlib
+import itertools
 import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tierline.llm.decontaminate import MASKS, Index, drop_contaminated, find_overlaps, words
+from tierline.llm.decontaminate import words as words_of
 from tierline.llm.html_text import extract_text, main_text
 from tierline.llm.secrets import RULES, find_secrets, trigram_query
 from tierline.llm.shingles import WordHashes
@@ -177,6 +179,27 @@ def test_seeds_tolerate_substitutions(words):  # noqa: F811
         assert index.overlaps(hashed(" ".join(text), WordHashes())), mask
 
 
+def test_short_items_with_any_words_replaced(words):  # noqa: F811
+    """An item of any length below 13 is found wherever a fifth of its words, rounded down, is replaced, and not with one more."""
+    cache = WordHashes()
+    for n in range(1, 14):
+        item = words[:n]
+        index = Index([(1, " ".join(item)), (2, " ".join(words[50:90]))])
+        for k in (n // 5, n // 5 + 1):
+            for at in itertools.combinations(range(n), k):
+                text = words[100:103] + ["zzz" if i in at else w for i, w in enumerate(item)] + words[103:106]
+                hits = index.overlaps(words_of(" ".join(text), cache))
+                assert hits == ([(1, 3, 0, n, n - k)] if k == n // 5 else []), (n, at)
+
+
+def test_scripts_without_white_space():
+    cache, item = WordHashes(), "今日は天気がいいので散歩に行きましょう"
+    index = Index([(1, item), (2, "東京")])
+    assert [h[0] for h in index.overlaps(words_of("前の文。" + item.replace("散", "運") + "。次の文", cache))] == [1]
+    assert [h[0] for h in index.overlaps(words_of("私は東京です", cache))] == [2]
+    assert index.overlaps(words_of("全然違う話です", cache)) == []
+
+
 # Secrets
 
 BASE = (

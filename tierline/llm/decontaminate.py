@@ -11,8 +11,10 @@ texts are streamed past it, whole; more items mean more blocks.
 
 from __future__ import annotations
 
+import re
 import string
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +29,24 @@ MASKS = ("111111", "1101100101", "11001010011", "1010011011")
 # An overlap has so many words (or the whole item, if shorter) and this percentage of them equal.
 OVERLAP = 13
 PERCENT = 80
-# Shorter items than this are too common to tell anything and are not searched.
-LEAST_WORDS = 5
 BLOCK_ITEMS = 20_000
 COLUMNS = ("doc_id", "item_id", "doc_word", "item_word", "words", "same")
 
+# Scripts without white space (Chinese, Japanese, Thai, Lao, Burmese, Khmer), whose characters are words, and their marks.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+_MARKS = re.compile("[\u3000-\u3004\u3008-\u303f\uff01-\uff0f\uff1a-\uff20]")
 _DROP = string.punctuation.encode()
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
 
 
 def words(text: str | None, cache: WordHashes) -> np.ndarray:
-    """Hashes of the words without case; ASCII punctuation is dropped, white space separates."""
+    """Hashes of the words without case; ASCII punctuation is dropped, white space separates.
+
+    In scripts that use no white space each character is a word, and their punctuation is dropped too.
+    """
+    if text and not text.isascii() and _UNSPACED.search(text):
+        text = _UNSPACED.sub(r" \1 ", _MARKS.sub(" ", text))
     raw = text.casefold().encode("utf-8", "surrogatepass") if text else b""
     return cache.of(raw.translate(None, _DROP).split())
 
@@ -55,16 +63,27 @@ def _seed(hashes: np.ndarray, mask: str) -> np.ndarray:
     return mixed(h)
 
 
+def short_masks(n: int, percent: int) -> list[str]:
+    """Masks over an item of ``n`` words, one of which ignores all replaced words if ``percent`` are equal.
+
+    Words are dealt to a few groups more than may be replaced, and each mask ignores as many groups.
+    """
+    spare = n * (100 - percent) // 100
+    groups = min(n, spare + 2)
+    return ["".join("0" if i % groups in left else "1" for i in range(n)) for left in combinations(range(groups), spare)]
+
+
 class Index:
     """Hashes of a block of items under all masks, with a bit table in front."""
 
     def __init__(self, items: list[tuple[object, str | None]], masks=MASKS, overlap=OVERLAP, percent=PERCENT):
         cache = WordHashes()
         found = [(key, mixed(words(text, cache))) for key, text in items]
-        self.items = [(key, w) for key, w in found if len(w) >= LEAST_WORDS]
+        self.items = [(key, w) for key, w in found if len(w)]
         self.overlap, self.percent = overlap, percent
-        # Items shorter than a mask get a solid mask of their own length.
-        short = {"1" * len(w) for _, w in self.items if len(w) < max(map(len, masks))}
+        # Items shorter than an overlap get masks over their own length.
+        lengths = {len(w) for _, w in self.items if len(w) < OVERLAP}
+        short = {mask for n in sorted(lengths) for mask in short_masks(n, percent)}
         self.tables = []
         for mask in dict.fromkeys([*masks, *sorted(short)]):
             rows = [
@@ -131,8 +150,8 @@ def find_overlaps(docs: DataFrame, items: DataFrame, block: int = BLOCK_ITEMS) -
 
     ``docs`` and ``items``: id, text. A pair overlaps if some 13 aligned words of them, or the whole item
     if it is shorter, are equal in at least 80 % of the places, and a seed meets there (a solid run of
-    six equal words always does). Items of fewer than five words, null and empty texts overlap with
-    nothing. Equal rows are each returned. Word places count from 0.
+    six equal words always does, and so does any place of an item of fewer than 13 words). Items of fewer than
+    five words must be equal. Null and empty texts overlap with nothing. Equal rows are each returned. Word places count from 0.
     """
     spark = docs.sparkSession
     small_batches(spark)
