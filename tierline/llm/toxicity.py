@@ -15,7 +15,9 @@ the base rate, and calibrated by isotonic regression on votes that leave the vot
 from __future__ import annotations
 
 import math
+import pickle
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -59,6 +61,18 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
+class Terms(list):
+    """Terms that travel compressed."""
+
+    def __reduce__(self):
+        return Terms._read, (zlib.compress("\n".join(self).encode("utf-8", "surrogatepass"), 1),)
+
+    @staticmethod
+    def _read(packed: bytes) -> Terms:
+        text = zlib.decompress(packed).decode("utf-8", "surrogatepass")
+        return Terms(text.split("\n") if text else ())
+
+
 class TermsOfWords(dict):
     """Places of the space's terms by word, kept while the cache is small."""
 
@@ -247,13 +261,14 @@ class Index:
     dense: np.ndarray
     tops: np.ndarray
     rare: Vectors
+    rows: list[tuple]
     steps: tuple[np.ndarray, np.ndarray] = (np.array([0.0]), np.array([0.0]))
 
     @classmethod
     def build(cls, weight: np.ndarray, ids: list, toxic: np.ndarray, rows: list[tuple]) -> Index:
         base = (toxic.sum() + 0.5) / (len(toxic) + 1.0) if len(toxic) else 0.5
         none = np.empty(0)
-        made = cls(weight, ids, toxic, base, none, none, none, none, Vectors(np.zeros(1, int), none, none, 0))
+        made = cls(weight, ids, toxic, base, none, none, none, none, Vectors(np.zeros(1, int), none, none, 0), rows)
         vectors = made.vectors(rows)
         seen = np.bincount(vectors.at, minlength=len(weight))
         common = np.argsort(-seen, kind="stable")[:COMMON]
@@ -269,6 +284,24 @@ class Index:
         made.rare = vectors.where(made.slot < 0).T
         return made
 
+    def __reduce__(self):
+        """The index travels as its examples' terms and counts, compressed, and is built again."""
+        n = [len(at) for at, _ in self.rows]
+        flat = [np.concatenate([np.empty(0, np.int32), *(np.asarray(r[k], np.int32) for r in self.rows)]) for k in (0, 1)]
+        steps = np.diff(flat[0], prepend=0).astype(np.int32)
+        state = (self.weight, self.ids, self.toxic, n, steps, flat[1].astype(np.int32))
+        return Index._read, (zlib.compress(pickle.dumps(state), 1), self.steps)
+
+    @staticmethod
+    def _read(packed: bytes, steps: tuple[np.ndarray, np.ndarray]) -> Index:
+        weight, ids, toxic, n, moves, times = pickle.loads(zlib.decompress(packed))
+        ends = np.cumsum(n)[:-1] if n else []
+        at = np.cumsum(moves, dtype=np.int64).astype(np.int32)
+        rows = list(zip(np.split(at, ends), np.split(times, ends), strict=True)) if n else []
+        made = Index.build(weight, ids, toxic, rows)
+        made.steps, made.rows = steps, []
+        return made
+
     def vectors(self, rows: list[tuple]) -> Vectors:
         start = np.concatenate([[0], np.cumsum([len(at) for at, _ in rows], dtype=np.int64)]).astype(np.int64)
         at = np.concatenate([np.empty(0, np.int32), *(np.asarray(at, np.int32) for at, _ in rows)]).astype(np.int32)
@@ -357,7 +390,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column) -> tuple[Index, Broad
     small_batches(docs.sparkSession)
     examples = pick_examples(docs, labels, train)
     counts = term_counts(examples.select("text", "toxic")).toArrow().sort_by("term")
-    terms = docs.sparkSession.sparkContext.broadcast(counts["term"].to_pylist())
+    terms = docs.sparkSession.sparkContext.broadcast(Terms(counts["term"].to_pylist()))
     ids, toxic, vectors = sparse_examples(examples, terms)
     n, seen = count_documents(docs, terms)
     idf = np.log((1 + n) / (1 + seen)) + 1
