@@ -1,6 +1,8 @@
 """The operators' queries by name, and the SQL that states their results where SQL can."""
 
-from tierline.llm import decontaminate, embeddings, html_text, minhash, mixing, secrets, sharding, tokens, toxicity, warc
+from tierline.llm import (
+    centroids, decontaminate, embeddings, html_text, minhash, mixing, secrets, sharding, tokens, toxicity, warc,
+)
 
 QUERIES = {
     f.__name__: f
@@ -15,6 +17,7 @@ QUERIES = {
         secrets.op8_secret_trigrams,
         minhash.op9_near_dup_tensored,
         mixing.op10_mix_entropy,
+        centroids.op11_dimension_sharded_lloyd,
     )
 }
 
@@ -25,7 +28,36 @@ _REACH = """
 reach(id, root) AS (SELECT id, id FROM nodes UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id),
 roots AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id)"""
 
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """Assignments a<i> by centroids c<i>, one pair of steps per round; equally near centroids by number."""
+    near = """a{i} AS (SELECT vec_id, (min(d * 8 + cluster) % 8)::INT AS cluster, (min(d * 8 + cluster) // 8)::BIGINT AS distance
+  FROM (SELECT vec_id, cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS d FROM v JOIN c{i} c USING (j)
+        GROUP BY vec_id, cluster) GROUP BY vec_id)"""
+    move = """m{i} AS (SELECT cluster, j, sum(x)::BIGINT AS s, count(*) AS n FROM v JOIN a{i} USING (vec_id) GROUP BY cluster, j),
+c{n} AS (SELECT cluster, j, CASE WHEN n IS NULL THEN x ELSE ((s - ((s % n) + n) % n) // n)::BIGINT END AS x
+  FROM c{i} LEFT JOIN m{i} USING (cluster, j))"""
+    steps = [near.format(i=0)]
+    for i in range(rounds):
+        steps += [move.format(i=i, n=i + 1), near.format(i=i + 1)]
+    return f"""
+WITH kept AS (SELECT vec_id, embedding FROM embeddings WHERE len(embedding) = 64
+              AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+v AS (SELECT vec_id, unnest(range(64)) AS j, unnest(list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT)) AS x
+      FROM kept),
+first AS (SELECT vec_id, (row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1)::INT AS cluster FROM kept
+          QUALIFY cluster < 8),
+c0 AS (SELECT cluster, j, x FROM first JOIN v USING (vec_id)),
+{", ".join(steps)},
+digests AS (SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY j)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN digests USING (cluster)"""
+
+
 ORACLES = {
+    "op11_dimension_sharded_lloyd": _lloyd_sql(centroids.ROUNDS),
     "op5_warc_boundary_chain": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
      d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM p),
