@@ -1,7 +1,7 @@
 """The operators' queries by name, and the SQL that states their results where SQL can."""
 
 from tierline.llm import (
-    centroids, decontaminate, embeddings, html_text, minhash, mixing, secrets, sharding, tokens, toxicity, warc,
+    centroids, decontaminate, embeddings, html_text, lexical, minhash, mixing, secrets, sharding, tokens, toxicity, warc,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
         minhash.op9_near_dup_tensored,
         mixing.op10_mix_entropy,
         centroids.op11_dimension_sharded_lloyd,
+        lexical.op12_search_nra,
     )
 }
 
@@ -57,6 +58,20 @@ FROM a{rounds} JOIN digests USING (cluster)"""
 
 
 ORACLES = {
+    "op12_search_nra": r"""
+WITH d AS (SELECT doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents WHERE text IS NOT NULL),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE text IS NOT NULL),
+total AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS words FROM d WHERE len(terms) > 0),
+m AS (SELECT id, 100 - 75 + (75 * len(terms) * docs) // words AS m FROM d, total WHERE len(terms) > 0),
+tf AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY term, docs),
+i AS (SELECT id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * m)) AS impact FROM tf JOIN w USING (term) JOIN m USING (id)),
+s AS (SELECT item_id, id, sum(impact)::BIGINT AS score FROM q JOIN i USING (term) GROUP BY ALL)
+SELECT item_id, rank::INT AS rank, id AS doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, id) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10""",
     "op11_dimension_sharded_lloyd": _lloyd_sql(centroids.ROUNDS),
     "op5_warc_boundary_chain": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
