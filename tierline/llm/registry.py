@@ -1,7 +1,8 @@
 """The operators' queries by name, and the SQL that states their results where SQL can."""
 
 from tierline.llm import (
-    centroids, decontaminate, embeddings, html_text, lexical, minhash, mixing, secrets, sharding, tokens, toxicity, warc,
+    centroids, decontaminate, embeddings, html_text, lexical, minhash, mixing, quality, secrets, sharding, tokens,
+    toxicity, warc,
 )
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
         mixing.op10_mix_entropy,
         centroids.op11_dimension_sharded_lloyd,
         lexical.op12_search_nra,
+        quality.op13_quality_boosted_trees,
     )
 }
 
