@@ -6,14 +6,16 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from registry.base import query, table
+from registry.base import feed, query, table
 from tierline.functions import parse_bool, parse_feed_date, parse_int, parse_iso_timestamp
 from tierline.model import Table
+from tierline.operators.dedupe import flag_duplicates
 from tierline.session import scratch_dir
 from tierline.sinks import Warehouse
 from tierline.sources import (
     all_strings,
     read_csv_bronze,
+    read_csv_split,
     read_incremental,
     read_json_items,
     read_xml_bronze,
@@ -34,10 +36,15 @@ FROM documents""",
 )
 def bronze_csv_roundtrip(spark, sf_dir):
     """Texts with quotes and line breaks, written as CSV files and landed as strings."""
-    path = scratch_dir(spark, "csv")
     documents = table(spark, sf_dir, "documents")
+    path = _as_csv(documents)
+    return with_lineage(read_csv_bronze(spark, path, documents.columns), "documents_csv", RUN_TS)
+
+
+def _as_csv(rows):
+    path = scratch_dir(rows.sparkSession, "csv")
     (
-        documents.write.option("header", True)
+        rows.write.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("quoteAll", True)
@@ -46,7 +53,44 @@ def bronze_csv_roundtrip(spark, sf_dir):
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-    return with_lineage(read_csv_bronze(spark, path, documents.columns), "documents_csv", RUN_TS)
+    return path
+
+
+def _small_blocks(spark):
+    """A session that cuts files into blocks of 128 kB, so that small tables have block borders in their fields."""
+    session = spark.newSession()
+    for name, value in (("maxPartitionBytes", "128k"), ("openCostInBytes", "16k")):
+        session.conf.set(f"spark.sql.files.{name}", value)
+    return session
+
+
+@query(
+    "csv_split_roundtrip",
+    """
+SELECT CAST(doc_id AS STRING) AS doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+       coalesce(source, '') AS source, coalesce(CAST(n_chars AS STRING), '') AS n_chars
+FROM documents""",
+)
+def csv_split_roundtrip(spark, sf_dir):
+    """The same texts, each file read by many tasks; block borders fall into quoted line breaks."""
+    documents = table(spark, sf_dir, "documents")
+    return read_csv_split(_small_blocks(spark), _as_csv(documents), documents.columns)
+
+
+@query(
+    "csv_many_files_first_row",
+    """
+SELECT coalesce(video_id, '') AS video_id, coalesce(trending_date, '') AS trending_date, min(row_seq) AS row_seq
+FROM {raw_items} r GROUP BY coalesce(video_id, ''), coalesce(trending_date, '')""",
+)
+def csv_many_files_first_row(spark, sf_dir):
+    """Raw items in many files, read in blocks: of each id and date the first row by file and line stays (V3)."""
+    raw = feed(spark, sf_dir, "raw_items").select("row_seq", "video_id", "trending_date", "title", "description")
+    # Names of files follow the ranges, so that the place in the files is the order of the numbers.
+    path = _as_csv(raw.repartitionByRange(6, "row_seq").sortWithinPartitions("row_seq"))
+    rows = read_csv_split(_small_blocks(spark), path, raw.columns, place="place")
+    kept = flag_duplicates(rows, ["video_id", "trending_date"], ["place"], "place").where("NOT is_duplicate")
+    return kept.select("video_id", "trending_date", F.col("row_seq").cast("bigint"))
 
 
 @query(

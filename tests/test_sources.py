@@ -1,4 +1,6 @@
+import csv
 import datetime as dt
+import random
 
 import pytest
 
@@ -8,11 +10,13 @@ from tierline.sources import (
     all_strings,
     high_watermark,
     read_csv_bronze,
+    read_csv_split,
     read_incremental,
     read_json_items,
     read_xml_bronze,
     with_lineage,
 )
+from tierline.sources import split_csv
 
 RUN_TS = dt.datetime(2024, 2, 1, 6, 30)
 
@@ -24,6 +28,73 @@ def test_csv_keeps_text_as_it_is(spark, tmp_path):
         ("1", 'two\nlines, "quoted"', ""), ("2", " padded ", "007"), ("3", "", "")]
 
 
+COLUMNS = ["id", "text", "n"]
+
+
+@pytest.fixture
+def blocks(spark):
+    """A session that cuts files into small blocks."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    session.conf.set("spark.sql.files.openCostInBytes", "1")
+    return session
+
+
+def write_files(folder, files, line_end="\n"):
+    folder.mkdir()
+    for name, rows in files.items():
+        with open(folder / name, "w", newline="") as f:
+            out = csv.writer(f, lineterminator=line_end)
+            out.writerow(COLUMNS)
+            out.writerows(rows)
+    return str(folder)
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+def test_split_csv_equals_the_files(blocks, tmp_path, monkeypatch, line_end):
+    """Fields with breaks, quotes and separators; some are longer than a block, so that blocks lie within a field."""
+    draw = random.Random(6)
+    parts = ["a", 'b"c', "\n", "\r\n", ",", " x", "é", '"', "\n\n"]
+
+    def field():
+        return "".join(draw.choice(parts) for _ in range(draw.choice([0, 1, 2, 5, 40]))) if draw.random() < 0.6 else "plain"
+
+    files = {f"{k}.csv": [(f"{k}-{i}", field(), str(i)) for i in range(60)] for k in range(3)}
+    files["1.csv"].insert(30, ("long", "x\n" * 5000 + '"', "7"))
+    files["3.csv"] = []
+    path = write_files(tmp_path / "feed", files, line_end)
+    want = [row for name in sorted(files) for row in files[name]]
+    got = read_csv_split(blocks, path, COLUMNS, "place")
+    assert got.rdd.getNumPartitions() > 3 * len(files)
+    rows = sorted(map(tuple, got.collect()), key=lambda r: r[3])
+    assert [r[:3] for r in rows] == want
+    assert len({r[3] for r in rows}) == len(rows)
+    monkeypatch.setattr(split_csv, "SENT_BLOCKS", 0)
+    assert sorted(map(tuple, read_csv_split(blocks, path, COLUMNS, "place").collect()), key=lambda r: r[3]) == rows
+
+
+def test_split_csv_equals_the_whole_file_reader(spark, blocks, tmp_path):
+    text = '\ufeffid,text,n\n1,"two\nlines, ""quoted""",\n\n2, padded ,007\n3,,""\n4,"",last'
+    (tmp_path / "a.csv").write_text(text)
+    rows = sorted(map(tuple, read_csv_split(blocks, str(tmp_path / "a.csv"), COLUMNS).collect()))
+    assert rows == [("1", 'two\nlines, "quoted"', ""), ("2", " padded ", "007"), ("3", "", ""), ("4", "", "last")]
+    assert rows == sorted(map(tuple, read_csv_bronze(spark, str(tmp_path / "a.csv"), COLUMNS).collect()))
+
+
+def test_split_csv_refuses_what_it_cannot_read(spark, tmp_path):
+    for name, text, match in (
+        ("open.csv", 'id,text,n\n1,"no end,3\n', "end inside a quoted field"),
+        ("short.csv", "id,text,n\n1,2\n", "MALFORMED"),
+        ("head.csv", "id,other,n\n1,2,3\n", "header"),
+        ("stray.csv", 'id,text,n\n1,5" disk,3\n2,6" disk,3\n', "MALFORMED"),
+    ):
+        (tmp_path / name).write_text(text)
+        with pytest.raises(Exception, match=match):
+            read_csv_split(spark, str(tmp_path / name), COLUMNS).collect()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_csv_split(spark, str(tmp_path / "none.csv"), COLUMNS)
+
+
 def test_csv_with_other_columns_or_no_file_fails(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,other\n1,2\n")
     with pytest.raises(Exception, match="(?i)header"):

@@ -29,6 +29,7 @@ from tierline.sources import (
     all_strings,
     in_scan_order,
     read_csv_bronze,
+    read_csv_split,
     read_incremental,
     read_json_items,
     read_xml_bronze,
@@ -59,7 +60,8 @@ class Feeds:
     categories_json: str | None = None
     channels_xml: str | None = None
     channels_table: DataFrame | None = None
-    csv_multi_line: bool = True
+    # Large files are read by many tasks. A feed with stray quotes needs False, which reads a file as one task.
+    csv_split: bool = True
 
 
 class Pipeline:
@@ -123,11 +125,12 @@ class Pipeline:
             self.step(BRONZE, "ingest_db", lambda: self.land_extract(feeds.channels_table))
 
     def land_items(self, feeds: Feeds) -> tuple[int, str]:
-        rows = read_csv_bronze(
-            self.spark, feeds.items_csv, model.ITEM_FEED, multi_line=feeds.csv_multi_line, place=True
-        )
         # Stored with the row: its place in the feed, which decides what a duplicate is.
-        rows = in_scan_order(self.wh.stage(rows, scratch_dir(self.spark, "items")), "row_seq")
+        if feeds.csv_split:
+            rows = read_csv_split(self.spark, feeds.items_csv, model.ITEM_FEED, place="row_seq")
+        else:
+            rows = read_csv_bronze(self.spark, feeds.items_csv, model.ITEM_FEED, place=True)
+            rows = in_scan_order(self.wh.stage(rows, scratch_dir(self.spark, "items")), "row_seq")
         landed = with_lineage(rows, CSV_SOURCE, self.run_ts)
         n = self.wh.write_replace_partition("bronze.raw_videos", landed, self.day)
         return n, f"Ingested {n} rows from CSV"

@@ -36,9 +36,9 @@ def read_csv_bronze(
 ) -> DataFrame:
     """CSV with a header, every field a string, empty fields kept as ``''``.
 
-    Quoted fields may hold line breaks, so a file is one split by default and the feed scales
-    with its number of files. A feed known to have no line breaks in fields can pass
-    ``multi_line=False`` to let Spark split large files. ``place`` adds columns for ``in_scan_order``.
+    Quoted fields may hold line breaks, so a file is one split by default; ``read_csv_split`` splits
+    files that quote by the rules. A feed known to have no line breaks in fields can pass
+    ``multi_line=False``. ``place`` adds columns for ``in_scan_order``.
     """
     extra = [
         F.col("_metadata.file_path").alias("_file"),
