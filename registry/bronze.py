@@ -215,7 +215,7 @@ def replace_day_partition(spark, sf_dir):
     )
     tables = {"bronze.events": Table("daily", days.schema, ("ingestion_date",))}
     wh = Warehouse(spark, scratch_dir(spark, "daily"), tables)
-    days.write.partitionBy("ingestion_date").parquet(wh.path("bronze.events"))
+    wh.write_dates("bronze.events", days, days.select("ingestion_date"))
     last = days.agg(F.max("ingestion_date")).first()[0]
     again = days.where(F.col("ingestion_date") == F.lit(last)).withColumn("value", F.col("value") + 1)
     wh.write_replace_partition("bronze.events", again, last)

@@ -4,16 +4,18 @@ import csv
 import datetime as dt
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import as_dicts
-from tierline import model
+from tierline import model, session
 from tierline.plans import ledger
 from tierline.plans.adhoc import query
 from tierline.plans.pipeline import Feeds, Pipeline, run_pipeline
-from tierline.sinks import Warehouse
+from tierline.sinks import Warehouse, manifest
+from tierline.sinks.manifest import KEEP_LISTS, Files, Manifest, values_of
 
 DAY1 = dt.datetime(2026, 8, 19, 6, 0)
 DAY2 = dt.datetime(2026, 8, 20, 6, 0)
@@ -245,21 +247,20 @@ def test_warehouse_writes(spark, frame, tmp_path):
 
 
 def test_many_writes_keep_few_files(spark, tmp_path):
-    """One pointer row per table and a few versions, however often a table was replaced."""
-    from tierline.sinks.warehouse import KEEP_VERSIONS
-
+    """A few lists and the folders they name, however often a table was replaced."""
     wh = Warehouse(spark, str(tmp_path / "wh"))
     wh.create()
-    table = "gold.dim_category"
-    for n in range(KEEP_VERSIONS + 4):
-        rows = spark.range(n + 1).selectExpr("CAST(id AS INT) AS category_id", "'t' AS category_title", "CAST(NULL AS TIMESTAMP_NTZ) AS load_timestamp")
+    table = "silver.categories"
+    for n in range(KEEP_LISTS + 4):
+        rows = spark.range(n + 1).selectExpr(
+            "CAST(id AS INT) AS category_id", "'t' AS category_title", "'s' AS source_system",
+            "CAST(NULL AS TIMESTAMP_NTZ) AS load_timestamp",
+        )
         assert wh.write_full(table, rows) == n + 1
         assert wh.read(table).count() == n + 1
-    kept = [p for p in os.listdir(wh.path(table)) if p.startswith("version=")]
-    pointer = [p for p in os.listdir(wh._pointer(table)) if p.startswith("part-")]
-    assert (len(kept), len(pointer)) == (KEEP_VERSIONS, 1)
-    # Two writers that start from the same state get different numbers.
-    assert len({wh._claim(table), Warehouse(spark, wh.root)._claim(table)}) == 2
+    kept = [p for p in os.listdir(wh.path(table)) if p.startswith("write=")]
+    lists = [p for p in os.listdir(f"{wh.path(table)}/_manifest") if p.isdigit()]
+    assert (len(kept), len(lists)) == (KEEP_LISTS, KEEP_LISTS) and wh.version(table) == KEEP_LISTS + 4
 
 
 def test_failed_write_keeps_rows(spark, tmp_path):
@@ -274,3 +275,146 @@ def test_failed_write_keeps_rows(spark, tmp_path):
     assert wh.read(name).count() == 3
     assert wh.write_run(name, rows.limit(0), run_id="a:1", table_name="t") == 0
     assert wh.read(name).count() == 0
+
+
+FACT = "gold.fact_video_metrics"
+FACT_ROW = ("video_id string, dim_video_key string, dim_category_id int, dim_channel_key string, views bigint, likes bigint,"
+            " dislikes bigint, comment_count bigint, load_timestamp timestamp_ntz, trending_date date")
+
+
+class Killed(BaseException):
+    """The process ends: nothing after the point of failure runs."""
+
+
+def kill_at(monkeypatch, owner, name, call):
+    """End the ``call``-th call of a function, before it does anything."""
+    whole, calls = getattr(owner, name), []
+
+    def run(*args, **kwargs):
+        calls.append(name)
+        if len(calls) == call:
+            raise Killed
+        return whole(*args, **kwargs)
+
+    monkeypatch.setattr(owner, name, run)
+
+
+@pytest.mark.parametrize("owner, name, call", [
+    (Warehouse, "_leaves", 1), (Warehouse, "_leaves", 3), (Manifest, "exchange", 1), (Manifest, "latest", 1),
+    (Files, "create", 1), (Manifest, "_forget", 1), (Files, "delete", 1), (Files, "delete", 2),
+])
+def test_killed_reload_leaves_all_old_or_all_new_rows(spark, frame, tmp_path, monkeypatch, owner, name, call):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    days = [dt.date(2024, 1, i) for i in range(1, 6)]
+    load = lambda n, some: frame(FACT_ROW, [("v", "k", 1, "c", n, 0, 0, 0, DAY1, day) for day in some])
+    for n in range(KEEP_LISTS):
+        wh.write_dates(FACT, load(n, days), days)
+    old = {(day, KEEP_LISTS - 1) for day in days}
+    new = {(days[0], KEEP_LISTS - 1), *((day, 99) for day in days[1:4])}
+    with monkeypatch.context() as patched:
+        kill_at(patched, owner, name, call)
+        with pytest.raises(Killed):
+            wh.write_dates(FACT, load(99, days[1:4]), days[1:])
+            raise AssertionError("the write ended")
+    seen = lambda: {(r.trending_date, r.views) for r in Warehouse(spark, wh.root).read(FACT).collect()}
+    assert seen() == (new if name in ("_forget", "delete") else old)
+    # The next writer starts from there, and what the dead one left goes.
+    assert Warehouse(spark, wh.root).write_dates(FACT, load(7, days[:1]), days[:1]) == 1
+    assert (days[0], 7) in seen() and len(seen()) == (4 if name in ("_forget", "delete") else 5)
+    wh.clean(older_than=0)
+    named = {f.split("/")[0] for n in wh.manifest(FACT)._numbers() for f in wh.manifest(FACT)._content(n)}
+    assert {p for p in os.listdir(wh.path(FACT)) if p.startswith("write=")} == named
+
+
+def test_list_of_a_dead_writer_is_passed_over(spark, frame, tmp_path, monkeypatch):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    day = dt.date(2024, 1, 1)
+    load = lambda n: frame(FACT_ROW, [("v", "k", 1, "c", n, 0, 0, 0, DAY1, day)])
+    wh.write_dates(FACT, load(1), [day])
+    (tmp_path / "wh/gold/fact_video_metrics/_manifest/0000000002").write_text('["write=w')
+    assert [r.views for r in wh.read(FACT).collect()] == [1]
+    monkeypatch.setattr(manifest, "GRACE", 0.0)
+    wh.write_dates(FACT, load(2), [day])
+    assert [r.views for r in wh.read(FACT).collect()] == [2] and wh.version(FACT) == 2
+
+
+def test_concurrent_writers_lose_nothing(spark, tmp_path):
+    """Every list is made by one writer, from the list before it."""
+    files = Files(spark, str(tmp_path))
+    made = [(k, i) for k in range(4) for i in range(8)]
+
+    def write(k):
+        own = manifest.Manifest(files, str(tmp_path / "t"))
+        for i in range(8):
+            own.exchange(lambda folders, i=i: [*folders, f"write=w{k}/i={i}"])
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(4)))
+    last, folders = manifest.Manifest(files, str(tmp_path / "t")).latest()
+    assert last == len(made) and sorted(folders) == sorted(f"write=w{k}/i={i}" for k, i in made)
+
+
+def versions(frame, *rows):
+    schema = model.TABLES["gold.dim_channel"].schema
+    return frame(schema, [(f"{k}|{v}", k, "T" + k, n, "DE", 1, 1, v, DAY1, None, True) for k, n, v in rows])
+
+
+def test_step_writes_changed_buckets_only(spark, frame, tmp_path):
+    """An unchanged source writes no bucket, a changed key its own, and the wide rows of the others are not shuffled."""
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.create()
+    run = Pipeline(spark, wh, "r", DAY1)
+    source = lambda *rows: frame("channel_id string, channel_title string, subscriber_count bigint, country string,"
+                                 " total_videos int, total_views bigint, source_system string, load_timestamp timestamp_ntz",
+                                 [(k, "T" + k, n, "DE", 1, 1, "s", DAY1) for k, n in rows])
+    wh.write_full("silver.channels", source(*[(f"c{i}", i) for i in range(60)]))
+    assert run.scd2_channels()[0] == 60
+    first = set(wh.manifest("gold.dim_channel").folders())
+    assert len(wh.partitions("gold.dim_channel")) == model.BUCKETS
+    number = wh.version("gold.dim_channel")
+    assert run.scd2_channels()[0] == 0 and wh.version("gold.dim_channel") == number
+
+    wh.write_full("silver.channels", source(("c7", 700), ("new", 1), ("c8", 8)))
+    again = Pipeline(spark, wh, "r2", DAY2)
+    assert again.scd2_channels()[0] == 2 and again.counts["updated"] == 1
+    hit = set(wh.buckets_of("gold.dim_channel", frame("channel_id string", [("c7",), ("new",)])))
+    after = set(wh.manifest("gold.dim_channel").folders())
+    rewritten = {int(values_of(f)["bucket"]) for f in first - after}
+    assert hit - rewritten <= {b for b in hit if not any(values_of(f)["bucket"] == str(b) for f in first)}
+    assert rewritten <= hit and after - first and {int(values_of(f)["bucket"]) for f in after - first} <= hit
+    c7 = wh.read("gold.dim_channel").where("channel_id = 'c7'").orderBy("version_number").collect()
+    assert [(r.subscriber_count, r.is_current) for r in c7] == [(7, False), (700, True)]
+    assert wh.current("gold.dim_channel").count() == 61 and wh.history("gold.dim_channel").count() == 1
+    # Inferred members go beside the others.
+    kept = set(wh.manifest("gold.dim_channel").folders())
+    again.add_rows("gold.dim_channel", versions(frame, ("late", 1, 1)))
+    assert kept < set(wh.manifest("gold.dim_channel").folders()) and wh.current("gold.dim_channel").count() == 62
+    # A bucket's plan reads the folders of that bucket alone.
+    (bucket,) = wh.buckets_of("gold.dim_channel", frame("channel_id string", [("c7",)]))
+    read = wh.current("gold.dim_channel", [bucket])
+    assert all(f"is_current=true/bucket={bucket}/" in f for f in read.inputFiles()) and read.inputFiles()
+
+
+def test_reload_reads_only_its_dates(spark, tmp_path, feeds):
+    """Silver is laid out by load and date; the reload's plan names files of the run's dates alone."""
+    root = str(tmp_path / "wh")
+    run_pipeline(spark, root, feeds(1, ITEMS1), "a", DAY1)
+    second = [item("v1", "26.19.08", views="250"), item("v9", "26.20.08", views="1")]
+    run_pipeline(spark, root, feeds(2, second), "b", DAY2)
+    wh = Warehouse(spark, root)
+    reload = Pipeline(spark, wh, "b", DAY2)
+    assert reload.loaded_dates() == ["2026-08-19", "2026-08-20"]
+    items = reload.items_to_reload()
+    dates = {f.split("trending_date=")[1].split("/")[0] for f in items.inputFiles()}
+    assert dates == {"2026-08-19", "2026-08-20"} and len({f.split("load_date=")[1][:10] for f in items.inputFiles()}) == 2
+    assert {(r.video_id, r.views) for r in items.collect()} == {("v1", 250), ("v3", 30), ("v9", 1)}
+
+
+def test_run_leaves_no_scratch(spark, tmp_path, feeds, monkeypatch):
+    made = []
+    whole = session.scratch_dir
+    monkeypatch.setattr(session, "scratch_dir", lambda *a: made.append(whole(*a)) or made[-1])
+    root = str(tmp_path / "wh")
+    run_pipeline(spark, root, feeds(1, ITEMS1), "a", DAY1)
+    (space,) = made
+    assert not os.path.exists(space) and os.path.exists(os.path.dirname(space))

@@ -2,10 +2,11 @@
 
 Layouts
   append   rows are only ever added
-  daily    one directory per load day; a run replaces its own day
+  daily    one directory per load day (and date); a run replaces its own day
   run      one directory per run and source table; a repeated run replaces its own rows
   full     replaced as a whole
-  versions a versioned dimension: current rows are replaced, closed rows are added
+  keyed    a dimension in hash buckets of its key; a step replaces the buckets it changes
+  versions a versioned dimension in such buckets: current rows are replaced, closed rows are added
   dated    one directory per value of the date column; a reload replaces the dates it brings
 """
 
@@ -21,8 +22,13 @@ class Table:
     layout: str
     schema: T.StructType
     partition: tuple[str, ...] = ()
+    key: str | None = None
+    buckets: int = 1
 
 
+# Buckets of a dimension: a step rewrites those it changes, so large dimensions want thousands.
+BUCKETS = 16
+
 _TYPES = {
     "string": T.StringType(),
     "int": T.IntegerType(),
@@ -34,10 +40,11 @@ _TYPES = {
 }
 
 
-def _table(layout: str, columns: str, *partition: str) -> Table:
+def _table(layout: str, columns: str, *partition: str, key: str | None = None) -> Table:
     """``columns`` lists names with types; unlike ``fromDDL`` this needs no session."""
     pairs = [c.split() for c in columns.split(",")]
-    return Table(layout, T.StructType([T.StructField(n, _TYPES[t]) for n, t in pairs]), partition)
+    schema = T.StructType([T.StructField(n, _TYPES[t]) for n, t in pairs])
+    return Table(layout, schema, partition, key, BUCKETS)
 
 
 # Column names and order of the raw feeds.
@@ -122,6 +129,7 @@ TABLES = {
         " ratings_disabled boolean, video_error_or_removed boolean, description string,"
         f" {_LINEAGE}, load_date date",
         "load_date",
+        "trending_date",
     ),
     "silver.categories": _table("full", f"category_id int, category_title string, {_LINEAGE}"),
     "silver.channels": _table(
@@ -134,14 +142,16 @@ TABLES = {
         "dim_video_key string, video_id string, title string, channel_title string,"
         " category_id int, publish_time timestamp_ntz, tags string, comments_disabled boolean,"
         f" ratings_disabled boolean, video_error_or_removed boolean, description string, {_VERSION}",
+        key="video_id",
     ),
     "gold.dim_category": _table(
-        "full", "category_id int, category_title string, load_timestamp timestamp_ntz"
+        "keyed", "category_id int, category_title string, load_timestamp timestamp_ntz", key="category_id"
     ),
     "gold.dim_channel": _table(
         "versions",
         "dim_channel_key string, channel_id string, channel_title string,"
         f" subscriber_count bigint, country string, total_videos int, total_views bigint, {_VERSION}",
+        key="channel_id",
     ),
     "gold.fact_video_metrics": _table(
         "dated",
@@ -183,5 +193,4 @@ TABLES = {
         "log_id bigint, run_id string, task_name string, step_name string, status string,"
         " affected_rows bigint, log_message string, log_timestamp timestamp_ntz",
     ),
-    "metadata.table_versions": _table("append", "table_name string, version bigint"),
 }

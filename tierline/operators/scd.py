@@ -45,6 +45,27 @@ def first_versions(
     ).withColumn(key_column, surrogate_key(F.col(key), F.col("version_number")))
 
 
+ABSENT = "_absent"
+
+
+def scd2_touched(
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    order_by: Sequence[Column],
+) -> DataFrame:
+    """Keys to which a step does something: those that changed, and those without a current version (``_absent``).
+
+    Only keys and 256-bit digests of the tracked columns meet, so the wide rows of the target stay where they are.
+    """
+    digest = F.sha2(F.to_json(F.struct(*tracked), {"ignoreNullFields": "false"}), 256)
+    fresh = latest_per_key(source, [key], order_by).select(key, digest.alias("_new"))
+    current = target.where("is_current").select(F.col(key).alias("_id"), digest.alias("_old"))
+    pairs = fresh.join(current, F.col(key) == F.col("_id"), "left")
+    return pairs.where(~F.col("_new").eqNullSafe(F.col("_old"))).select(key, F.col("_id").isNull().alias(ABSENT))
+
+
 def scd2_changed(
     target: DataFrame,
     source: DataFrame,
@@ -53,12 +74,7 @@ def scd2_changed(
     order_by: Sequence[Column],
 ) -> DataFrame:
     """Keys whose latest source row differs from the current version on a tracked column."""
-    fresh = latest_per_key(source, [key], order_by).select(key, *tracked)
-    current = target.where("is_current").select(
-        F.col(key).alias("_id"), *[F.col(c).alias(f"_old_{c}") for c in tracked]
-    )
-    changed = differs([(F.col(c), F.col(f"_old_{c}")) for c in tracked])
-    return fresh.join(current, F.col(key) == F.col("_id")).where(changed).select(key)
+    return scd2_touched(target, source, key, tracked, order_by).where(~F.col(ABSENT)).select(key)
 
 
 def scd2_close(

@@ -19,12 +19,12 @@ from tierline.operators.members import (
     inferred_items,
     replaced_inferred,
 )
-from tierline.operators.scd import scd1, scd2, scd2_close
+from tierline.operators.scd import ABSENT, scd1, scd2, scd2_close, scd2_touched
 from tierline.operators.validate import REASON, counted, rejected_records
 from tierline.plans import marts, silver
 from tierline.plans.ledger import RunLedger
-from tierline.session import require_utc, scratch_dir
-from tierline.sinks.warehouse import Warehouse
+from tierline.session import require_utc, scratch_dir, scratch_space
+from tierline.sinks.warehouse import BUCKET, Warehouse
 from tierline.sources import (
     all_strings,
     in_scan_order,
@@ -97,10 +97,11 @@ class Pipeline:
         self.wh.create()
         self.ledger.start()
         try:
-            self.land(feeds)
-            self.clean()
-            self.historize()
-            self.build()
+            with scratch_space(self.spark, "run"):
+                self.land(feeds)
+                self.clean()
+                self.historize()
+                self.build()
         except Exception:
             self.ledger.finish("FAILED", **self.counts)
             raise
@@ -166,8 +167,7 @@ class Pipeline:
         self.step(SILVER, "validate_clean_channels", self.clean_channels)
 
     def raw_items(self) -> DataFrame:
-        raw = self.wh.read("bronze.raw_videos")
-        return raw if self.full else raw.where(F.col("ingestion_date") == F.lit(self.day))
+        return self.wh.read("bronze.raw_videos", None if self.full else {"ingestion_date": [self.day]})
 
     def clean_items(self) -> tuple[int, str]:
         raw = self.raw_items()
@@ -245,15 +245,17 @@ class Pipeline:
         self.step(SCD, "scd2_channels", self.scd2_channels)
 
     def scd1_categories(self) -> tuple[int, str]:
-        source = self.wh.read("silver.categories")
-        n = self.wh.write_full(
-            "gold.dim_category", scd1(self.wh.read("gold.dim_category"), source, "category_id")
-        )
+        table, source = "gold.dim_category", self.wh.read("silver.categories")
+        buckets = self.wh.buckets_of(table, source)
+        n = 0
+        if buckets:
+            merged = scd1(self.wh.read(table, {BUCKET: buckets}), source, "category_id")
+            n = self.wh.write_buckets(table, merged, buckets)
         return n, f"SCD Type 1 categories completed. Rows: {n}"
 
     def loaded_items(self) -> DataFrame:
         """Silver items of this run."""
-        return self.wh.read("silver.videos").where(F.col("load_date") == F.lit(self.day))
+        return self.wh.read("silver.videos", {"load_date": [self.day]})
 
     def scd2_items(self) -> tuple[int, str]:
         return self.version_step(
@@ -282,33 +284,41 @@ class Pipeline:
     def retire_inferred(self) -> int:
         """Close inferred channels that a source has now described."""
         table = "gold.dim_channel"
-        current = self.wh.current(table)
-        replaced = self.wh.stage(replaced_inferred(current), scratch_dir(self.spark, "replaced"))
+        found = replaced_inferred(self.wh.current(table))
+        replaced = self.wh.stage(found, scratch_dir(self.spark, "replaced"))
         n = replaced.count()
         if n:
-            self.wh.write_versions(
-                table, scd2_close(current, replaced, "channel_id", self.run_ts)
-            )
+            buckets = self.wh.buckets_of(table, replaced)
+            current = self.wh.current(table, buckets)
+            self.wh.write_versions(table, scd2_close(current, replaced, "channel_id", self.run_ts), buckets)
             self.counts["updated"] += n
         return n
 
-    def version_step(self, table: str, source: DataFrame, *, key: str, **how) -> tuple[int, str]:
-        """SCD2 over the current rows and, of the closed ones, only those the source reopens."""
-        current = self.wh.current(table)
-        absent = source.select(key).distinct().join(current.select(key), key, "left_anti")
-        absent = self.wh.stage(absent, scratch_dir(self.spark, "absent"))
-        target = current
-        # Closed rows are read only for keys without a current one.
-        if not absent.isEmpty():
-            target = current.unionByName(self.wh.history(table).join(absent, key, "left_semi"))
-        result = scd2(target, source, key=key, run_ts=self.run_ts, **how)
-        now = timestamp(self.run_ts)
-        # Rows closed by earlier runs are already stored.
-        changed = result.where(F.col("is_current") | (F.col("effective_end_date") == now))
-        seen = self.observed_versions(changed)
-        self.wh.write_versions(table, seen[0])
-        inserted, closed = (int(seen[1].get[c]) for c in ("inserted", "closed"))
-        self.counts["updated"] += closed
+    def version_step(
+        self, table: str, source: DataFrame, *, key: str, tracked, order_by, **how
+    ) -> tuple[int, str]:
+        """SCD2 over the buckets that hold a new or changed key; the others are neither rewritten nor shuffled."""
+        touched = scd2_touched(self.wh.current(table), source, key, tracked, order_by)
+        touched = self.wh.stage(touched, scratch_dir(self.spark, "touched"))
+        buckets = self.wh.buckets_of(table, touched)
+        inserted = closed = 0
+        if buckets:
+            target = self.wh.current(table, buckets)
+            # Closed rows are read only for keys without a current one.
+            absent = touched.where(ABSENT)
+            old = self.wh.buckets_of(table, absent)
+            if old:
+                closed_rows = self.wh.history(table, old)
+                target = target.unionByName(closed_rows.join(absent.select(key), key, "left_semi"))
+            new = source.join(touched.select(key), key, "left_semi")
+            result = scd2(target, new, key=key, tracked=tracked, order_by=order_by, run_ts=self.run_ts, **how)
+            now = timestamp(self.run_ts)
+            # Rows closed by earlier runs are already stored.
+            changed = result.where(F.col("is_current") | (F.col("effective_end_date") == now))
+            rows, seen = self.observed_versions(changed)
+            self.wh.write_versions(table, rows, buckets)
+            inserted, closed = (int(seen.get[c]) for c in ("inserted", "closed"))
+            self.counts["updated"] += closed
         return inserted, f"{table} completed. Closed: {closed}, Inserted: {inserted}"
 
     def observed_versions(self, rows: DataFrame):
@@ -344,25 +354,22 @@ class Pipeline:
             self.one_per_title(channels),
             self.run_ts,
         )
-        n = self.wh.write_dates(
-            "gold.fact_video_metrics", facts, self.loaded_items().select("trending_date")
-        )
+        n = self.wh.write_dates("gold.fact_video_metrics", facts, self.loaded_dates())
         dropped = int(seen.get["n"]) - n
         return n, f"Fact load complete. {inferred}, Loaded: {n}, Without member: {dropped}"
 
+    def loaded_dates(self) -> list[str]:
+        """The dates this run brought, as the folders of its load day name them."""
+        folders = self.wh.partitions("silver.videos", {"load_date": [self.day]})
+        return sorted({f["trending_date"] for f in folders})
+
     def items_to_reload(self) -> DataFrame:
         """All silver rows of the dates this run brought, each item and date from its newest load.
 
-        A date is reloaded as a whole, so rows of earlier loads that this run did not repeat stay.
+        A date is reloaded as a whole, so rows of earlier loads that this run did not repeat stay. Silver is laid
+        out by load and date: only folders of these dates are read.
         """
-        dates = self.loaded_items().select("trending_date")
-        lowest, highest = dates.agg(F.min("trending_date"), F.max("trending_date")).first()
-        everything = self.wh.read("silver.videos")
-        if lowest is None:
-            return everything.limit(0)
-        # Two scalars let the scan skip files; the join then picks the exact days, which are few.
-        near = everything.where(F.col("trending_date").between(F.lit(lowest), F.lit(highest)))
-        of_dates = near.join(F.broadcast(dates.distinct()), "trending_date", "left_semi")
+        of_dates = self.wh.read("silver.videos", {"trending_date": self.loaded_dates()})
         return newest_rows(of_dates, ["video_id", "trending_date"], "load_date")
 
     def add_inferred(self, items: DataFrame) -> str:
@@ -370,25 +377,19 @@ class Pipeline:
         found = {}
         categories = self.wh.read("gold.dim_category")
         new = inferred_categories(items, categories, self.run_ts)
-        found["Cat"] = self.add_rows("gold.dim_category", new, self.wh.write_full)
+        found["Cat"] = self.add_rows("gold.dim_category", new)
         new = inferred_channels(items, self.wh.read("gold.dim_channel"), self.run_ts)
-        found["Ch"] = self.add_rows("gold.dim_channel", new, self.wh.write_versions)
+        found["Ch"] = self.add_rows("gold.dim_channel", new)
         new = inferred_items(
             items, self.wh.read("gold.dim_video"), latest_item_order(), self.run_ts
         )
-        found["Vid"] = self.add_rows("gold.dim_video", new, self.wh.write_versions)
+        found["Vid"] = self.add_rows("gold.dim_video", new)
         return "Inferred " + ", ".join(f"{k}: {v}" for k, v in found.items())
 
-    def add_rows(self, table: str, new: DataFrame, write) -> int:
-        """Store new members once, and rewrite the dimension only if there are any."""
+    def add_rows(self, table: str, new: DataFrame) -> int:
+        """Store new members beside those the dimension has; no bucket is rewritten."""
         staged = self.wh.stage(new, scratch_dir(self.spark, "members"))
-        n = staged.count()
-        if n:
-            full = self.wh.read(table)
-            if "is_current" in full.columns:
-                full = full.where("is_current")
-            write(table, full.unionByName(staged))
-        return n
+        return 0 if staged.isEmpty() else self.wh.write_more(table, staged)
 
     def one_per_title(self, channels: DataFrame) -> DataFrame:
         """Current channels, each title once; facts of a shared title would else count twice."""

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_SPACE: ContextVar[str | None] = ContextVar("scratch space", default=None)
 
 
 def build_session(app: str = "tierline", master: str | None = None, **conf: object) -> SparkSession:
@@ -34,9 +38,23 @@ def require_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path for intermediate tables, in a folder that driver and executors share.
 
-    That is ``spark.checkpoint.dir``, or a folder below the warehouse if the session does not set it.
+    That is ``spark.checkpoint.dir``, or a folder below the warehouse if the session does not set it. Within a
+    ``scratch_space`` it lies there.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    base = _SPACE.get() or spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if not base:
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_space(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder for all intermediate tables of a block of code, removed at its end."""
+    path = scratch_dir(spark, label)
+    token = _SPACE.set(path)
+    try:
+        yield path
+    finally:
+        _SPACE.reset(token)
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

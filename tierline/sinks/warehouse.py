@@ -1,28 +1,30 @@
-"""Parquet tables below one root path.
+"""Parquet tables below one root path.
 
-Tables that are replaced as a whole get a new directory per write; the table's one row in
-``metadata.table_versions`` then makes it the visible one. A plan may read the table it is about to
-replace; of old versions the last few are kept. All other tables are plain directories of Parquet files,
-replaced one partition at a time: the new files are written elsewhere and take the place of the old ones
-when the write has succeeded. A failed write leaves the old rows in place.
+Every write of a table goes to a folder of its own, and a list of visible folders then shows it
+(``tierline.sinks.manifest``): a write is seen as a whole or not at all, whatever it replaces, and a writer that
+dies leaves the old rows. A plan may read the table it is about to replace; the last few states stay on disk.
+Tables that are only appended to are plain directories of Parquet files.
+
+Dimensions are stored in hash buckets of their key. A step writes the buckets it changes and leaves the others.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.model import TABLES, Table
+from tierline.sinks.manifest import WRITE, Files, Manifest, values_of
 
-VERSIONS = "metadata.table_versions"
-# Visible and older versions of a replaced table that stay on disk: frames of a run may read them.
-KEEP_VERSIONS = 5
+BUCKET = "bucket"
+# Seconds that an unfinished write may take before ``clean`` removes it.
+UNFINISHED = 7 * 24 * 3600
 
 
 class Warehouse:
@@ -38,71 +40,80 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.tables = tables
         self.aliases = dict(aliases or {})
+        self.files = Files(spark, self.root)
 
     def create(self) -> None:
-        """Make the directories of tables that have none yet, so that each can be read."""
+        """Make the directories of appended tables that have none yet, so that each can be read."""
         for name, table in self.tables.items():
-            if table.layout not in ("full", "versions"):
-                empty = self._empty(table.schema)
-                empty.write.mode("ignore").partitionBy(*table.partition).parquet(self.path(name))
+            if table.layout == "append":
+                self._empty(table.schema).write.mode("ignore").parquet(self.path(name))
 
     # Reading
 
     def path(self, name: str) -> str:
         return f"{self.root}/{self.aliases.get(name, name).replace('.', '/')}"
 
-    def read(self, name: str) -> DataFrame:
-        """The visible rows of a table with its declared schema; no rows before the first write."""
+    def manifest(self, name: str) -> Manifest:
+        return Manifest(self.files, self.path(name))
+
+    def read(self, name: str, only: Mapping[str, Collection[object]] | None = None) -> DataFrame:
+        """The visible rows of a table with its declared schema; no rows before the first write.
+
+        ``only`` names values of partition columns; folders with others are not even listed.
+        """
         table = self.tables[name]
-        if table.layout == "full":
-            version = self.version(name)
-            if version is None:
-                return self._empty(table.schema)
-            return self._parquet(f"{self.path(name)}/version={version}", table.schema)
-        if table.layout == "versions":
-            version = self.version(name)
-            if version is None:
-                return self._empty(table.schema)
-            rows = self._parquet(self.path(name), _with_version(table.schema))
-            return self._visible(rows, version).select(*table.schema.names)
-        return self._parquet(self.path(name), table.schema).select(*table.schema.names)
-
-    def history(self, name: str) -> DataFrame:
+        if table.layout == "append":
+            return self._parquet([self.path(name)], table.schema, self.path(name)).select(*table.schema.names)
+        folders = self._folders(name, only)
+        hidden = [T.StructField(k, T.StringType()) for k in (WRITE, *_partition(table)) if k not in table.schema.names]
+        schema = T.StructType([*table.schema.fields, *hidden])
+        paths = [f"{self.path(name)}/{f}" for f in folders]
+        return self._parquet(paths, schema, self.path(name)).select(*table.schema.names)
+
+    def partitions(self, name: str, only: Mapping[str, Collection[object]] | None = None) -> list[dict[str, str]]:
+        """Partition values, as text, of a table's visible folders; reads no data."""
+        return [values_of(f) for f in self._folders(name, only)]
+
+    def _folders(self, name: str, only: Mapping[str, Collection[object]] | None) -> list[str]:
+        wanted = {k: {_text(v) for v in values} for k, values in (only or {}).items()}
+        found = self.manifest(name).folders()
+        return [f for f in found if all(values_of(f)[k] in values for k, values in wanted.items())] if wanted else found
+
+    def history(self, name: str, buckets: Collection[int] | None = None) -> DataFrame:
         """Closed rows of a versioned dimension."""
-        return self.read(name).where(~F.col("is_current"))
-
-    def current(self, name: str) -> DataFrame:
-        """Open rows of a versioned dimension; reads their directory alone."""
-        return self.read(name).where("is_current")
-
-    def version(self, name: str) -> int | None:
-        """Number of the visible version of a replaced table."""
-        path = self._pointer(name)
-        if not self._files(path).exists(self._hadoop(path)):
-            return None
-        return self.spark.read.schema("version bigint").parquet(path).first()["version"]
-
-    def _pointer(self, name: str) -> str:
-        """One directory with one row for each replaced table."""
-        return f"{self.path(VERSIONS)}/{self._folder('table_name', name)}"
-
-    @staticmethod
-    def _visible(rows: DataFrame, version: int) -> DataFrame:
-        # Both are partition columns, so this picks directories and reads no other file.
-        closed = ~F.col("is_current") & (F.col("version") <= version)
-        return rows.where(closed | (F.col("is_current") & (F.col("version") == version)))
-
-    def _parquet(self, path: str, schema: T.StructType) -> DataFrame:
+        return self.read(name, {"is_current": [False]} | _only(buckets)).where(~F.col("is_current"))
+
+    def current(self, name: str, buckets: Collection[int] | None = None) -> DataFrame:
+        """Open rows of a versioned dimension; reads their folders alone."""
+        return self.read(name, {"is_current": [True]} | _only(buckets)).where("is_current")
+
+    def version(self, name: str) -> int:
+        """Number of the visible state of a table; 0 before the first write."""
+        return self.manifest(name).latest()[0]
+
+    def bucket(self, name: str) -> Column:
+        """The bucket of a dimension's key."""
+        table = self.tables[name]
+        return F.pmod(F.xxhash64(F.col(table.key).cast(table.schema[table.key].dataType)), F.lit(table.buckets)).cast("int")
+
+    def buckets_of(self, name: str, keys: DataFrame) -> list[int]:
+        """Buckets that hold some of these keys; at most as many numbers as the table has buckets."""
+        return sorted(r[0] for r in keys.select(self.bucket(name).alias(BUCKET)).distinct().collect())
+
+    def _parquet(self, paths: Sequence[str], schema: T.StructType, base: str) -> DataFrame:
+        if not paths:
+            return self._empty(schema)
         try:
-            return self.spark.read.schema(schema).parquet(path)
+            return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
         except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
+            if e.getCondition() == "PATH_NOT_FOUND" and list(paths) == [base]:
                 return self._empty(schema)
             raise
 
     def _empty(self, schema: T.StructType) -> DataFrame:
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-        return self.spark.range(1).select(*nothing).limit(0)
+        # Not a constant condition: a plan without any scan would drop the counts observed on it.
+        return self.spark.range(1).where(F.rand(0) > 1).select(*nothing)
 
     # Writing; each method returns the number of rows written
 
@@ -125,136 +136,109 @@ class Warehouse:
 
     def write_replace_partition(self, name: str, df: DataFrame, day: dt.date) -> int:
         """Replace the rows of one day (K1, K4); an empty frame clears the day."""
-        (key,) = self.tables[name].partition
-        rows, count = self._counted(name, df, drop=(key,))
-        new = self._aside()
-        rows.write.parquet(new)
-        self._swap(new, f"{self.path(name)}/{key}={day.isoformat()}")
-        return count()
+        key, *more = self.tables[name].partition
+        rows = df.withColumn(key, F.lit(day))
+        return self._write(name, rows, {key: {day}}, spread=more)
 
     def write_run(self, name: str, df: DataFrame, **run: str) -> int:
         """Replace the rows of one run (K3, V11), named by its value for each partition column.
 
         A run that is repeated replaces all it wrote before, also if it has no rows now.
         """
-        keys = self.tables[name].partition
-        rows, count = self._counted(name, df, drop=keys)
-        new = self._aside()
-        rows.write.parquet(new)
-        self._swap(new, "/".join([self.path(name), *[self._folder(k, run[k]) for k in keys]]))
-        return count()
+        rows = df.withColumns({k: F.lit(v) for k, v in run.items()})
+        return self._write(name, rows, {k: {v} for k, v in run.items()})
 
     def write_full(self, name: str, df: DataFrame) -> int:
         """Replace a table (K2)."""
-        version = self._claim(name)
-        rows, count = self._counted(name, df)
-        rows.write.mode("overwrite").parquet(f"{self.path(name)}/version={version}")
-        self._publish(name, version)
-        return count()
+        return self._write(name, df, {}, spread=_partition(self.tables[name]))
 
-    def write_versions(self, name: str, df: DataFrame) -> int:
-        """Store the current rows and the rows closed by this step of a dimension.
+    def write_versions(self, name: str, df: DataFrame, buckets: Collection[int] | None = None) -> int:
+        """Store the current rows of these buckets, or of all, and the rows closed by this step of a dimension.
 
-        Rows closed by earlier steps stay in their own directories and are not rewritten.
+        Rows closed by earlier steps, and other buckets, stay in their own folders and are not rewritten.
         """
-        version = self._claim(name)
-        rows, count = self._counted(name, df)
-        rows.write.mode("overwrite").partitionBy("is_current").parquet(
-            f"{self.path(name)}/version={version}"
-        )
-        self._publish(name, version)
-        return count()
+        return self._write(name, df, {"is_current": {True}} | _only(buckets), spread=[BUCKET])
 
-    def write_dates(self, name: str, df: DataFrame, dates: DataFrame) -> int:
+    def write_buckets(self, name: str, df: DataFrame, buckets: Collection[int]) -> int:
+        """Replace the rows of these buckets of a table without versions (K6)."""
+        return self._write(name, df, _only(buckets), spread=[BUCKET])
+
+    def write_more(self, name: str, df: DataFrame) -> int:
+        """Add rows to a bucketed table; its next change of a bucket puts the bucket's files together."""
+        return self._write(name, df, None, spread=[BUCKET])
+
+    def write_dates(self, name: str, df: DataFrame, dates: DataFrame | Collection[object]) -> int:
         """Replace the rows of all ``dates`` (K5), also of those for which ``df`` has none.
 
         A date may hold much of the data; rebalancing splits it over several files and tasks.
         """
         (key,) = self.tables[name].partition
-        rows, _ = self._counted(name, df)
-        seen = Observation()
-        rows = rows.observe(
-            seen, F.count(F.lit(1)).alias("n"), F.collect_set(key).alias("written")
-        )
-        new = self._aside()
-        rows.hint("rebalance", key).write.partitionBy(key).parquet(new)
-        # Both lists hold days, not rows. A date without new rows has no directory to move: it is cleared.
-        written = {day.isoformat() for day in seen.get["written"]}
-        wanted = {r[0].isoformat() for r in dates.select(key).distinct().collect()}
-        for day in sorted(wanted | written):
-            self._swap(f"{new}/{key}={day}" if day in written else None, f"{self.path(name)}/{key}={day}")
-        self._files(new).delete(self._hadoop(new), True)
-        return int(seen.get["n"])
-
-    def stage(self, df: DataFrame, path: str) -> DataFrame:
-        """Write an intermediate result once and read it back with its true size and no lineage."""
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    # Files
+        # A list of days, not of rows.
+        wanted = {r[0] for r in dates.select(key).distinct().collect()} if isinstance(dates, DataFrame) else set(dates)
+        return self._write(name, df, {key: wanted}, spread=[key], replace_written=True)
 
-    def _hadoop(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _files(self, path: str):
-        return self._hadoop(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _folder(self, key: str, value: str) -> str:
-        """Name of a partition's directory, with the escapes that Spark's writer uses."""
-        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-        return f"{key}={escape(value)}"
-
-    def _aside(self) -> str:
-        """A new place below the root, which no table reads."""
-        return f"{self.root}/_aside/{uuid.uuid4().hex}"
+    def _write(
+        self,
+        name: str,
+        df: DataFrame,
+        gone: Mapping[str, Collection[object]] | None,
+        spread: Sequence[str] = (),
+        replace_written: bool = False,
+    ) -> int:
+        """Write a folder and show it in place of the folders whose partition values are all in ``gone``.
+
+        None hides nothing. ``spread`` names partition columns by which rows are dealt, so that a folder has
+        few files; ``replace_written`` also hides other folders with the values of the first key that were written.
+        """
+        table = self.tables[name]
+        keys = _partition(table)
+        rows, count = self._counted(name, df, BUCKET if BUCKET in keys else None, spread)
+        write = f"{WRITE}=w{uuid.uuid4().hex}"
+        rows.write.partitionBy(*keys).parquet(f"{self.path(name)}/{write}")
+        new = self._leaves(name, write, len(keys))
+        hidden = {k: {_text(v) for v in values} for k, values in (gone or {}).items()}
+        if replace_written:
+            hidden[keys[0]] |= {values_of(f)[keys[0]] for f in new}
+
+        def stays(folder: str) -> bool:
+            values = values_of(folder)
+            return gone is None or not all(values[k] in some for k, some in hidden.items())
+
+        self.manifest(name).exchange(lambda folders: [*filter(stays, folders), *new])
+        return count()
 
-    def _swap(self, new: str | None, place: str) -> None:
-        """Put a written directory where another one may be; None clears the place.
+    def _leaves(self, name: str, folder: str, depth: int) -> list[str]:
+        """Partition folders below one that was just written; itself if the table has no partitions."""
+        if not depth:
+            return [folder]
+        inner = [n for n in self.files.names(f"{self.path(name)}/{folder}") if "=" in n and n[0] not in "._"]
+        return [leaf for n in inner for leaf in self._leaves(name, f"{folder}/{n}", depth - 1)]
 
-        Only names change, after all files are written; the old directory goes last.
-        """
-        files, old = self._files(self.root), self._aside()
-        files.mkdirs(self._hadoop(old).getParent())
-        files.mkdirs(self._hadoop(place).getParent())
-        had = files.exists(self._hadoop(place)) and files.rename(self._hadoop(place), self._hadoop(old))
-        if new is not None and not files.rename(self._hadoop(new), self._hadoop(place)):
-            if had:
-                files.rename(self._hadoop(old), self._hadoop(place))
-            raise OSError(f"could not move {new} to {place}")
-        if had:
-            files.delete(self._hadoop(old), True)
-        # Spark remembers the files of directories it has read.
-        self.spark.catalog.refreshByPath(place)
-
-    def _claim(self, name: str) -> int:
-        """The next version number; of two writers only one can make the marker of a number."""
-        files, version = self._files(self.root), (self.version(name) or 0) + 1
-        files.mkdirs(self._hadoop(f"{self.path(name)}/_claims"))
-        while not files.createNewFile(self._hadoop(f"{self.path(name)}/_claims/{version}")):
-            version += 1
-        return version
-
-    def _publish(self, name: str, version: int) -> None:
-        """Make a version the visible one, and drop what no reader needs any more."""
-        new = self._aside()
-        self.spark.range(0, 1, 1, 1).select(F.lit(version).cast("bigint").alias("version")).write.parquet(new)
-        self._swap(new, self._pointer(name))
-        files, gone = self._files(self.root), version - KEEP_VERSIONS
-        if gone < 1:
-            return
-        # Rows of a dimension that a version closed stay; its current rows are in later versions.
-        part = "/is_current=true" if self.tables[name].layout == "versions" else ""
-        files.delete(self._hadoop(f"{self.path(name)}/version={gone}{part}"), True)
-        files.delete(self._hadoop(f"{self.path(name)}/_claims/{gone}"), True)
-
-    def _counted(self, name: str, df: DataFrame, drop: Sequence[str] = ()):
+    def _counted(self, name: str, df: DataFrame, bucket: str | None = None, spread: Sequence[str] = ()):
         """The columns of the table in order, and a function for the count once they are written."""
-        schema = self.tables[name].schema
-        columns = [F.col(f.name).cast(f.dataType) for f in schema if f.name not in drop]
+        columns = [F.col(f.name).cast(f.dataType) for f in self.tables[name].schema]
         seen = Observation()
-        rows = df.select(*columns).observe(seen, F.count(F.lit(1)).alias("n"))
+        rows = df.select(*columns, *([self.bucket(name).alias(bucket)] if bucket else []))
+        if spread:
+            rows = rows.hint("rebalance", *spread)
+        # Last, because adaptive execution drops what is below a shuffle of no rows.
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("n"))
         return rows, lambda: int(seen.get["n"])
 
+    def clean(self, older_than: float = UNFINISHED) -> list[str]:
+        """Remove what writers that died have left, if it is older than so many seconds; returns the folders."""
+        return [
+            f"{name}/{folder}"
+            for name, table in self.tables.items()
+            if table.layout != "append"
+            for folder in self.manifest(name).clean(older_than)
+        ]
+
+    def stage(self, df: DataFrame, path: str) -> DataFrame:
+        """Write an intermediate result once and read it back with its true size and no lineage."""
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     # Catalog
 
     def register(self, schemas: Sequence[str] = ("gold", "silver", "metadata", "bronze")) -> None:
@@ -275,28 +259,46 @@ class Warehouse:
 
     def _select(self, name: str) -> str:
         """The visible rows of a table as SQL text, which a view can keep."""
-        table = self.tables[name]
+        table, path = self.tables[name], self.path(name)
         types = {f.name: f.dataType.simpleString() for f in table.schema}
+        columns = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in types.items())
         nothing = ", ".join(f"CAST(NULL AS {t}) AS {c}" for c, t in types.items())
-        path, where = self.path(name), ""
-        if table.layout in ("full", "versions"):
-            version = self.version(name)
-            if version is None:
+        where = ""
+        if table.layout == "append":
+            if not any(n.startswith("part-") for n in self.files.names(path)):
                 return f"SELECT {nothing} WHERE false"
-            if table.layout == "full":
-                path += f"/version={version}"
-            else:
-                where = (
-                    f" WHERE version = {version} OR (version < {version} AND is_current = 'false')"
-                )
-        try:
-            self.spark.read.parquet(path)
-        except AnalysisException:
-            # A table without files yet has no schema a view could read.
-            return f"SELECT {nothing} WHERE false"
-        columns = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in types.items())
+        else:
+            # All of these are partition columns, so the condition picks folders.
+            by_write: dict[str, list[str]] = {}
+            for folder in self.manifest(name).folders():
+                write, *rest = folder.split("/")
+                by_write.setdefault(write.split("=")[1], []).append(_condition(values_of("/".join(rest)) if rest else {}))
+            if not by_write:
+                return f"SELECT {nothing} WHERE false"
+            shown = [f"({WRITE} = '{w}' AND ({' OR '.join(c)}))" for w, c in by_write.items()]
+            where = f" WHERE {' OR '.join(shown)}"
         return f"SELECT {columns} FROM parquet.`{path}`{where}"
 
 
-def _with_version(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("version", T.LongType())])
+def _partition(table: Table) -> tuple[str, ...]:
+    """Columns by which a table's folders are named."""
+    if table.layout == "versions":
+        return ("is_current", BUCKET)
+    return (BUCKET,) if table.layout == "keyed" else table.partition
+
+
+def _only(buckets: Collection[int] | None) -> dict[str, Collection[object]]:
+    return {} if buckets is None else {BUCKET: buckets}
+
+
+def _text(value: object) -> str:
+    """A partition value as it stands in a folder's name."""
+    if isinstance(value, bool):
+        return str(value).lower()
+    return value.isoformat() if isinstance(value, dt.date) else str(value)
+
+
+def _condition(values: Mapping[str, str]) -> str:
+    quoted = {k: v.replace("\\", "\\\\").replace("'", "\\'") for k, v in values.items()}
+    tests = [f"CAST({k} AS STRING) = '{v}'" for k, v in quoted.items()]
+    return f"({' AND '.join(tests)})" if tests else "true"
