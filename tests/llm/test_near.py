@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tierline.llm.common import components
 from tierline.llm.embeddings import near_vectors
 from tierline.llm.minhash import BLOCK_SETS, drop_near_duplicates, near_duplicates
-from tierline.llm.toxicity import Index, drop_toxic, held_out, op2_toxicity_knn, score_toxicity
+from tierline.llm.toxicity import Index, drop_toxic, held_out, op2_toxicity_knn, pick_examples, score_toxicity
 
 
 def smallest(nodes, links):
@@ -209,3 +209,29 @@ def test_every_term_of_the_examples_counts(spark, words):
         assert all(set(text.split()) & set(rows[e["doc_id"]][1].split()) for e in got[i])
     assert {e["doc_id"] for e in got[500]} <= {i for i, t in rows if set(t.split()) & set(words[30:36])} and got[500]
     assert got[501] == []
+
+
+def test_dropping_near_duplicates_keeps_every_text(spark):
+    """Rows that share a doc_id or have none go by their own text, and one row of each group stays."""
+    t, u, v = "a b c d e f g h", "k l m n o p q r", "s t u v w x y z"
+    rows = [(1, t), (2, t), (2, u), (7, u), (None, v), (None, v), (None, None), (3, None), (3, ""), (1, t), (None, t)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).withColumn("gone", F.lit("x"))
+    kept = drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, t), (2, u), (None, v), (None, None), (3, None), (3, "")], key=repr)
+    assert drop_near_duplicates(df.where("false")).collect() == []
+
+
+def test_examples_are_bounded(spark, words):
+    """Rows and bytes of the examples have bounds, also if all texts are long; the rest of the terms follow them."""
+    rows = [(i, " ".join(words[(i * 7 + j) % 400] for j in range(400))) for i in range(60)]
+    docs = spark.createDataFrame([*rows, (90, None)], "id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in [*range(60), 90]], "doc_id long, toxic int")
+    size = len(rows[0][1])
+    few = pick_examples(docs, marks, F.lit(True), 50, 10 * size)
+    assert few.count() in (10, 11) and sum(len(r["text"] or "") for r in few.collect()) <= 10 * size
+    assert pick_examples(docs, marks, F.lit(True), 7).count() == 7
+    again = pick_examples(docs.repartition(5), marks.repartition(3), F.lit(True), 50, 10 * size)
+    assert {r["id"] for r in again.collect()} == {r["id"] for r in few.collect()}
+    assert pick_examples(docs, marks, F.lit(True), 50, size - 1).count() <= 1

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import Columns, components, map_columns, small_batches, staged, table
+from tierline.llm.common import Columns, components, fresh, map_columns, small_batches, staged, table
 from tierline.llm.shingles import WordHashes, mixed, shingle_set
 
 GROUPS = 16
@@ -280,12 +280,25 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text and any other columns) whose doc_id stands for its component."""
-    found = near_duplicates(docs.select(F.col("doc_id").alias("id"), "text"), words, percent)
-    gone = staged(found.where("NOT kept").select(F.col("id").alias("gone_id")).distinct(), "gone")
+    """One row of ``docs`` (doc_id, text and any other columns) for each component.
+
+    It is the one with the smallest doc_id, nulls last. Rows are told apart by a tag and not by their doc_id, which
+    other rows may share or lack.
+    """
+    tag = fresh(docs, "tag")
+    tagged = staged(docs.withColumn(tag, F.monotonically_increasing_id()), "tagged")
+    found = near_duplicates(tagged.select(F.col(tag).alias("id"), "text"), words, percent)
+    found = staged(found.select("id", "component_id"), "found")
+    groups = found.groupBy("component_id").count().where("count > 1").select("component_id")
+    members = staged(found.join(groups, "component_id"), "members")
+    ids = tagged.select(F.col(tag).alias("id"), "doc_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("id")))
+    first = members.join(ids, "id").groupBy("component_id").agg(first["id"].alias("first"))
+    gone = members.join(first, "component_id").where("id <> first").select(F.col("id").alias("gone"))
+    gone = staged(gone, "gone")
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    return tagged.join(gone, tagged[tag] == gone["gone"], "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 CONTRACT_WORDS = 4

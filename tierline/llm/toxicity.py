@@ -1,8 +1,9 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and their beginnings and endings, so that inflected and compound words share terms. The
-vector space has every term of the examples; inverse document frequencies count all documents. Terms that tell
-toxic examples from others weigh more: by what their counts say beyond chance, given the number of terms.
+Terms are words and their beginnings, so that inflected and compound words share terms. The vector space has
+every term of the examples, and inverse document frequencies count the examples: both are part of what is fitted on
+them. Terms that tell toxic examples from others weigh more: by what their counts say beyond chance, given the
+number of terms. Examples are bounded in rows and in bytes, which bounds what the driver holds and what it sends.
 
 Rare terms are postings, which are read in full. The commonest terms are dense columns of blocks of examples, with
 the largest weight of each column in each block. A query visits the blocks that bound best, and then only those
@@ -27,15 +28,18 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tierline.llm.common import BATCH_ROWS, Columns, map_columns, small_batches, staged, table
 
-# Bound: examples that the classifier is fitted on. They go to every task, with all their terms.
+# Bounds: examples that the classifier is fitted on, and the bytes of their texts. They go to every task, with all
+# their terms.
 EXAMPLES = 4096
+EXAMPLE_BYTES = 32 << 20
 # The commonest terms of the examples, which are dense columns.
 COMMON = 1024
-# Beginnings and endings of words that are terms.
-AFFIXES = range(3, 8)
+# Lengths of the beginnings of words that are terms.
+BEGINNINGS = (3, 5)
 NEIGHBOURS = 15
 BLOCK = 64
 # Blocks that give a query its first nearest examples.
@@ -49,12 +53,8 @@ _WORD = re.compile(r"\w+")
 
 
 def terms_of(word: str) -> list[str]:
-    """The word, its beginnings (^...) and its endings (...$)."""
-    found = [word]
-    for k in AFFIXES:
-        if len(word) > k:
-            found += (f"^{word[:k]}", f"{word[-k:]}$")
-    return found
+    """The word and its beginnings (^...)."""
+    return [word, *(f"^{word[:k]}" for k in BEGINNINGS if len(word) > k)]
 
 
 def words_of(text: str | None) -> list[str]:
@@ -96,18 +96,26 @@ class TermsOfWords(dict):
         return np.unique(places, return_counts=True)
 
 
-def pick_examples(docs: DataFrame, labels: DataFrame, train: Column, most: int = EXAMPLES) -> DataFrame:
+def pick_examples(
+    docs: DataFrame, labels: DataFrame, train: Column, most: int = EXAMPLES, most_bytes: int = EXAMPLE_BYTES
+) -> DataFrame:
     """Up to ``most`` labelled rows (id, text, toxic) on which ``train`` (over id) holds, in order of a hash.
 
-    A label of 1 is toxic and 0 is not; other labels are ignored. Of labels that contradict each other
-    the toxic one counts. Ids without a document have no text and are left out.
+    Rows come while their texts have ``most_bytes`` or less together. A label of 1 is toxic and 0 is not; other
+    labels are ignored. Of labels that contradict each other the toxic one counts. Ids without a document have
+    no text and are left out.
     """
     known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id"))
     known = known.agg(F.max("toxic").alias("toxic")).where(train)
     # The bound is on rows, so the smaller side of the join is broadcast.
     chosen = staged(known.orderBy(F.xxhash64("id"), "id").limit(most), "chosen")
     rows = docs.join(F.broadcast(chosen), "id").select("id", "text", "toxic")
-    return staged(rows.dropDuplicates(["id"]), "examples")
+    rows = staged(rows.dropDuplicates(["id"]), "examples")
+    # The window sees ids and lengths of at most ``most`` rows.
+    order = Window.orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    kept = rows.select("id", F.sum(size).over(order).alias("so_far")).where(F.col("so_far") <= most_bytes)
+    return rows.join(F.broadcast(kept.select("id")), "id", "left_semi")
 
 
 def term_counts(examples: DataFrame) -> DataFrame:
@@ -151,29 +159,6 @@ def telling(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) ->
     return 1 + np.where(q > rate, np.maximum(n * bound - math.log(max(2, len(n))), 0), 0)
 
 
-def count_documents(docs: DataFrame, terms: Broadcast) -> tuple[int, np.ndarray]:
-    """Rows of ``docs`` (text), and in how many of them each term occurs; tasks send sums."""
-
-    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
-        cache = TermsOfWords(terms.value)
-        seen, n = np.zeros(len(terms.value), np.int64), 0
-        for batch in batches:
-            for text in batch["text"]:
-                each = [cache[w] for w in set(words_of(text))]
-                if each:
-                    seen[np.unique(np.concatenate(each))] += 1
-            n += len(batch["text"])
-        at = np.flatnonzero(seen)
-        yield {"at": [-1, *at.tolist()], "n": [n, *seen[at].tolist()]}
-
-    parts = map_columns(docs.select("text"), run, "at int, n bigint")
-    sums = parts.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    at, n = sums["at"].to_numpy(), sums["n"].to_numpy()
-    seen = np.zeros(len(terms.value), np.int64)
-    seen[at[at >= 0]] = n[at >= 0]
-    return int(n[at < 0].sum()), seen
-
-
 def sparse_examples(examples: DataFrame, terms: Broadcast) -> tuple[list, np.ndarray, list[tuple]]:
     """Ids, labels, and places and counts of the terms of ``examples`` (id, text, toxic), by id."""
     kind = examples.schema["id"].dataType.simpleString()
@@ -392,10 +377,9 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column) -> tuple[Index, Broad
     counts = term_counts(examples.select("text", "toxic")).toArrow().sort_by("term")
     terms = docs.sparkSession.sparkContext.broadcast(Terms(counts["term"].to_pylist()))
     ids, toxic, vectors = sparse_examples(examples, terms)
-    n, seen = count_documents(docs, terms)
-    idf = np.log((1 + n) / (1 + seen)) + 1
-    n_toxic = int(toxic.sum())
-    more = telling(counts["toxic"].to_numpy(), counts["clean"].to_numpy(), n_toxic, len(toxic) - n_toxic)
+    n_toxic, of_toxic, of_clean = int(toxic.sum()), counts["toxic"].to_numpy(), counts["clean"].to_numpy()
+    idf = np.log((1 + len(toxic)) / (1 + of_toxic + of_clean)) + 1
+    more = telling(of_toxic, of_clean, n_toxic, len(toxic) - n_toxic)
     index = Index.build(idf * more, ids, toxic, vectors)
     index.calibrate(vectors)
     return index, terms
@@ -407,7 +391,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column) -> DataFra
     Examples come from ``labels`` (doc_id, toxic) where ``train`` (over id) holds. Only texts decide on scores.
     Null and empty texts, and texts without a term of any example, have no near example and get the calibrated
     base rate, as do all texts if there are no examples. Equal texts get equal scores; equal rows are each
-    returned. Texts are read twice: for document frequencies, and to be scored.
+    returned. Besides the examples, texts are read once.
     """
     index, terms = fit(docs, labels, train)
     shared = docs.sparkSession.sparkContext.broadcast(index)
