@@ -152,6 +152,20 @@ def decline_by_item(spark, sf_dir):
     return analytics.decline(series, ["video_id"])
 
 
+@query(
+    "decline_history",
+    f"""
+SELECT video_id, count(*) AS days,
+       CASE WHEN count(*) >= 3 THEN string_agg(CAST(val AS STRING), ',' ORDER BY trending_date) END AS total_views_history
+FROM ({_BY_ITEM}) s GROUP BY video_id""",
+)
+def decline_history(spark, sf_dir):
+    """The values that each item's rating rests on, by date."""
+    series = analytics.daily_series(feed(spark, sf_dir, "event_facts"), "views", by="video_id")
+    rated = analytics.decline(series, ["video_id"], history=True)
+    return rated.select("video_id", "days", F.array_join(F.col("total_views_history").cast("array<string>"), ",").alias("total_views_history"))
+
+
 # Alerts
 
 _SLOW = f"""

@@ -199,6 +199,27 @@ def incremental_load(spark, sf_dir):
     return wh.read("bronze.orders").drop("load_timestamp")
 
 
+@query(
+    "incremental_inclusive",
+    """
+SELECT CAST(o_orderkey AS STRING) AS o_orderkey, CAST(o_totalprice AS STRING) AS o_totalprice,
+       CAST(o_orderdate AS STRING) AS o_orderdate, 'orders_db' AS source_system
+FROM orders""",
+)
+def incremental_inclusive(spark, sf_dir):
+    """A first load sees half of its last day; the second lands the other half, the third finds nothing new."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    landed = with_lineage(all_strings(orders), "orders_db", RUN_TS)
+    wh = Warehouse(spark, scratch_dir(spark, "inclusive"), {"bronze.orders": Table("append", landed.schema)})
+    wh.create()
+    day = F.lit(dt.datetime(1998, 6, 1)).cast("timestamp_ntz")
+    half = (F.col("o_orderdate") == day) & (F.col("o_orderkey") % 2 == 0)
+    for source in (orders.where((F.col("o_orderdate") < day) | half), orders, orders):
+        new = read_incremental(source, wh.read("bronze.orders"), "o_orderdate", keys=["o_orderkey"])
+        wh.write_append("bronze.orders", with_lineage(all_strings(new), "orders_db", RUN_TS))
+    return wh.read("bronze.orders").drop("load_timestamp")
+
+
 @query(
     "replace_day_partition",
     """

@@ -7,8 +7,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from registry.base import feed, query
-from registry.reports import _kpi
+from registry.reports import _kpi, as_double
 from registry.silver import _CLASSIFIED
+from tierline.plans import mart_states
 from tierline.plans.ledger import RUNS
 from tierline.plans.pipeline import Pipeline
 from tierline.session import scratch_dir
@@ -60,3 +61,75 @@ def run_counts(spark, sf_dir):
     run.clean()
     run.ledger.finish("SUCCESS", **run.counts)
     return wh.read(RUNS).select("run_id", "status", "records_inserted", "records_rejected")
+
+
+# The event facts as facts of a warehouse, in two loads: the second brings the last days again, with more views.
+_LATER = "(SELECT max(trending_date) - 9 FROM {event_facts} m)"
+_RELOADED = f"""(
+SELECT trending_date, video_id, dim_category_id, CASE WHEN trending_date >= {_LATER} THEN views + 1 ELSE views END AS views,
+       likes FROM {{event_facts}} f)"""
+
+
+def _two_loads(spark, sf_dir):
+    """A warehouse after two loads of facts, with the states of the dates each brought."""
+    facts = feed(spark, sf_dir, "event_facts").select(
+        F.col("video_id").cast("string"), F.col("dim_category_id").alias("dim_channel_key"), "trending_date", "views", "likes",
+        F.length("dim_category_id").alias("dim_category_id"), F.lit(None).cast("string").alias("dim_video_key"),
+        F.lit(0).alias("dislikes"), F.lit(0).alias("comment_count"), F.lit(RUN_TS).cast("timestamp_ntz").alias("load_timestamp"),
+    )
+    wh = Warehouse(spark, scratch_dir(spark, "loads"))
+    wh.write_dates(mart_states.FACT, facts, facts.select("trending_date"))
+    mart_states.refresh(wh, [])
+    last = facts.agg(F.max("trending_date")).first()[0]
+    again = facts.where(F.col("trending_date") >= F.lit(last - dt.timedelta(days=9))).withColumn("views", F.col("views") + 1)
+    wh.write_dates(mart_states.FACT, again, again.select("trending_date"))
+    mart_states.refresh(wh, [r[0].isoformat() for r in again.select("trending_date").distinct().collect()])
+    return wh
+
+
+@query(
+    "mart_states_channels",
+    f"""
+SELECT concat('Channel ', dim_category_id) AS channel_title, count(DISTINCT video_id) AS total_trending_videos,
+       CAST(sum(views) AS BIGINT) AS total_views, CAST(sum(likes) AS BIGINT) AS total_likes,
+       round(avg(likes), 2) AS avg_likes_per_video
+FROM {_RELOADED} r GROUP BY dim_category_id""",
+)
+def mart_states_channels(spark, sf_dir):
+    """The channel mart from states of dates, of which the last ones were computed again (M1)."""
+    wh = _two_loads(spark, sf_dir)
+    states = wh.read("gold.day_channels")
+    titles = states.select("dim_channel_key").distinct().withColumn("channel_title", F.concat(F.lit("Channel "), "dim_channel_key"))
+    return as_double(mart_states.channel_performance(states, titles), "avg_likes_per_video")
+
+
+@query(
+    "mart_states_trends",
+    f"""
+SELECT trending_date, total_views, CAST(sum(total_views) OVER (ORDER BY trending_date) AS BIGINT) AS running_total_views,
+       lag(total_views) OVER (ORDER BY trending_date) AS previous_day_views
+FROM (SELECT trending_date, CAST(sum(views) AS BIGINT) AS total_views FROM {_RELOADED} r GROUP BY trending_date) d""",
+)
+def mart_states_trends(spark, sf_dir):
+    """The trends mart from the same states (M3)."""
+    wh = _two_loads(spark, sf_dir)
+    return mart_states.daily_trends(wh.read("gold.day_totals")).drop("pct_change_day_over_day")
+
+
+@query(
+    "approximate_items",
+    """
+SELECT dim_category_id, count(DISTINCT video_id) AS exact_items, true AS within_bound
+FROM {event_facts} f GROUP BY dim_category_id""",
+)
+def approximate_items(spark, sf_dir):
+    """Distinct items per category from sketches of single dates, beside the exact number and the stated bound (A2)."""
+    facts = feed(spark, sf_dir, "event_facts")
+    sketches = mart_states.item_sketches(facts, ["trending_date", "dim_category_id"])
+    path = scratch_dir(spark, "sketches")
+    sketches.write.parquet(path)
+    guess = mart_states.approximate_items(spark.read.parquet(path), ["dim_category_id"])
+    exact = facts.groupBy("dim_category_id").agg(F.count_distinct("video_id").alias("exact_items"))
+    error = F.abs(F.col("approx_items") - F.col("exact_items"))
+    bound = F.lit(mart_states.sketch_error()) * F.col("exact_items")
+    return guess.join(exact, "dim_category_id").select("dim_category_id", "exact_items", (error <= bound).alias("within_bound"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import as_dicts
 from tierline import model, session
-from tierline.plans import ledger
+from tierline.plans import ledger, mart_states, marts
 from tierline.plans.adhoc import query
 from tierline.plans.pipeline import Feeds, Pipeline, run_pipeline
 from tierline.sinks import Warehouse, manifest
@@ -166,7 +166,7 @@ def test_two_days(spark, tmp_path, feeds):
     steps = [r.step_name for r in wh.read(ledger.AUDIT).where("run_id = 'day2' AND status = 'COMPLETED'").orderBy("log_id").collect()]
     assert steps == ["ingest_csv", "ingest_json", "ingest_xml", "ingest_db", "validate_clean_videos", "validate_clean_categories",
                      "validate_clean_channels", "scd1_categories", "scd2_videos", "scd2_channels", "load_fact_table",
-                     "channel_performance_mart", "trending_kpi_summary_mart", "trending_trends_mart"]
+                     "mart_states", "channel_performance_mart", "trending_kpi_summary_mart", "trending_trends_mart"]
 
     wh.register()
     listed = query(spark, "SELECT video_id, version_number FROM dim_video WHERE is_current ORDER BY video_id").collect()
@@ -418,3 +418,44 @@ def test_run_leaves_no_scratch(spark, tmp_path, feeds, monkeypatch):
     run_pipeline(spark, root, feeds(1, ITEMS1), "a", DAY1)
     (space,) = made
     assert not os.path.exists(space) and os.path.exists(os.path.dirname(space))
+
+
+def marts_of(spark, wh):
+    """The marts computed from all facts, and the stored ones."""
+    fact = wh.read(FACT)
+    whole = {
+        "gold.channel_performance_mart": marts.channel_performance(fact, wh.read("gold.dim_channel")),
+        "gold.trending_kpi_summary_mart": marts.daily_kpi(fact, wh.read("gold.dim_category")),
+        "gold.trending_trends_mart": marts.daily_trends(fact),
+    }
+    for name, frame in whole.items():
+        stored = wh.read(name).drop("load_timestamp")
+        yield sorted(map(tuple, frame.select(stored.columns).collect())), sorted(map(tuple, stored.collect()))
+
+
+def test_marts_from_states_equal_marts_from_all_facts(spark, tmp_path, feeds, monkeypatch):
+    """Only dates that a run reloads get new states; items keep their numbers; facts without states are found."""
+    root = str(tmp_path / "wh")
+    run_pipeline(spark, root, feeds(1, ITEMS1), "a", DAY1)
+    wh = Warehouse(spark, root)
+    first = {f for s in mart_states.STATES for f in wh.manifest(s).folders()}
+    numbers = {r.video_id: r.item_number for r in wh.read(mart_states.NUMBERS).collect()}
+    second = [item("v1", "26.19.08", views="250"), item("v9", "26.20.08", views="7", channel_title="Beta")]
+    run_pipeline(spark, root, feeds(2, second), "b", DAY2)
+    for got, want in marts_of(spark, wh):
+        assert got == want and got
+    kept = first & {f for s in mart_states.STATES for f in wh.manifest(s).folders()}
+    assert {values_of(f)["trending_date"] for f in kept} == {"2026-08-18"} and len(kept) == 3
+    after = {r.video_id: r.item_number for r in wh.read(mart_states.NUMBERS).collect()}
+    assert numbers.items() <= after.items() and len(set(after.values())) == len(after) == len(numbers) + 1
+    assert all(n % model.BUCKETS == b for n, b in wh.read(mart_states.NUMBERS).select("item_number", wh.bucket(mart_states.NUMBERS)).collect())
+    # A date cleared by a reload, and one that was written without its state, are both taken up.
+    assert mart_states.refresh(wh, []) == []
+    wh.write_dates(FACT, wh.read(FACT).where("trending_date = '2026-08-20'").withColumn("trending_date", F.lit(dt.date(2026, 8, 21))),
+                   [dt.date(2026, 8, 18), dt.date(2026, 8, 21)])
+    assert mart_states.refresh(wh, []) == ["2026-08-18", "2026-08-21"]
+    run = Pipeline(spark, wh, "c", DAY2)
+    for step in (run.channel_mart, run.kpi_mart, run.trends_mart):
+        step()
+    for got, want in marts_of(spark, wh):
+        assert got == want and got

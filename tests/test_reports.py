@@ -152,6 +152,9 @@ def test_adhoc_rows(spark):
     assert adhoc.truncated(spark, "SELECT * FROM many", 500) and not adhoc.truncated(spark, "SELECT * FROM many", 2000)
     text = "WITH x AS (SELECT id FROM many), y (k) AS (SELECT id FROM x) SELECT k FROM y WHERE k IN (SELECT id FROM many)"
     assert adhoc.query(spark, text).count() == 2000
+    text = "SELECT transform(array(id), x -> x + 1)[0] AS v FROM many a JOIN many b USING (id)"
+    assert adhoc.query(spark, text).count() == 2000
+    assert spark.conf.get(adhoc.RUN_ON_FILES) == "true"
     with pytest.raises(ValueError, match="read-only"):
         adhoc.query(spark, "TRUNCATE TABLE many")
 
@@ -162,6 +165,9 @@ def test_adhoc_rows(spark):
         "SELECT reflect('java.lang.System', 'getProperty', 'user.home')", "SELECT java_method('a', 'b')",
         "SELECT try_reflect('a', 'b') FROM many", "SELECT * FROM text.`/etc/hostname`", "SELECT * FROM parquet.`/tmp/x` t",
         "SELECT * FROM nothing_known", "WITH x AS (SELECT * FROM text.`/etc/hostname`) SELECT * FROM x",
+        "SELECT TRANSFORM(id) USING 'cat' AS (a) FROM many", "SELECT transform (id) using\n\"cat\" FROM many",
+        "WITH x AS (SELECT TRANSFORM(id) USING r'cat' AS (a) FROM many) SELECT * FROM x",
+        "SELECT TRANSFORM(id) USING /* ( */ 'cat' AS (a) FROM many", "SELECT * FROM identifier('text.`/etc/hostname`')",
         "SELECT (SELECT max(value) FROM text.`/etc/hostname`) AS v", "SELECT 1 WHERE EXISTS (SELECT * FROM csv.`/etc/hosts`)",
     ],
 )

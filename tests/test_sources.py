@@ -145,6 +145,12 @@ def test_incremental_reads_above_the_watermark(frame, tmp_path, spark):
     assert [r.id for r in read_incremental(source, landed, "ts").collect()] == [3]
     assert [r.id for r in read_incremental(source, landed, "ts", inclusive=True).collect()] == [2, 3]
     assert read_incremental(source, landed.limit(0), "ts").count() == 3
+    # Rows at the watermark that are not landed yet, under whatever key, come along once.
+    late = source.union(frame("id int, ts timestamp_ntz", [(4, t(2026, 8, 19)), (None, t(2026, 8, 19)), (2, t(2026, 8, 20))]))
+    new = read_incremental(late, landed, "ts", keys=["id"])
+    assert sorted((r.id for r in new.collect()), key=str) == [2, 3, 4, None]
+    again = landed.union(all_strings(new))
+    assert [(r.id, r.ts) for r in read_incremental(late, again, "ts", keys=["id"]).collect()] == []
     path = str(tmp_path / "source")
     source.write.parquet(path)
     plan = read_incremental(spark.read.parquet(path), landed, "ts")._jdf.queryExecution().toString()

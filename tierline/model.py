@@ -37,6 +37,7 @@ _TYPES = {
     "date": T.DateType(),
     "timestamp_ntz": T.TimestampNTZType(),
     "decimal": T.DecimalType(20, 2),
+    "binary": T.BinaryType(),
 }
 
 
@@ -160,6 +161,17 @@ TABLES = {
         " load_timestamp timestamp_ntz, trending_date date",
         "trending_date",
     ),
+    # What the marts need of each date, so that a run computes the dates it reloads.
+    "gold.item_numbers": _table("keyed", "video_id string, item_number bigint", key="video_id"),
+    "gold.day_totals": _table(
+        "dated", "total_trending_videos bigint, total_views bigint, total_likes bigint, trending_date date", "trending_date"
+    ),
+    "gold.day_categories": _table("dated", "dim_category_id int, views bigint, trending_date date", "trending_date"),
+    "gold.day_channels": _table(
+        "dated",
+        "dim_channel_key string, item_block bigint, items binary, views bigint, likes bigint, n bigint, trending_date date",
+        "trending_date",
+    ),
     "gold.channel_performance_mart": _table(
         "full",
         "channel_title string, total_trending_videos bigint, total_views bigint,"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Accepted first words, and words no accepted text may contain.
@@ -24,42 +25,33 @@ FORBIDDEN_WORDS = (
 CALLS = ("REFLECT", "TRY_REFLECT", "JAVA_METHOD")
 
 
+# A script (TRANSFORM, MAP or REDUCE) has USING before a text; that of a join has columns in parentheses.
+_SCRIPT = re.compile(r"\bUSING\b(?!\s*\()", re.IGNORECASE)
+RUN_ON_FILES = "spark.sql.runSQLOnFiles"
+
+
 def is_read_only(sql: str) -> bool:
-    """Whether the text starts like a query and has none of the forbidden words, also in literals."""
+    """Whether the text starts like a query, has none of the forbidden words, also in literals, and no script."""
     words = re.findall(r"\w+", sql.upper())
     starts = sql.strip().upper().startswith(FIRST_WORDS)
-    return starts and not set(words) & {*FORBIDDEN_WORDS, *CALLS}
-
-
-def _relations(plan) -> list[list[str]]:
-    """Name parts of all relations of a parsed text, also in subqueries and in WITH."""
-    found, ahead = [], [plan]
-    while ahead:
-        node = ahead.pop()
-        if node.nodeName() == "UnresolvedRelation":
-            found.append(_sequence(node.multipartIdentifier()))
-        ahead += _sequence(node.children()) + _sequence(node.innerChildren()) + _sequence(node.subqueries())
-    return found
-
-
-def _sequence(items) -> list:
-    return [items.apply(i) for i in range(items.size())]
+    return starts and not set(words) & {*FORBIDDEN_WORDS, *CALLS} and not _SCRIPT.search(sql)
 
 
-def unknown_relations(spark: SparkSession, sql: str) -> list[str]:
-    """Relations of the text that are no registered table or view and no name of its own WITH.
+def _analyzed(spark: SparkSession, sql: str) -> DataFrame:
+    """The query, in which a path is no table: its relations are registered tables and views, or Spark refuses it.
 
-    A path such as ``parquet.`/tmp``` is a relation without an entry in the catalog.
+    Registered views keep the paths in their own texts.
     """
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
-    own = {n.lower() for n in re.findall(r"([A-Za-z_]\w*)\s*(?:\([^()]*\)\s*)?AS\s*\(", sql, re.IGNORECASE)}
-    unknown = []
-    for parts in _relations(plan):
-        name = ".".join(f"`{p.replace('`', '``')}`" for p in parts)
-        local = len(parts) == 1 and parts[0].lower() in own
-        if not local and not (len(parts) <= 3 and "/" not in name and spark.catalog.tableExists(name)):
-            unknown.append(name)
-    return unknown
+    before = spark.conf.get(RUN_ON_FILES)
+    spark.conf.set(RUN_ON_FILES, "false")
+    try:
+        return spark.sql(sql)
+    except AnalysisException as e:
+        if e.getCondition() == "TABLE_OR_VIEW_NOT_FOUND":
+            raise ValueError(f"not a registered table or view: {e.getMessage()}") from e
+        raise
+    finally:
+        spark.conf.set(RUN_ON_FILES, before)
 
 
 def query(spark: SparkSession, sql: str, max_rows: int | None = None) -> DataFrame:
@@ -70,9 +62,7 @@ def query(spark: SparkSession, sql: str, max_rows: int | None = None) -> DataFra
     text = clean(sql)
     if not is_read_only(text):
         raise ValueError("only read-only SELECT statements are allowed")
-    if unknown := unknown_relations(spark, text):
-        raise ValueError(f"not a registered table or view: {', '.join(unknown)}")
-    rows = spark.sql(text)
+    rows = _analyzed(spark, text)
     return rows if max_rows is None else rows.limit(max_rows)
 
 

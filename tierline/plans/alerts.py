@@ -12,6 +12,21 @@ SLOW_RUN_SECONDS = 300
 REJECTION_PERCENT = 10
 DAILY_CHANGE_PERCENT = 50
 
+# Texts of the alerts, which readers of alerts know and filter by.
+SLOW_RUN = f"Pipeline run duration (%ss) exceeds warning threshold ({SLOW_RUN_SECONDS}s)."
+FAILED_RUN = "Pipeline run failed for run %s."
+MANY_REJECTIONS = "High data quality rejection rate (%s%%) in run %s."
+DAILY_CHANGE = "Daily KPI deviation of %s%% detected on %s."
+ANOMALY = "ML Anomaly detected on %s - %s (z-score: %s)."
+DECLINE = "High decline likelihood detected for channel %s (Slope: %s)."
+
+
+def _text(message: str, *values: Column) -> Column:
+    """The message with its values; null if one of them is null."""
+    parts = [F.lit(p.replace("\0", "%")) for p in message.replace("%%", "\0").split("%s")]
+    texts = [v.cast("string") for v in values]
+    return F.concat(parts[0], *[c for pair in zip(texts, parts[1:], strict=True) for c in pair])
+
 
 def _alert(df: DataFrame, severity: str, rule: str, subject: Column, message: Column) -> DataFrame:
     return df.select(
@@ -29,18 +44,14 @@ def alerts_runs(runs: DataFrame) -> DataFrame:
         "WARNING",
         "run_duration",
         F.col("run_id"),
-        F.concat(
-            F.lit("Pipeline run duration ("),
-            F.col("duration_seconds").cast("string"),
-            F.lit(f"s) exceeds warning threshold ({SLOW_RUN_SECONDS}s)."),
-        ),
+        _text(SLOW_RUN, F.col("duration_seconds")),
     )
     failed = _alert(
         runs.where(F.col("status") == "FAILED"),
         "CRITICAL",
         "run_failed",
         F.col("run_id"),
-        F.concat(F.lit("Pipeline run failed for run "), F.col("run_id").cast("string"), F.lit(".")),
+        _text(FAILED_RUN, F.col("run_id")),
     )
     return slow.unionByName(failed)
 
@@ -60,13 +71,7 @@ def alerts_rejection(runs: DataFrame) -> DataFrame:
         "CRITICAL",
         "rejection_rate",
         F.col("run_id"),
-        F.concat(
-            F.lit("High data quality rejection rate ("),
-            F.round("rate", 1).cast("decimal(20,1)").cast("string"),
-            F.lit("%) in run "),
-            F.col("run_id").cast("string"),
-            F.lit("."),
-        ),
+        _text(MANY_REJECTIONS, F.round("rate", 1).cast("decimal(20,1)"), F.col("run_id")),
     )
 
 
@@ -78,13 +83,7 @@ def alerts_trends(trends: DataFrame) -> DataFrame:
         "WARNING",
         "daily_change",
         F.col("trending_date"),
-        F.concat(
-            F.lit("Daily KPI deviation of "),
-            pct.cast("string"),
-            F.lit("% detected on "),
-            F.col("trending_date").cast("string"),
-            F.lit("."),
-        ),
+        _text(DAILY_CHANGE, pct, F.col("trending_date")),
     )
 
 
@@ -95,15 +94,7 @@ def alerts_anomaly(anomalies: DataFrame) -> DataFrame:
         "WARNING",
         "anomaly",
         F.col("trending_date"),
-        F.concat(
-            F.lit("ML Anomaly detected on "),
-            F.col("trending_date").cast("string"),
-            F.lit(" - "),
-            F.col("type"),
-            F.lit(" (z-score: "),
-            F.col("z_score").cast("string"),
-            F.lit(")."),
-        ),
+        _text(ANOMALY, F.col("trending_date"), F.col("type"), F.col("z_score")),
     )
 
 
@@ -114,13 +105,7 @@ def alerts_decline(declines: DataFrame, entity: str) -> DataFrame:
         "WARNING",
         "decline",
         F.col(entity),
-        F.concat(
-            F.lit("High decline likelihood detected for channel "),
-            F.col(entity).cast("string"),
-            F.lit(" (Slope: "),
-            F.col("slope").cast("string"),
-            F.lit(")."),
-        ),
+        _text(DECLINE, F.col(entity), F.col("slope")),
     )
 
 

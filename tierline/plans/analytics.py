@@ -144,11 +144,11 @@ def anomalies(
     )
 
 
-def decline(series: DataFrame, by: Sequence[str]) -> DataFrame:
+def decline(series: DataFrame, by: Sequence[str], history: bool = False) -> DataFrame:
     """How likely each entity is losing views, from the slope of its series.
 
     Steeper than 5 % of the mean per step is High, any other fall Medium, no fall Low; fewer
-    than 3 points are ``insufficient``.
+    than 3 points are ``insufficient``. ``history`` adds ``total_views_history``, the values by date.
     """
     fitted = _fitted(series, by, DECLINE_MIN_POINTS)
     one = fitted.groupBy(*by).agg(
@@ -156,6 +156,7 @@ def decline(series: DataFrame, by: Sequence[str]) -> DataFrame:
         F.first("status").alias("status"),
         F.first("slope").alias("slope"),
         F.first("mean").alias("mean"),
+        *([F.sort_array(F.collect_list(F.struct("trending_date", "val"))).alias("_days")] if history else []),
     )
     # A falling series around zero has no finite ratio and counts as steep.
     steep = F.when(F.col("mean") == 0, F.lit(True)).otherwise(
@@ -171,4 +172,5 @@ def decline(series: DataFrame, by: Sequence[str]) -> DataFrame:
         F.col("n").alias("days"),
         F.when(enough, F.round("slope", 2)).alias("slope"),
         F.when(enough, rating).alias("decline_likelihood"),
+        *([F.when(enough, F.transform("_days", lambda d: d["val"].cast("bigint"))).alias("total_views_history")] if history else []),
     )

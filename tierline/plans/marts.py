@@ -40,6 +40,11 @@ def top_category_per_day(fact: DataFrame, dim_category: DataFrame | None = None)
     ranking see one row per day and category.
     """
     sums = fact.groupBy("trending_date", "dim_category_id").agg(F.sum("views").alias("views"))
+    return best_categories(sums, dim_category)
+
+
+def best_categories(sums: DataFrame, dim_category: DataFrame | None = None) -> DataFrame:
+    """The first category of each day, from ``views`` by ``trending_date`` and ``dim_category_id``."""
     if dim_category is None:
         titled = sums.withColumn("category_title", F.col("dim_category_id"))
     else:
@@ -79,22 +84,20 @@ def daily_trends(fact: DataFrame) -> DataFrame:
     The windows have no partition, which is sound here: they follow the daily sums and so see
     one row per calendar day.
     """
+    return trends_of_days(fact.groupBy("trending_date").agg(F.sum("views").alias("total_views")))
+
+
+def trends_of_days(days: DataFrame) -> DataFrame:
+    """Trends over one row per day (``trending_date``, ``total_views``)."""
     by_day = Window.orderBy("trending_date")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        fact.groupBy("trending_date")
-        .agg(F.sum("views").alias("total_views"))
-        .withColumns(
-            {
-                "running_total_views": F.sum("total_views").over(so_far),
-                "previous_day_views": F.lag("total_views", 1).over(by_day),
-            }
-        )
-        .withColumn(
-            "pct_change_day_over_day",
-            pct_change(F.col("total_views"), F.col("previous_day_views")),
-        )
-    )
+    change = pct_change(F.col("total_views"), F.col("previous_day_views"))
+    return days.withColumns(
+        {
+            "running_total_views": F.sum("total_views").over(so_far),
+            "previous_day_views": F.lag("total_views", 1).over(by_day),
+        }
+    ).withColumn("pct_change_day_over_day", change)
 
 
 def top_groups(mart: DataFrame, k: int, metric: str = "total_views") -> DataFrame:

@@ -21,7 +21,7 @@ from tierline.operators.members import (
 )
 from tierline.operators.scd import ABSENT, scd1, scd2, scd2_close, scd2_touched
 from tierline.operators.validate import REASON, counted, rejected_records
-from tierline.plans import marts, silver
+from tierline.plans import mart_states, marts, silver
 from tierline.plans.ledger import RunLedger
 from tierline.session import require_utc, scratch_dir, scratch_space
 from tierline.sinks.warehouse import BUCKET, Warehouse
@@ -60,6 +60,8 @@ class Feeds:
     categories_json: str | None = None
     channels_xml: str | None = None
     channels_table: DataFrame | None = None
+    # Keys of the extract: with them, rows that come late with the time of the last load are landed too.
+    channels_keys: tuple[str, ...] | None = None
     # Large files are read by many tasks. A feed with stray quotes needs False, which reads a file as one task.
     csv_split: bool = True
 
@@ -123,7 +125,7 @@ class Pipeline:
         if feeds.channels_xml:
             self.step(BRONZE, "ingest_xml", lambda: self.land_channels(feeds.channels_xml))
         if feeds.channels_table is not None:
-            self.step(BRONZE, "ingest_db", lambda: self.land_extract(feeds.channels_table))
+            self.step(BRONZE, "ingest_db", lambda: self.land_extract(feeds))
 
     def land_items(self, feeds: Feeds) -> tuple[int, str]:
         # Stored with the row: its place in the feed, which decides what a duplicate is.
@@ -151,10 +153,10 @@ class Pipeline:
         )
         return n, f"Ingested {n} rows from XML"
 
-    def land_extract(self, source: DataFrame) -> tuple[int, str]:
+    def land_extract(self, feeds: Feeds) -> tuple[int, str]:
         """Append the source rows above the watermark."""
-        target = self.wh.read("bronze.raw_channels_extra")
-        new = read_incremental(source.select(*model.EXTRACT), target, "last_updated")
+        target, source = self.wh.read("bronze.raw_channels_extra"), feeds.channels_table.select(*model.EXTRACT)
+        new = read_incremental(source, target, "last_updated", keys=feeds.channels_keys)
         rows = with_lineage(all_strings(new), EXTRACT_SOURCE, self.run_ts)
         n = self.wh.write_append("bronze.raw_channels_extra", rows)
         return n, f"Ingested {n} incremental rows"
@@ -337,6 +339,7 @@ class Pipeline:
 
     def build(self) -> None:
         self.step(GOLD, "load_fact_table", self.load_fact)
+        self.step(GOLD, "mart_states", self.refresh_states)
         self.step(GOLD, "channel_performance_mart", self.channel_mart)
         self.step(GOLD, "trending_kpi_summary_mart", self.kpi_mart)
         self.step(GOLD, "trending_trends_mart", self.trends_mart)
@@ -406,23 +409,22 @@ class Pipeline:
         n = self.wh.write_full(name, marts.with_load_timestamp(frame, timestamp(self.run_ts)))
         return n, f"{name} complete. Rows: {n}"
 
+    def refresh_states(self) -> tuple[int, str]:
+        """What the marts need of the dates this run reloaded; other dates keep theirs."""
+        dates = mart_states.refresh(self.wh, self.loaded_dates())
+        return len(dates), f"Mart states complete. Dates: {len(dates)}"
+
     def channel_mart(self) -> tuple[int, str]:
-        fact = self.wh.read("gold.fact_video_metrics")
-        return self.mart(
-            "gold.channel_performance_mart",
-            marts.channel_performance(fact, self.wh.read("gold.dim_channel")),
-        )
+        frame = mart_states.channel_performance(self.wh.read("gold.day_channels"), self.wh.read("gold.dim_channel"))
+        return self.mart("gold.channel_performance_mart", frame)
 
     def kpi_mart(self) -> tuple[int, str]:
-        fact = self.wh.read("gold.fact_video_metrics")
-        return self.mart(
-            "gold.trending_kpi_summary_mart",
-            marts.daily_kpi(fact, self.wh.read("gold.dim_category")),
-        )
+        totals, categories = self.wh.read("gold.day_totals"), self.wh.read("gold.day_categories")
+        frame = mart_states.daily_kpi(totals, categories, self.wh.read("gold.dim_category"))
+        return self.mart("gold.trending_kpi_summary_mart", frame)
 
     def trends_mart(self) -> tuple[int, str]:
-        fact = self.wh.read("gold.fact_video_metrics")
-        return self.mart("gold.trending_trends_mart", marts.daily_trends(fact))
+        return self.mart("gold.trending_trends_mart", mart_states.daily_trends(self.wh.read("gold.day_totals")))
 
 
 def total_order(df: DataFrame) -> list:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+import zlib
 from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -251,33 +252,33 @@ class Warehouse:
                 if name.split(".")[0] != schema:
                     continue
                 shown = self.aliases.get(name, name)
-                self.spark.sql(f"CREATE OR REPLACE VIEW {shown} AS {self._select(name)}")
+                self._show(name, shown)
                 bare = shown.split(".")[1]
                 if bare not in taken:
                     self.read(name).createOrReplaceTempView(bare)
                     taken.add(bare)
 
-    def _select(self, name: str) -> str:
-        """The visible rows of a table as SQL text, which a view can keep."""
-        table, path = self.tables[name], self.path(name)
+    def _show(self, name: str, shown: str) -> None:
+        """Point a view at the visible folders, which are partitions of a table named by the state's number and place."""
+        table = self.tables[name]
+        number, folders = (0, []) if table.layout == "append" else self.manifest(name).latest()
+        keys = () if table.layout == "append" else (WRITE, *_partition(table))
         types = {f.name: f.dataType.simpleString() for f in table.schema}
-        columns = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in types.items())
-        nothing = ", ".join(f"CAST(NULL AS {t}) AS {c}" for c, t in types.items())
-        where = ""
-        if table.layout == "append":
-            if not any(n.startswith("part-") for n in self.files.names(path)):
-                return f"SELECT {nothing} WHERE false"
-        else:
-            # All of these are partition columns, so the condition picks folders.
-            by_write: dict[str, list[str]] = {}
-            for folder in self.manifest(name).folders():
-                write, *rest = folder.split("/")
-                by_write.setdefault(write.split("=")[1], []).append(_condition(values_of("/".join(rest)) if rest else {}))
-            if not by_write:
-                return f"SELECT {nothing} WHERE false"
-            shown = [f"({WRITE} = '{w}' AND ({' OR '.join(c)}))" for w, c in by_write.items()]
-            where = f" WHERE {' OR '.join(shown)}"
-        return f"SELECT {columns} FROM parquet.`{path}`{where}"
+        columns = ", ".join(f"{c} {t}" for c, t in ({k: "string" for k in keys} | types).items())
+        files = f"{shown}__files_{number}_{zlib.crc32(self.path(name).encode())}"
+        by = f"PARTITIONED BY ({', '.join(keys)}) " if keys else ""
+        # Without folders it is a table without partitions, which has no rows.
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {files} ({columns}) USING parquet {by}LOCATION '{self.path(name)}'")
+        for some in range(0, len(folders), 200):
+            parts = " ".join(
+                f"PARTITION ({_spec(values_of(f))}) LOCATION {_literal(f'{self.path(name)}/{f}')}" for f in folders[some : some + 200]
+            )
+            self.spark.sql(f"ALTER TABLE {files} ADD IF NOT EXISTS {parts}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {shown} AS SELECT {', '.join(types)} FROM {files}")
+        schema, bare = shown.split(".")
+        for row in self.spark.sql(f"SHOW TABLES IN {schema} LIKE '{bare}__files_*'").collect():
+            if row["tableName"] != files.split(".")[1].lower():
+                self.spark.sql(f"DROP TABLE {schema}.{row['tableName']}")
 
 
 def _partition(table: Table) -> tuple[str, ...]:
@@ -298,7 +299,10 @@ def _text(value: object) -> str:
     return value.isoformat() if isinstance(value, dt.date) else str(value)
 
 
-def _condition(values: Mapping[str, str]) -> str:
-    quoted = {k: v.replace("\\", "\\\\").replace("'", "\\'") for k, v in values.items()}
-    tests = [f"CAST({k} AS STRING) = '{v}'" for k, v in quoted.items()]
-    return f"({' AND '.join(tests)})" if tests else "true"
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _spec(values: Mapping[str, str]) -> str:
+    return ", ".join(f"{k}={_literal(v)}" for k, v in values.items())
