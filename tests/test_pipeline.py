@@ -1,6 +1,7 @@
 """Whole runs over small feeds: two days, repeated runs, late members and failures."""
 
 import csv
+import dataclasses
 import datetime as dt
 import json
 import os
@@ -165,7 +166,7 @@ def test_two_days(spark, tmp_path, feeds):
     assert runs["day2"]["status"] == "SUCCESS" and runs["day2"]["records_updated"] == counts["updated"] == 3
     steps = [r.step_name for r in wh.read(ledger.AUDIT).where("run_id = 'day2' AND status = 'COMPLETED'").orderBy("log_id").collect()]
     assert steps == ["ingest_csv", "ingest_json", "ingest_xml", "ingest_db", "validate_clean_videos", "validate_clean_categories",
-                     "validate_clean_channels", "scd1_categories", "scd2_videos", "scd2_channels", "load_fact_table",
+                     "validate_clean_channels", "check_channel_titles", "scd1_categories", "scd2_videos", "scd2_channels", "load_fact_table",
                      "mart_states", "channel_performance_mart", "trending_kpi_summary_mart", "trending_trends_mart"]
 
     wh.register()
@@ -191,7 +192,8 @@ def test_failed_run_is_recorded(spark, tmp_path, feeds):
     (run,) = as_dicts(wh.read(ledger.RUNS))
     assert run["status"] == "FAILED"
     (line,) = as_dicts(wh.read(ledger.AUDIT).where("status = 'FAILED'"))
-    assert line["step_name"] == "load_fact_table" and "Alpha" in line["log_message"]
+    assert line["step_name"] == "check_channel_titles" and "Alpha" in line["log_message"]
+    assert not any(wh.version(n) for n in model.TABLES if n.startswith("gold"))
     run_pipeline(spark, root, shared, "first", DAY1, on_shared_title="first")
     facts = wh.read("gold.fact_video_metrics").join(wh.read("gold.dim_channel"), "dim_channel_key")
     assert {r.channel_id for r in facts.where("channel_title = 'Alpha'").collect()} == {"UC1"}
@@ -459,3 +461,20 @@ def test_marts_from_states_equal_marts_from_all_facts(spark, tmp_path, feeds, mo
         step()
     for got, want in marts_of(spark, wh):
         assert got == want and got
+
+
+def test_ledger_reads_as_many_files_however_many_runs(spark, tmp_path, monkeypatch):
+    """Events of a bucket are put together, and an event touches its own bucket only."""
+    monkeypatch.setattr(ledger, "MOST_FOLDERS", 3)
+    tables = {n: dataclasses.replace(model.TABLES[n], buckets=2) for n in (ledger.EVENTS, ledger.RUNS)}
+    wh = Warehouse(spark, str(tmp_path / "wh"), tables)
+    for n in range(7):
+        book = ledger.RunLedger(wh, f"run{n}", "p", DAY1)
+        book.start()
+        before = {f for f in wh.manifest(ledger.RUNS).folders() if f"bucket={book.bucket[0]}" not in f}
+        book.finish("SUCCESS", inserted=n)
+        assert before <= set(wh.manifest(ledger.RUNS).folders())
+        assert len(wh.read(ledger.EVENTS).inputFiles()) <= 2 * 4 and len(wh.read(ledger.RUNS).inputFiles()) <= 2
+    runs = {r.run_id: (r.status, r.records_inserted) for r in wh.read(ledger.RUNS).collect()}
+    assert runs == {f"run{n}": ("SUCCESS", n) for n in range(7)}
+    assert wh.read(ledger.EVENTS).count() == 14

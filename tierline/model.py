@@ -189,16 +189,18 @@ TABLES = {
         " load_timestamp timestamp_ntz",
     ),
     "metadata.pipeline_run_events": _table(
-        "append",
+        "keyed",
         "run_id string, pipeline_name string, execution_date timestamp_ntz, status string,"
         " event_time timestamp_ntz, start_time timestamp_ntz, end_time timestamp_ntz,"
         f" {_COUNTS}",
+        key="run_id",
     ),
     "metadata.pipeline_runs": _table(
-        "full",
+        "keyed",
         "run_id string, pipeline_name string, execution_date timestamp_ntz, status string,"
         " start_time timestamp_ntz, end_time timestamp_ntz, duration_seconds decimal,"
         f" {_COUNTS}",
+        key="run_id",
     ),
     "metadata.audit_log": _table(
         "append",

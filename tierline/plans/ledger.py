@@ -1,4 +1,9 @@
-"""Run ledger and step audit as append-only events."""
+"""Run ledger and step audit as append-only events.
+
+Events and the states of runs lie in hash buckets of the run. An event is added to its bucket, whose files are put
+together after ``MOST_FOLDERS`` events, and only the states of that bucket are written again: the files that an
+event reads and writes do not become more with the number of runs.
+"""
 
 from __future__ import annotations
 
@@ -12,13 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions import duration_seconds
-from tierline.sinks.warehouse import Warehouse
+from tierline.sinks.warehouse import BUCKET, Warehouse
 
 log = logging.getLogger(__name__)
 
 EVENTS = "metadata.pipeline_run_events"
 RUNS = "metadata.pipeline_runs"
 AUDIT = "metadata.audit_log"
+MOST_FOLDERS = 16
 
 
 def current_runs(events: DataFrame) -> DataFrame:
@@ -76,16 +82,26 @@ class RunLedger:
         self.run_id = run_id
         self.pipeline = pipeline
         self.execution = execution
+        self.bucket: list[int] | None = None
         self.clock = lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
     def _append(self, table: str, row: dict[str, object]) -> None:
         try:
-            self.warehouse.append_row(table, row)
             if table == EVENTS:
-                self.warehouse.write_full(RUNS, current_runs(self.warehouse.read(EVENTS)))
+                self._add_event(self.warehouse.row(EVENTS, row))
+            else:
+                self.warehouse.append_row(table, row)
         except Exception:  # noqa: BLE001
             log.warning("could not write to %s", table, exc_info=True)
 
+    def _add_event(self, event: DataFrame) -> None:
+        wh = self.warehouse
+        if self.bucket is None:
+            self.bucket = wh.buckets_of(EVENTS, event)
+        wh.write_more(EVENTS, event)
+        wh.compact(EVENTS, MOST_FOLDERS)
+        wh.write_buckets(RUNS, current_runs(wh.read(EVENTS, {BUCKET: self.bucket})), self.bucket)
+
     def _event(self, status: str, **values: object) -> None:
         row = {
             "run_id": self.run_id,

@@ -17,6 +17,7 @@ from tierline.operators.members import (
     inferred_categories,
     inferred_channels,
     inferred_items,
+    is_inferred,
     replaced_inferred,
 )
 from tierline.operators.scd import ABSENT, scd1, scd2, scd2_close, scd2_touched
@@ -242,10 +243,26 @@ class Pipeline:
     # Dimensions
 
     def historize(self) -> None:
+        self.step(SCD, "check_channel_titles", self.check_titles)
         self.step(SCD, "scd1_categories", self.scd1_categories)
         self.step(SCD, "scd2_videos", self.scd2_items)
         self.step(SCD, "scd2_channels", self.scd2_channels)
 
+    def check_titles(self) -> tuple[int, str]:
+        """Stop before any dimension is written if real channels would share a title."""
+        source = self.wh.read("silver.channels").select("channel_id", "channel_title")
+        real = self.wh.current("gold.dim_channel").where(~is_inferred()).select(*source.columns)
+        channels = source.distinct().unionByName(real.join(source, "channel_id", "left_anti"))
+        return 0, f"Shared titles: {len(self.shared_titles(channels))}"
+
+    def shared_titles(self, channels: DataFrame) -> list[str]:
+        """Some titles that several channels carry; an error unless the first channel is to have the facts."""
+        shared = channels.groupBy("channel_title").count().where("count > 1").limit(5).collect()
+        titles = [r["channel_title"] for r in shared]
+        if titles and self.on_shared_title != "first":
+            raise ValueError(f"several current channels share a title, e.g. {', '.join(map(repr, titles))}")
+        return titles
+
     def scd1_categories(self) -> tuple[int, str]:
         table, source = "gold.dim_category", self.wh.read("silver.categories")
         buckets = self.wh.buckets_of(table, source)
@@ -399,10 +416,7 @@ class Pipeline:
         if self.on_shared_title == "first":
             titled = channels.select("channel_title", "channel_id", "dim_channel_key", "is_current")
             return latest_per_key(titled, ["channel_title"], [F.asc("channel_id")])
-        shared = channels.groupBy("channel_title").count().where("count > 1").limit(5).collect()
-        if shared:
-            titles = ", ".join(repr(r["channel_title"]) for r in shared)
-            raise ValueError(f"several current channels share a title, e.g. {titles}")
+        self.shared_titles(channels)
         return channels
 
     def mart(self, name: str, frame: DataFrame) -> tuple[int, str]:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -125,15 +126,18 @@ class Warehouse:
         return count()
 
     def append_row(self, name: str, row: Mapping[str, object]) -> None:
-        """Add one row made by the driver, such as a ledger event."""
+        """Add one row made by the driver, such as a line of the audit log."""
+        self.row(name, row).write.mode("append").parquet(self.path(name))
+
+    def row(self, name: str, row: Mapping[str, object]) -> DataFrame:
+        """A row of a table made by the driver; columns that are not given are null."""
         schema = TABLES[name].schema if name in TABLES else self.tables[name].schema
         # Literals stay in the JVM; a frame from Python objects would take several times as long.
         values = [
             F.lit(None if row.get(f.name) is None else str(row[f.name])).cast(f.dataType).alias(f.name)
             for f in schema
         ]
-        one = self.spark.range(0, 1, 1, 1).select(*values)
-        one.write.mode("append").parquet(self.path(name))
+        return self.spark.range(0, 1, 1, 1).select(*values)
 
     def write_replace_partition(self, name: str, df: DataFrame, day: dt.date) -> int:
         """Replace the rows of one day (K1, K4); an empty frame clears the day."""
@@ -168,6 +172,14 @@ class Warehouse:
         """Add rows to a bucketed table; its next change of a bucket puts the bucket's files together."""
         return self._write(name, df, None, spread=[BUCKET])
 
+    def compact(self, name: str, most: int) -> list[int]:
+        """Put the folders of each bucket of a table without versions together that has more than ``most``."""
+        folders = Counter(int(v[BUCKET]) for v in self.partitions(name))
+        full = sorted(b for b, n in folders.items() if n > most)
+        if full:
+            self.write_buckets(name, self.read(name, _only(full)), full)
+        return full
+
     def write_dates(self, name: str, df: DataFrame, dates: DataFrame | Collection[object]) -> int:
         """Replace the rows of all ``dates`` (K5), also of those for which ``df`` has none.
 
