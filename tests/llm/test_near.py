@@ -235,3 +235,18 @@ def test_examples_are_bounded(spark, words):
     again = pick_examples(docs.repartition(5), marks.repartition(3), F.lit(True), 50, 10 * size)
     assert {r["id"] for r in again.collect()} == {r["id"] for r in few.collect()}
     assert pick_examples(docs, marks, F.lit(True), 50, size - 1).count() <= 1
+
+
+def test_near_vectors_in_middling_groups(spark):
+    """Groups with more links than a list holds, around one centre each: every link is counted."""
+    draw = np.random.default_rng(11)
+    groups = [(c + draw.normal(scale=0.016, size=(n, 64))) for n in range(10, 40, 2) for c in [draw.normal(size=64) / 8]]
+    vectors = np.concatenate([*groups, draw.normal(size=(300, 64))])
+    rows = [(int(i), 1, v.tolist()) for i, v in enumerate(vectors)]
+    got = near_vectors(spark.createDataFrame(rows, "id long, label int, vector array<double>")).collect()
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    links = (unit @ unit.T >= 0.98) & ~np.eye(len(unit), dtype=bool)
+    assert 2000 < links.sum() < sum(n * n for n in range(10, 40, 2))
+    assert {r["id"]: r["n_links"] for r in got} == dict(enumerate(links.sum(axis=1).tolist()))
+    want = smallest(range(len(rows)), list(zip(*np.nonzero(links), strict=True)))
+    assert {r["id"]: r["component_id"] for r in got} == {i: int(w) for i, w in want.items()}

@@ -5,8 +5,8 @@ with each other and keeps the nearest of both; only lists with new entries bring
 members all reach the threshold is saturated: it may hide further links, so it is enlarged. First lists
 come from sorted signatures (signs of random projections), where near vectors often lie side by side.
 
-Vectors with equal labels and directions equal in all bits are one class and compared once. Lists that are
-still saturated at their largest size belong to a dense group. The components of dense groups are compared block
+Vectors with equal labels and directions equal in all bits are one class and compared once. Lists that were
+saturated once belong to a dense group. The components of dense groups are compared block
 by block as matrix products that return counts and one link per vector and block, not pairs, so a group
 of many copies costs no list of all its pairs.
 
@@ -191,7 +191,7 @@ def _recall(nodes: DataFrame, edges: DataFrame, threshold: float) -> float:
 
 
 def nn_descent(nodes: DataFrame, dims: int, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Edges (x, y, cosine) of the graph that reach the threshold, and the nodes of still saturated lists.
+    """Edges (x, y, cosine) of the graph that reach the threshold, and the nodes whose lists were ever saturated.
 
     ``nodes``: node (a unique number), label, vector. Vectors of other labels or lengths are not compared.
     """
@@ -217,7 +217,8 @@ def nn_descent(nodes: DataFrame, dims: int, threshold: float = THRESHOLD) -> tup
         if quiet or (turn and _recall(nodes, edges, threshold) >= RECALL):
             break
     full = _lists(edges, limits).groupBy("node").agg(F.max("limit").alias("limit"), F.count("*").alias("n"), F.min("cosine").alias("low"))
-    full = full.where((F.col("limit") >= LARGEST) & (F.col("n") >= F.col("limit")) & (F.col("low") >= threshold))
+    # Links that a full list let go are not compared again, so a list that was full of links once counts too.
+    full = full.where((F.col("limit") > LIST) | ((F.col("n") >= F.col("limit")) & (F.col("low") >= threshold)))
     return edges.where(F.col("cosine") >= threshold).select("x", "y", "cosine"), staged(full.select("node"), "full")
 
 
