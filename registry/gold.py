@@ -153,12 +153,24 @@ FROM (
   WHERE starts WINDOW w AS (PARTITION BY id ORDER BY year)) d"""
 
 
-def _yearly(spark, sf_dir):
-    """The dimension after one step per calendar year of the feed."""
+def _yearly(spark, sf_dir, ids=None):
+    """The dimension after one step per calendar year of the feed; of a few members only if ``ids`` names them.
+
+    A step keeps members apart, so a listing of some of them needs the steps of no others.
+    """
     states = feed(spark, sf_dir, "states")
-    first, last = states.select(F.min(F.year("seen")), F.max(F.year("seen"))).first()
+    if ids is not None:
+        states = states.where(F.col("id").isin(*ids))
+
+    def of_year(year):
+        days = (F.lit(f"{y}-01-01").cast("date") for y in (year, year + 1))
+        return states.where((F.col("seen") >= next(days)) & (F.col("seen") < next(days)))
+
+    if (first_last := states.select(F.min(F.year("seen")), F.max(F.year("seen"))).first())[0] is None:
+        first_last = (1970, 1970)
+    first, last = first_last
     dim = first_versions(
-        latest_per_key(states.where(F.year("seen") == first), ["id"], newest()).select(
+        latest_per_key(of_year(first), ["id"], newest()).select(
             "id", *ATTRIBUTES
         ),
         "id",
@@ -167,8 +179,7 @@ def _yearly(spark, sf_dir):
     ).select("dim_key", "id", *ATTRIBUTES, *VERSION)
     for year in range(first + 1, last + 1):
         how = HOW | {"run_ts": f"{year + 1}-01-01 00:00:00"}
-        arrived = states.where(F.year("seen") == year)
-        dim = scd2(dim, arrived, tracked=TRACKED, order_by=newest(), **how)
+        dim = scd2(dim, of_year(year), tracked=TRACKED, order_by=newest(), **how)
     return dim
 
 
@@ -200,7 +211,7 @@ FROM ({_YEARLY}) h WHERE id IN {LISTED}""",
 )
 def versions_of_ids(spark, sf_dir):
     """All versions of the customers in a list."""
-    return version_history(_yearly(spark, sf_dir), "id", list(LISTED), "status")
+    return version_history(_yearly(spark, sf_dir, LISTED), "id", list(LISTED), "status")
 
 
 # Late-arriving members and facts
