@@ -46,7 +46,7 @@ BLOCK = 64
 FIRST = 2
 PRIOR = 2.0
 EVIDENCE = 3
-CACHE = 1 << 17
+CACHE = 1 << 18
 FLUSH = 1 << 19
 
 _WORD = re.compile(r"\w+")
@@ -266,7 +266,9 @@ class Index:
         made.dense = dense[made.order]
         tops = [made.dense[i : i + BLOCK].max(axis=0) for i in range(0, len(rows), BLOCK)]
         made.tops = np.array(tops).reshape(len(tops), len(common))
-        made.rare = vectors.where(made.slot < 0).T
+        # Postings name examples by their place in the order of the blocks.
+        rare = vectors.where(made.slot < 0).T
+        made.rare = Vectors(rare.start, np.argsort(made.order)[rare.at].astype(np.int32), rare.value, rare.width)
         return made
 
     def __reduce__(self):
@@ -302,7 +304,7 @@ class Index:
         best, who = np.zeros((n, k)), np.full((n, k), -1)
         if not examples or not n:
             return best, who
-        near = (queries.where(self.slot < 0) @ self.rare)[:, self.order]
+        near = queries.where(self.slot < 0) @ self.rare
         common = queries.columns(self.slot, self.dense.shape[1])
         ends = np.arange(0, examples, BLOCK)
         bounds = np.maximum.reduceat(near, ends, axis=1) + common @ self.tops.T
@@ -317,17 +319,20 @@ class Index:
             if skip is not None:
                 near[np.arange(n), back[skip]] = 0
 
-        def kth() -> np.ndarray:
-            known = np.where(np.repeat(done, BLOCK, axis=1)[:, :examples], near, 0)
-            return np.partition(known, -k, axis=1)[:, -k] if examples >= k else np.zeros(n)
+        def kth(known: np.ndarray) -> np.ndarray:
+            return np.partition(known, -k, axis=1)[:, -k] if known.shape[1] >= k else np.zeros(n)
 
         first = np.zeros(bounds.shape, bool)
-        np.put_along_axis(first, np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST], True, axis=1)
+        best_blocks = np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST]
+        np.put_along_axis(first, best_blocks, True, axis=1)
         visit(first)
+        seen = (best_blocks[:, :, None] * BLOCK + np.arange(BLOCK)).reshape(n, -1)
+        inside = seen < examples
+        seen = np.where(inside, np.take_along_axis(near, np.where(inside, seen, 0), axis=1), 0)
         # A block whose bound is not above the k-th best so far changes nothing.
-        visit(~done & (bounds > kth()[:, None] + 1e-12))
+        visit(~done & (bounds > kth(seen)[:, None] + 1e-12))
         near[~np.repeat(done, BLOCK, axis=1)[:, :examples]] = 0
-        least = kth()
+        least = kth(near)
         for i in range(n):
             some = np.flatnonzero((near[i] >= least[i]) & (near[i] > 0))
             # Ties go to the example that comes first.
