@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from tierline.llm.decontaminate import MASKS, Index, drop_contaminated, find_overlaps, words
 from tierline.llm.decontaminate import words as words_of
-from tierline.llm.html_text import extract_text, main_text
+from tierline.llm.html_text import LEAST_PAGES, SUPPORT, extract_text, host_templates, main_text, page_tokens
 from tierline.llm.secrets import RULES, find_secrets, trigram_query
 from tierline.llm.shingles import WordHashes
 from tierline.llm.tokens import LongestMatch, count_tokens
@@ -94,6 +94,60 @@ def test_template_inside_articles(spark):
         assert got[i] == "T 0\nText 0 here.\nRead more on our site\nBy the staff"
 
 
+def extracted(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r["page_id"]: r["text"].split("\n") for r in extract_text(df).collect()}
+
+
+def test_texts_that_articles_share(spark):
+    """Near-copies keep all their text, and so do repeated headings and sentences inside articles."""
+    frame = "<html><body><nav>Menu</nav><article>{}</article><footer>f</footer></body></html>"
+    shared = [f"Paragraph {k} of an article that was copied." for k in range(5)]
+    copy = ["The title", *shared]
+    pages = {i: [*copy, f"Edited on day {i}"] for i in range(3)}
+    pages |= {i: [f"Title {i}", f"Another text {i}.", f"And more {i}."] for i in range(3, 6)}
+    pages |= {
+        i: [f"Soup {i}", "Ingredients", f"{i} onions", "Method", "Preheat the oven to 180 degrees.", f"Serve {i}."]
+        for i in range(10, 14)
+    }
+    pages |= {i: [*copy, f"Edited on day {i}"] for i in range(20, 26)}
+    rows = [(i, f"http://h{i // 10}.org/{i}", frame.format("".join(f"<p>{t}</p>" for t in page))) for i, page in pages.items()]
+    assert extracted(spark, rows) == pages
+
+
+def test_slots_from_classes_alone(spark):
+    """No article element and no telling name: what repeats on a host, and the short slots beside, are no article."""
+    html = (
+        '<html><body><div class="k1"><p>Daily News</p><p>Home Sport Money</p></div><div class="k2"><div class="k3">'
+        "<h1>Title {0}</h1><p>First paragraph {0} with a number of words.</p><p>Second paragraph {0} with more of them.</p>"
+        '<p>Third one.</p><p>End {0}.</p><p>All rights kept</p></div></div><div class="k4"><p>Weather {0}</p></div></body></html>'
+    )
+    got = extracted(spark, [(i, f"http://h.org/{i}", html.format(i)) for i in range(8)])
+    for i in range(8):
+        text = [f"First paragraph {i} with a number of words.", f"Second paragraph {i} with more of them."]
+        assert got[i] == [f"Title {i}", *text, "Third one.", f"End {i}."]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abcdef"), max_size=8), min_size=1, max_size=8))
+def test_classes_by_vectors(spark, pages):
+    """Tokens share a class if, and only if, they occur equally often on every page."""
+    rows = [("h", tag, "<div>" + "".join(f"<i{c}>{c}</i{c}>" for c in page) + "</div>") for tag, page in enumerate(pages)]
+    tokens = page_tokens(spark.createDataFrame(rows, "host string, tag long, html string"))
+    vectors = {}
+    for r in tokens.where("token <> ''").collect():
+        vectors.setdefault(r["token"], {})[r["tag"]] = r["n"]
+    want = {}
+    for token, vector in vectors.items():
+        if len(vector) >= max(LEAST_PAGES, SUPPORT * len(pages)):
+            want.setdefault(tuple(sorted(vector.items())), set()).add(token)
+    got = {}
+    for row in host_templates(tokens).collect():
+        for t in row["tokens"]:
+            got.setdefault(t["group"], set()).add(t["token"])
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet='<>/"\'=!-pdivabscriptarticle &;#x \n', max_size=80))
 def test_any_markup(text):

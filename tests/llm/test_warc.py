@@ -5,10 +5,11 @@ import hashlib
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.compare import connect, difference
 from tierline.llm.registry import ORACLES
-from tierline.llm.warc import MAGIC, op5_warc_boundary_chain, read_warc, write_warc
+from tierline.llm.warc import MAGIC, op5_warc_boundary_chain, plan_revisits, read_warc, write_warc
 
 PAGES = "page_id long, url string, html string, digest string"
 
@@ -57,6 +58,14 @@ def test_payloads_with_records_inside(spark, tmp_path, small_blocks):
     assert [x[0] for x in found if x[2] == digest("copy")] == ["99"]
 
 
+def test_rows_in_changing_order(spark):
+    """Each payload has one response, although a shuffled input is read in another order by each job."""
+    rows = spark.range(2000).selectExpr("CAST(NULL AS BIGINT) AS page_id", "'u' AS url", "concat('p', id % 50) AS html")
+    planned = plan_revisits(rows.repartition(7))
+    assert planned.where("NOT revisit").count() == 50
+    assert planned.groupBy("digest").agg(F.sum(F.expr("int(NOT revisit)")).alias("n")).where("n <> 1").count() == 0
+
+
 def test_empty_and_broken(spark, tmp_path):
     path = str(tmp_path / "none")
     write_warc(spark.createDataFrame([], PAGES), path)

@@ -9,8 +9,10 @@ whose tokens lie below tokens of valid classes nest into the template, a tree. C
 
 A slot belongs to the article if the template says so: below an article or main element if it has one, else
 below the element with most text outside links. Slots of menus, notices, forms and the like are left out by the
-names of their elements, but for wrappers that hold most of the article, and so are texts that the template repeats, inside articles too.
-Copies of one page count as one page of the host, so that a text does not become template by being copied.
+names of their elements, but for wrappers that hold most of the article. A text that the template repeats inside a
+slot is left out where it can be no part of the article: at the slot's beginning or end, and in a class with elements
+around the slots. Repeated headings and sentences between a page's own texts stay, and so does what near-copies
+share. Copies of one page count as one page of the host, so that a text does not become template by being copied.
 """
 
 from __future__ import annotations
@@ -362,7 +364,10 @@ def host_templates(tokens: DataFrame) -> DataFrame:
 
 @dataclass
 class Template:
-    """A host's template: its elements (nodes), those whose slots hold the article, and its repeated texts."""
+    """A host's template: its elements (nodes), those whose slots hold the article, and its repeated texts.
+
+    ``texts`` are those whose class reaches beyond the slots; a class of texts alone, as copies share, is no template.
+    """
 
     nodes: set[str] = field(default_factory=set)
     content: set[str] = field(default_factory=set)
@@ -387,6 +392,8 @@ class Template:
                 made.nodes.update(p for p in around if not valid[p]["is_text"])
                 made.texts.update(p for p in around if valid[p]["is_text"])
         made._choose({p: valid[p] for p in made.nodes})
+        around = {valid[p]["group"] for p in made.nodes if valid[p]["parent"] not in made.content}
+        made.texts = {p for p in made.texts if valid[p]["group"] in around}
         return made
 
     def _choose(self, nodes: dict[str, dict]) -> None:
@@ -413,6 +420,19 @@ class Template:
             up = up.parent
         return up.path if up is not None else None
 
+    def fill(self, blocks: list[Block]) -> list[Block]:
+        """What a page adds to the slots: its blocks without the template's texts before the first and after the last own one.
+
+        Where such texts are most of what is in the slots, in number and in characters outside links, the host's pages
+        are versions of one article, and all blocks stay.
+        """
+        own = [i for i, b in enumerate(blocks) if _text_token(b) not in self.texts]
+        if not own:
+            return blocks
+        kept = blocks[own[0] : own[-1] + 1]
+        size, left = (sum(max(0, len(b.text) - b.links) for b in part) for part in (blocks, kept))
+        return blocks if 2 * len(kept) < len(blocks) and 2 * left < size else kept
+
 
 def main_text(page: str | None, template: Template | None) -> str:
     """The article's blocks of a page, joined by line breaks.
@@ -427,8 +447,7 @@ def main_text(page: str | None, template: Template | None) -> str:
     own = [b for b in plain if b.element.main]
     chosen: list[Block] = []
     if template and (template.has_main or not own):
-        chosen = [b for b in plain if template.slot(b.element) in template.content]
-        chosen = [b for b in chosen if _text_token(b) not in template.texts]
+        chosen = template.fill([b for b in plain if template.slot(b.element) in template.content])
     return "\n".join(b.text for b in chosen or own or plain or [b for b in blocks if b.element.main and not b.element.hard])
 
 

@@ -50,7 +50,8 @@ def plan_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
     Of equal payloads of ``least_bytes`` or more, the row with the smallest page_id (nulls last) is the
     response and the others revisit it; rows that repeat a page_id are ordered by url, and fully equal rows by an
-    arbitrary but single choice. Only digests that occur twice are joined, and only ids are ranked.
+    arbitrary but single choice. Only digests that occur twice are joined, and only ids are ranked. Rows are
+    written with their tags first: an input that is computed again may come in another order.
     """
     rows = pages.select(
         "page_id",
@@ -59,7 +60,7 @@ def plan_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         F.monotonically_increasing_id().alias("tag"),
     )
     rows = rows.withColumn("digest", base32_sha1(F.col("payload").cast("binary")))
-    rows = rows.withColumn("bytes", F.octet_length("payload").cast("long"))
+    rows = staged(rows.withColumn("bytes", F.octet_length("payload").cast("long")), "payloads")
     # The smallest row of each digest; a task sends one row per digest.
     first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url", "tag"))
     repeated = (
