@@ -37,11 +37,12 @@ FROM documents""",
 def bronze_csv_roundtrip(spark, sf_dir):
     """Texts with quotes and line breaks, written as CSV files and landed as strings."""
     documents = table(spark, sf_dir, "documents")
-    path = _as_csv(documents)
+    path = as_csv(documents)
     return with_lineage(read_csv_bronze(spark, path, documents.columns), "documents_csv", RUN_TS)
 
 
-def _as_csv(rows):
+def as_csv(rows):
+    """The rows as quoted CSV files with headers; returns their folder."""
     path = scratch_dir(rows.sparkSession, "csv")
     (
         rows.write.option("header", True)
@@ -74,7 +75,7 @@ FROM documents""",
 def csv_split_roundtrip(spark, sf_dir):
     """The same texts, each file read by many tasks; block borders fall into quoted line breaks."""
     documents = table(spark, sf_dir, "documents")
-    return read_csv_split(_small_blocks(spark), _as_csv(documents), documents.columns)
+    return read_csv_split(_small_blocks(spark), as_csv(documents), documents.columns)
 
 
 @query(
@@ -87,7 +88,7 @@ def csv_many_files_first_row(spark, sf_dir):
     """Raw items in many files, read in blocks: of each id and date the first row by file and line stays (V3)."""
     raw = feed(spark, sf_dir, "raw_items").select("row_seq", "video_id", "trending_date", "title", "description")
     # Names of files follow the ranges, so that the place in the files is the order of the numbers.
-    path = _as_csv(raw.repartitionByRange(6, "row_seq").sortWithinPartitions("row_seq"))
+    path = as_csv(raw.repartitionByRange(6, "row_seq").sortWithinPartitions("row_seq"))
     rows = read_csv_split(_small_blocks(spark), path, raw.columns, place="place")
     kept = flag_duplicates(rows, ["video_id", "trending_date"], ["place"], "place").where("NOT is_duplicate")
     return kept.select("video_id", "trending_date", F.col("row_seq").cast("bigint"))

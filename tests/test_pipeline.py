@@ -183,6 +183,40 @@ def test_two_days(spark, tmp_path, feeds):
         ("v4", "2026-08-18", 100), ("v5", "2026-08-20", 500)}
 
 
+def test_duplicates_across_loads(spark, tmp_path, feeds):
+    """Daily runs that know earlier keys keep what one run over all days keeps, also when a day is repeated."""
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.create()
+    days = {
+        DAY1: [item("v1", "26.18.08"), item("v1", "26.19.08", views="bad"), item("", "26.18.08")],
+        DAY2: [item("v1", "26.18.08", views="7"), item("v1", "26.19.08"), item(" v1", "26.19.08", views="8"), item("", "26.18.08"),
+               *[item("v2", "26.20.08", views=str(n)) for n in range(40)]],
+    }
+
+    def daily(day):
+        run = Pipeline(spark, wh, f"daily-{day.day}", day, across_loads=True)
+        run.land_items(feeds(day.day, days[day]))
+        run.clean_items()
+
+    def kept(*loads):
+        rows = wh.read("silver.videos", {"load_date": [d.date() for d in loads]})
+        return sorted((r.video_id, str(r.trending_date), r.views) for r in rows.collect())
+
+    for day in (DAY1, DAY2, DAY2, DAY1):
+        daily(day)
+    # A rejected row makes later ones duplicates as well; keys are compared as the feed spells them.
+    assert kept(DAY1) == [("v1", "2026-08-18", 100)]
+    assert kept(DAY2) == [("v1", "2026-08-19", 8), ("v2", "2026-08-20", 0)]
+    last = DAY2 + dt.timedelta(days=1)
+    Pipeline(spark, wh, "full", last, full=True).clean_items()
+    assert kept(last) == sorted(kept(DAY1) + kept(DAY2))
+    rejects = wh.read("silver.rejected_records").where("rejection_reason LIKE 'DUPLICATE%'").groupBy("run_id").count().collect()
+    assert {r["run_id"]: r["count"] for r in rejects} == {"daily-20": 41, "full": 41}
+    # Each key of a day once, in one folder per date.
+    assert wh.read("silver.item_keys").count() == 3 + 5
+    assert len(wh.partitions("silver.item_keys", {"load_date": [DAY2.date()]})) <= 3
+
+
 def test_failed_run_is_recorded(spark, tmp_path, feeds):
     root = str(tmp_path / "wh")
     shared = feeds(1, ITEMS1, channels=(("UC1", "Alpha", 5, "DE"), ("UC9", "Alpha", 7, "US")))

@@ -28,6 +28,8 @@ class Table:
 
 # Buckets of a dimension: a step rewrites those it changes, so large dimensions want thousands.
 BUCKETS = 16
+# Folders of a load day's item keys; a date has all its keys in one of them.
+KEY_BUCKETS = 64
 
 _TYPES = {
     "string": T.StringType(),
@@ -132,6 +134,13 @@ TABLES = {
         "load_date",
         "trending_date",
     ),
+    # Keys as the feed spells them, of every load day, by the hash of their date.
+    "silver.item_keys": _table(
+        "daily",
+        "video_id string, trending_date string, load_date date, date_bucket int",
+        "load_date",
+        "date_bucket",
+    ),
     "silver.categories": _table("full", f"category_id int, category_title string, {_LINEAGE}"),
     "silver.channels": _table(
         "full",

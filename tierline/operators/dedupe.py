@@ -33,6 +33,16 @@ def repeated_keys(
     )
 
 
+def with_earlier(repeated: DataFrame, earlier: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``repeated_keys`` of a load together with its keys that earlier loads hold (``earlier``, each once).
+
+    Their rows are all duplicates, so the row to keep is -1, which no row of this load is.
+    """
+    known = earlier.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+    alone = repeated.join(known, known.columns, "left_anti")
+    return alone.unionByName(known.withColumn(FIRST, F.lit(-1).cast(repeated.schema[FIRST].dataType)))
+
+
 def flag_duplicates(
     df: DataFrame,
     keys: Sequence[str],

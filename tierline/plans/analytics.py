@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.functions import contains_ignoring_case
@@ -56,21 +56,28 @@ def daily_series(
     return fact.groupBy(*keys).agg(F.sum(metric).alias("val"))
 
 
+def _ordered(series: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The series with the ordinal of each day in its entity."""
+    days = Window.partitionBy(*by).orderBy("trending_date")
+    return series.withColumn("ordinal", F.row_number().over(days) - 1)
+
+
+def _status(min_points: int) -> Column:
+    return F.when(F.col("n") >= min_points, "ok").otherwise(INSUFFICIENT)
+
+
 def _fitted(series: DataFrame, by: Sequence[str], min_points: int) -> DataFrame:
     """Row ordinal, and least squares of the value on it, per entity."""
     entity = Window.partitionBy(*by)
     y = F.col("val").cast("double")
-    ordered = series.withColumn(
-        "ordinal", F.row_number().over(entity.orderBy("trending_date")) - 1
-    )
-    return ordered.withColumns(
+    return _ordered(series, by).withColumns(
         {
             "n": F.count("val").over(entity),
             "slope": F.regr_slope(y, F.col("ordinal")).over(entity),
             "intercept": F.regr_intercept(y, F.col("ordinal")).over(entity),
             "mean": F.avg(y).over(entity),
         }
-    ).withColumn("status", F.when(F.col("n") >= min_points, "ok").otherwise(INSUFFICIENT))
+    ).withColumn("status", _status(min_points))
 
 
 def forecast(
@@ -150,14 +157,14 @@ def decline(series: DataFrame, by: Sequence[str], history: bool = False) -> Data
     Steeper than 5 % of the mean per step is High, any other fall Medium, no fall Low; fewer
     than 3 points are ``insufficient``. ``history`` adds ``total_views_history``, the values by date.
     """
-    fitted = _fitted(series, by, DECLINE_MIN_POINTS)
-    one = fitted.groupBy(*by).agg(
-        F.first("n").alias("n"),
-        F.first("status").alias("status"),
-        F.first("slope").alias("slope"),
-        F.first("mean").alias("mean"),
+    y = F.col("val").cast("double")
+    # Sums that merge: only the ordinal needs the days of an entity in order.
+    one = _ordered(series, by).groupBy(*by).agg(
+        F.count("val").alias("n"),
+        F.regr_slope(y, F.col("ordinal")).alias("slope"),
+        F.avg(y).alias("mean"),
         *([F.sort_array(F.collect_list(F.struct("trending_date", "val"))).alias("_days")] if history else []),
-    )
+    ).withColumn("status", _status(DECLINE_MIN_POINTS))
     # A falling series around zero has no finite ratio and counts as steep.
     steep = F.when(F.col("mean") == 0, F.lit(True)).otherwise(
         F.abs("slope") / F.col("mean") > STEEP_DECLINE

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tierline import model
 from tierline.functions import timestamp
 from tierline.functions.times import naive_utc
-from tierline.operators.dedupe import latest_per_key, newest_rows, repeated_keys
+from tierline.operators.dedupe import latest_per_key, newest_rows, repeated_keys, with_earlier
 from tierline.operators.fact import star_join
 from tierline.operators.members import (
     inferred_categories,
@@ -78,10 +78,12 @@ class Pipeline:
         run_ts: dt.datetime,
         *,
         full: bool = False,
+        across_loads: bool = False,
         on_shared_title: str = "error",
         register: bool = False,
     ):
-        """``full`` validates all landed days instead of this run's day. ``on_shared_title`` says
+        """``full`` validates all landed days instead of this run's day. ``across_loads`` judges duplicates
+        of a day against all days before it, so that daily runs keep the rows that ``full`` keeps. ``on_shared_title`` says
         what happens when two current channels carry one title: ``error``, or ``first`` to give
         the facts to the channel with the lowest id. ``register`` shows the new state to SQL at the end."""
         require_utc(spark)
@@ -91,6 +93,7 @@ class Pipeline:
         self.run_ts = naive_utc(run_ts)
         self.day = self.run_ts.date()
         self.full = full
+        self.across_loads = across_loads and not full
         self.on_shared_title = on_shared_title
         self.register = register
         self.ledger = RunLedger(warehouse, run_id, "medallion_etl_pipeline", self.run_ts)
@@ -182,10 +185,10 @@ class Pipeline:
             raw = raw.withColumn(row_id, F.struct("ingestion_date", "row_seq"))
             order = ["load_timestamp", row_id]
         # The repeated keys are stored first, so that the join back is planned on their real size.
-        repeated = self.wh.stage(
-            repeated_keys(raw, silver.ITEM_KEYS, order, row_id),
-            scratch_dir(self.spark, "repeated-items"),
-        )
+        repeated = repeated_keys(raw, silver.ITEM_KEYS, order, row_id)
+        if self.across_loads:
+            repeated = with_earlier(repeated, self.earlier_keys(raw), silver.ITEM_KEYS)
+        repeated = self.wh.stage(repeated, scratch_dir(self.spark, "repeated-items"))
         classified = silver.classify_items(raw, order, row_id, repeated=repeated)
         return self.store(
             RAW_ITEMS,
@@ -196,6 +199,25 @@ class Pipeline:
             ),
         )
 
+    def earlier_keys(self, raw: DataFrame) -> DataFrame:
+        """Keys of this load day that an earlier day holds as well, each once (V3 over all loads).
+
+        The keys of every day are stored by the hash of their date, and a day is compared with the folders of
+        its own dates only. A day that is repeated replaces its keys; later days have to be run again
+        to be judged against them.
+        """
+        table = "silver.item_keys"
+        keys = raw.select(*silver.ITEM_KEYS).dropna().distinct()
+        bucket = F.pmod(F.xxhash64("trending_date"), F.lit(model.KEY_BUCKETS)).cast("int")
+        self.wh.write_replace_partition(table, keys.withColumn("date_bucket", bucket), self.day)
+        folders = self.wh.partitions(table)
+        today = self.day.isoformat()
+        own = {f["date_bucket"] for f in folders if f["load_date"] == today}
+        before = {f["load_date"] for f in folders if f["load_date"] < today}
+        mine = self.wh.read(table, {"load_date": [self.day]}).select(*silver.ITEM_KEYS)
+        others = self.wh.read(table, {"load_date": before, "date_bucket": own}).select(*silver.ITEM_KEYS)
+        return mine.join(others, list(silver.ITEM_KEYS), "left_semi")
+
     def clean_categories(self) -> tuple[int, str]:
         raw = self.wh.read("bronze.raw_categories")
         classified = silver.classify_categories(raw, [], "row_seq")
