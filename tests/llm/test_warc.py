@@ -63,6 +63,7 @@ def test_rows_in_changing_order(spark):
     rows = spark.range(2000).selectExpr("CAST(NULL AS BIGINT) AS page_id", "'u' AS url", "concat('p', id % 50) AS html")
     planned = plan_revisits(rows.repartition(7))
     assert planned.where("NOT revisit").count() == 50
+    assert planned.count() == 2000 and planned.where("bytes IS NULL OR digest IS NULL").count() == 0
     assert planned.groupBy("digest").agg(F.sum(F.expr("int(NOT revisit)")).alias("n")).where("n <> 1").count() == 0
 
 

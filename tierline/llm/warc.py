@@ -24,6 +24,8 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 RADIX32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 DATE = "2000-01-01T00:00:00Z"
 NO_ID = "none"
+# Equal rows are put out in pieces of this many by different tasks.
+REPEATS = 10_000
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -49,30 +51,48 @@ def plan_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Pages with payload, digest, record type and the page they refer to.
 
     Of equal payloads of ``least_bytes`` or more, the row with the smallest page_id (nulls last) is the
-    response and the others revisit it; rows that repeat a page_id are ordered by url, and fully equal rows by an
-    arbitrary but single choice. Only digests that occur twice are joined, and only ids are ranked. Rows are
-    written with their tags first: an input that is computed again may come in another order.
+    response and the others revisit it; rows that repeat a page_id are ordered by url, and one of fully equal rows
+    is the response. Only digests that occur twice are joined, and only ids are ranked. Rows are told apart by what
+    they hold and not by a number, since an input that is read again may come in another order.
     """
-    rows = pages.select(
-        "page_id",
-        "url",
-        F.coalesce("html", F.lit("")).alias("payload"),
-        F.monotonically_increasing_id().alias("tag"),
-    )
+    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", base32_sha1(F.col("payload").cast("binary")))
-    rows = staged(rows.withColumn("bytes", F.octet_length("payload").cast("long")), "payloads")
-    # The smallest row of each digest; a task sends one row per digest.
-    first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url", "tag"))
+    rows = rows.withColumn("bytes", F.octet_length("payload").cast("long"))
+    # The smallest row of each digest and how often it occurs; a task sends each row of a digest once.
+    equal = rows.where(F.col("bytes") >= least_bytes).groupBy("digest", "page_id", "url").agg(F.count("*").alias("m"))
+    first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url", "m"))
     repeated = (
-        rows.where(F.col("bytes") >= least_bytes)
-        .groupBy("digest")
-        .agg(first.alias("first"), F.count("*").alias("n"))
+        equal.groupBy("digest")
+        .agg(first.alias("first"), F.sum("m").alias("n"))
         .where("n > 1")
-        .select("digest", F.col("first.page_id").alias("first_id"), F.col("first.tag").alias("first_tag"))
+        .select("digest", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"), "first.m")
+    )
+    repeated = staged(repeated, "repeated")
+    rows = rows.join(repeated, "digest", "left")
+    smallest = F.col("page_id").eqNullSafe(F.col("first_id")) & F.col("url").eqNullSafe(F.col("first_url"))
+    planned = rows.withColumn("revisit", F.col("m").isNotNull() & ~smallest)
+    columns = ["page_id", "url", "payload", "digest", "bytes", "first_id", "revisit"]
+    if repeated.where("m > 1").isEmpty():
+        return planned.select(*columns)
+    # Responses that occur several times: one row with the payload, and the others as revisits.
+    several = ~F.col("revisit") & F.coalesce(F.col("m") > 1, F.lit(False))
+    keys = ["page_id", "url", "digest", "bytes", "first_id", "m", "revisit"]
+    one = planned.where(several).groupBy(*keys).agg(F.first("payload").alias("payload"))
+    again = repeated.where("m > 1").withColumn("part", F.explode(F.expr(f"sequence(0L, (m - 2) div {REPEATS})")))
+    again = again.repartition("digest", "part").withColumn(
+        "i", F.explode(F.expr(f"sequence(part * {REPEATS}, least((part + 1) * {REPEATS}, m - 1) - 1)"))
+    )
+    sizes = one.select("digest", "bytes")
+    again = again.join(sizes, "digest").select(
+        F.col("first_id").alias("page_id"),
+        F.col("first_url").alias("url"),
+        F.lit("").alias("payload"),
+        "digest",
+        "bytes",
+        "first_id",
+        F.lit(True).alias("revisit"),
     )
-    rows = rows.join(staged(repeated, "repeated"), "digest", "left")
-    revisit = F.col("first_tag").isNotNull() & (F.col("first_tag") != F.col("tag"))
-    return rows.withColumn("revisit", revisit)
+    return planned.where(~several).select(*columns).unionByName(one.select(*columns)).unionByName(again)
 
 
 def record(planned: DataFrame) -> Column:
