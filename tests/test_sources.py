@@ -73,6 +73,22 @@ def test_split_csv_equals_the_files(blocks, tmp_path, monkeypatch, line_end):
     assert sorted(map(tuple, read_csv_split(blocks, path, COLUMNS, "place").collect()), key=lambda r: r[3]) == rows
 
 
+def test_split_csv_puts_small_blocks_into_one_task(blocks, tmp_path, monkeypatch):
+    """Tasks follow the bytes and not the blocks; rows and their order stay."""
+    rows = [(f"{i}", 'x,"\n' * (i % 60), "a\r\nb") for i in range(3000)]
+    path = write_files(tmp_path / "feed", {"a.csv": rows[:2000], "b.csv": rows[2000:], "c.csv": []})
+    assert sum(f.stat().st_size for f in (tmp_path / "feed").iterdir()) > 600 * 500
+    at_least = 4 * blocks.sparkContext.defaultParallelism
+    for size, low, high in ((1 << 20, at_least, at_least), (2000, 150, 600)):
+        monkeypatch.setattr(split_csv, "TASK_BYTES", size, raising=False)
+        assert low <= split_csv._lines(blocks, path).rdd.getNumPartitions() <= high
+        got = read_csv_split(blocks, path, COLUMNS, "place")
+        assert got.rdd.getNumPartitions() <= high + 4  # and those of the records across borders
+        found = sorted(map(tuple, got.collect()), key=lambda r: r[3])
+        assert [r[:3] for r in found] == rows
+        assert len({r[3] for r in found}) == len(rows)
+
+
 def test_split_csv_equals_the_whole_file_reader(spark, blocks, tmp_path):
     text = '\ufeffid,text,n\n1,"two\nlines, ""quoted""",\n\n2, padded ,007\n3,,""\n4,"",last'
     (tmp_path / "a.csv").write_text(text)

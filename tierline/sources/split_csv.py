@@ -5,10 +5,13 @@ depends on the number of quotes before it being odd. So the quotes of each block
 block), their running sums say whether a block begins inside a field, and a second scan puts the lines of every
 block together to records. Records that lie in one block never leave their task. Those cut by a block
 border are few, at most two pieces per block; a third scan, of the cut blocks only, collects the pieces.
+
+Small blocks share a task, one after the other, so that the number of tasks follows the bytes and not the blocks.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -21,6 +24,8 @@ from tierline.session import scratch_dir
 
 # Blocks whose list is sent to all tasks, some 100 bytes each; with more, lines are joined and sorted instead.
 SENT_BLOCKS = 100_000
+# Blocks share a task until it reads about this much, as long as every core has four tasks.
+TASK_BYTES = 32 << 20
 MIN_PARTITIONS = "spark.sql.files.minPartitionNum"
 # Columns of ``_pieces``: the block, the line in it where the record starts (-1: in an earlier block), whether the
 # file starts here, and the text.
@@ -29,12 +34,15 @@ _PIECE = "_rank bigint, _line bigint, _header boolean, _text string"
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     text = spark.read.option("lineSep", "\n").text(path)
-    return text.select(
+    lines = text.select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"),
     )
+    # Files' lengths come from their list; their content is not read for it.
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    return lines.coalesce(max(4 * spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES)))
 
 
 def _blocks(lines: DataFrame) -> DataFrame:
@@ -158,7 +166,7 @@ def _stitched(pieces: DataFrame) -> DataFrame:
 
 
 def read_csv_split(spark: SparkSession, path: str, columns: Sequence[str], place: str | None = None) -> DataFrame:
-    """CSV with a header, every field a string, empty fields kept as ``''``, by as many tasks as there are blocks.
+    """CSV with a header, every field a string, empty fields kept as ``''``, each file read by many tasks.
 
     Fields may hold line breaks if they are quoted, and quotes must be doubled inside quoted fields and absent
     from others (RFC 4180). A file that ends inside a field is refused, and so is a record with another number of
